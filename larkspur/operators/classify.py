@@ -25,6 +25,7 @@ from larkspur.operators.corpus import union_parts
 from larkspur.operators.evaluate import best_f_threshold
 from larkspur.operators.features import FEATURES, LABEL, PREDICTION, tf_idf
 from larkspur.operators.parallel import run_all
+from larkspur.session import fitting
 
 Params = dict[str, object]
 
@@ -135,9 +136,10 @@ def scores(model: Model, df: DataFrame, metrics: Sequence[str], label: str = LAB
         counts.unpersist()
 
 
-def compact(df: DataFrame, *columns: str) -> DataFrame:
-    """Only the columns a fit reads, cached: iterative fits scan them many times."""
-    return df.select(*columns).cache()
+def fit(estimator: Estimator, df: DataFrame, label: str = LABEL, features: str = FEATURES) -> Model:
+    """Fit on a cached copy of just the two columns."""
+    with fitting(df, label, features) as data:
+        return estimator.fit(data)
 
 
 def grid_search(
@@ -155,8 +157,7 @@ def grid_search(
 
     Columns: one per parameter (as text), ``score``, and ``train_score`` on request.
     """
-    fit_on, test_on = compact(train, label, features), compact(valid, label, features)
-    try:
+    with fitting(train, label, features) as fit_on, fitting(valid, label, features) as test_on:
 
         def score(params: Params) -> tuple:
             model = build(**params).fit(fit_on)
@@ -164,9 +165,6 @@ def grid_search(
             return (*out, scores(model, fit_on, [metric], label)[0]) if train_metrics else out
 
         rows = run_all(score, points(grid), parallelism)
-    finally:
-        fit_on.unpersist()
-        test_on.unpersist()
     names = [T.StructField(n, T.StringType()) for n in grid] + [T.StructField("score", T.DoubleType())]
     if train_metrics:
         names.append(T.StructField("train_score", T.DoubleType()))
@@ -197,13 +195,10 @@ def refit_best(
     """
     ranked = grid_search(train, valid, build, grid, metric, label, features, parallelism)
     params = best_point(ranked, grid)
-    both = compact(union_parts(train, valid), label, features)
-    try:
+    with fitting(union_parts(train, valid), label, features) as both:
         model = build(**params).fit(both)
         on_test = scores(model, test, [metric, "accuracy", "weightedPrecision", "weightedRecall"], label)
         on_both = scores(model, both, ["accuracy"], label)
-    finally:
-        both.unpersist()
     names = ", ".join(f"{n} string" for n in grid)
     row = [(*map(str, params.values()), *on_test, *on_both)]
     report = train.sparkSession.createDataFrame(
@@ -232,8 +227,7 @@ def kfold_scores(
     parallelism: int = 4,
 ) -> DataFrame:
     """k-fold scores of every grid point: (params, fold, score).  Folds are rows of a fold column."""
-    data = compact(df, label, fold, *features)
-    try:
+    with fitting(df, label, fold, *features) as data:
 
         def score(item: tuple[Params, int]) -> tuple[str, int, float]:
             params, number = item
@@ -243,8 +237,6 @@ def kfold_scores(
 
         items = [(p, i) for p in points(grid or {}) for i in range(folds)]
         rows = run_all(score, items, parallelism)
-    finally:
-        data.unpersist()
     return df.sparkSession.createDataFrame(rows, "params string, fold int, score double")
 
 
@@ -268,8 +260,7 @@ def compare_classifiers(
 
     The features do not depend on the category, so they are computed and cached once.
     """
-    data = with_fold(df, key, folds).select(category, features, "fold").cache()
-    try:
+    with fitting(with_fold(df, key, folds), category, features, "fold") as data:
 
         def one(item: tuple[str, str, int]) -> float:
             name, kind, number = item
@@ -279,11 +270,7 @@ def compare_classifiers(
 
         items = [(c, k, i) for c in categories for k in classifiers for i in range(folds)]
         found = dict(zip(items, run_all(one, items, parallelism)))
-    finally:
-        data.unpersist()
-    rows = [
-        (c, *[sum(found[c, k, i] for i in range(folds)) / folds for k in classifiers]) for c in categories
-    ]
+    rows = [(c, *[sum(found[c, k, i] for i in range(folds)) / folds for k in classifiers]) for c in categories]
     names = ", ".join(f"{k} double" for k in classifiers)
     return df.sparkSession.createDataFrame(rows, f"category string, {names}")
 
@@ -301,8 +288,7 @@ def category_holdout(
     """Per category: 90/10 hold-out, TF-IDF fitted on the training part, a tree, its F1."""
     train, test = hash_split(df.select(key, category, tokens), key, {"train": 90, "test": 10})
     train, test = tf_idf(train, [test], tokens, vocabulary, out="features")
-    train, test = compact(train, category, "features"), compact(test, category, "features")
-    try:
+    with fitting(train, category, "features") as train, fitting(test, category, "features") as test:
 
         def one(name: str) -> tuple[str, float]:
             label = (F.col(category) == name).cast("double")
@@ -310,9 +296,6 @@ def category_holdout(
             return name, scores(model, test.withColumn("label", label), ["f1"], "label")[0]
 
         rows = run_all(one, categories, parallelism)
-    finally:
-        train.unpersist()
-        test.unpersist()
     return df.sparkSession.createDataFrame(rows, "category string, f1 double")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from larkspur.functions.vectors import as_vector, nearest_centre
 from larkspur.operators.parallel import run_all
+from larkspur.session import fitting
 
 # The numbers of clusters tried in each sweep, as (from, to, step).
 RAW_SWEEP = (5, 30, 5)
@@ -107,8 +108,7 @@ def sweep(
     named, the size-weighted entropy of the labels.  k is bounded by the row count.
     """
     columns = [features] + ([label] if label else [])
-    data = df.select(*columns).cache()
-    try:
+    with fitting(df, *columns) as data:
         rows = data.count()
 
         def score(k: int) -> tuple[int, float]:
@@ -118,8 +118,6 @@ def sweep(
             return k, float(mean_distance(assign_by_model(data, model, features)).first()[0])
 
         scores = run_all(score, sorted({min(k, rows) for k in ks}), parallelism)
-    finally:
-        data.unpersist()
     name = "weighted_entropy" if label else "mean_distance"
     return df.sparkSession.createDataFrame(scores, f"k int, {name} double")
 
@@ -145,11 +143,8 @@ def anomaly_detector(
     df: DataFrame, k: int = ANOMALY_CLUSTERS, rank: int = ANOMALY_RANK, seed: int = 11, features: str = "features"
 ) -> DataFrame:
     """Fit k-means on (already scaled) vectors and return the anomalous rows with their distance."""
-    data = df.cache()
-    try:
+    with fitting(df, features) as data:
         k = min(k, data.count())
         model = kmeans_fit(data, k, SWEEP_ITERATIONS, SWEEP_TOLERANCE, seed, features)
         threshold = distance_threshold(assign_by_model(data, model, features), rank)
-    finally:
-        data.unpersist()
     return assign_by_model(df, model, features).filter(F.col("distance") > F.lit(threshold).cast("double"))

@@ -12,6 +12,7 @@ from larkspur.functions.hashing import hash_number
 from larkspur.operators.corpus import clamp, containing_any
 from larkspur.operators.evaluate import mean_user_auc
 from larkspur.operators.ordering import position, running_totals
+from larkspur.operators.parallel import run_all
 from larkspur.session import shared_dir
 
 # Settings of the fits and of the grid.
@@ -158,7 +159,13 @@ def popularity_auc(train: DataFrame, test: DataFrame, items: DataFrame) -> DataF
 
 
 def als_grid(
-    train: DataFrame, test: DataFrame, items: DataFrame, grid: dict[str, Sequence] | None = None, seed: int = 11, max_iter: int = 10
+    train: DataFrame,
+    test: DataFrame,
+    items: DataFrame,
+    grid: dict[str, Sequence] | None = None,
+    seed: int = 11,
+    max_iter: int = 10,
+    parallelism: int = 4,
 ) -> DataFrame:
     """Implicit ALS for every grid point, ranked by mean per-user AUC, next to the popularity baseline."""
     grid = grid or GRID
@@ -168,16 +175,18 @@ def als_grid(
     negatives = negative_samples(positives, items).cache()
     try:
         base = mean_user_auc(popularity_scores(positives, train), popularity_scores(negatives, train)).first()
-        rows = [("popularity", None, None, None, base["mean_auc"])]
-        for values in product(*grid.values()):
-            params = dict(zip(grid, values))
+
+        def score(params: dict) -> tuple:
             model = als_fit(train, True, seed, maxIter=max_iter, **params)
             parts = [
                 als_predict(model, part).select("user", F.col("prediction").cast("double").alias("score"))
                 for part in (positives, negatives)
             ]
             auc = mean_user_auc(*parts).first()["mean_auc"]
-            rows.append(("als", int(params["rank"]), float(params["regParam"]), float(params["alpha"]), auc))
+            return "als", int(params["rank"]), float(params["regParam"]), float(params["alpha"]), auc
+
+        grid_points = [dict(zip(grid, values)) for values in product(*grid.values())]
+        rows = [("popularity", None, None, None, base["mean_auc"]), *run_all(score, grid_points, parallelism)]
     finally:
         for part in (train, positives, negatives):
             part.unpersist()

@@ -279,13 +279,13 @@ def _quality(spark, sf):
 
 def _multi_class(spark, sf, classifier):
     train, test = cl.hash_split(_labelled(spark, sf), "doc_id", BINARY_SHARES)
-    model = classifier.fit(train)
+    model = cl.fit(classifier, train)
     return model.transform(test).select("doc_id", "category", ft.LABEL, ft.PREDICTION)
 
 
 def _binary(spark, sf, classifier):
     train, test = cl.hash_split(_quality(spark, sf), "doc_id", BINARY_SHARES)
-    return classifier.fit(train).transform(test).select("doc_id", "label", ft.PREDICTION)
+    return cl.fit(classifier, train, "label").transform(test).select("doc_id", "label", ft.PREDICTION)
 
 
 @query("decision_tree")
@@ -318,7 +318,7 @@ def tree_categorical(spark, sf):
         train, valid, cl.tree_with_categories, cl.TREE_GRID, "accuracy", "label", "features", train_metrics=True
     )
     both = corpus.union_parts(train, valid)
-    final = cl.tree_with_categories(**cl.FINAL_TREE).fit(both)
+    final = cl.fit(cl.tree_with_categories(**cl.FINAL_TREE), both, "label", "features")
     precision = cl.scores(final, test, ["weightedPrecision"], "label")[0]
     return ranked.withColumn("final_precision", F.lit(precision))
 
@@ -327,7 +327,7 @@ def tree_categorical(spark, sf):
 def split_scores(spark, sf):
     names = list(DOC_SHARES)
     parts = dict(zip(names, cl.hash_split(_labelled(spark, sf), "doc_id", DOC_SHARES)))
-    return cl.split_scores(cl.decision_tree().fit(parts["train"]), parts)
+    return cl.split_scores(cl.fit(cl.decision_tree(), parts["train"]), parts)
 
 
 @query("random_forest")
@@ -349,7 +349,7 @@ def logistic_regression(spark, sf):
 @query("logistic_threshold")
 def logistic_threshold(spark, sf):
     train, test = cl.hash_split(_quality(spark, sf), "doc_id", BINARY_SHARES)
-    model = cl.logistic_regression(label="label").fit(train)
+    model = cl.fit(cl.logistic_regression(label="label"), train, "label")
     tuned, threshold, f_measure = cl.with_best_threshold(model, train)
     rows = ev.pair_counts(tuned.transform(test), "label", ft.PREDICTION)
     return rows.select("actual", "predicted", "n", F.lit(threshold).alias("threshold"), F.lit(f_measure).alias("f_measure"))
@@ -383,7 +383,7 @@ def perceptron(spark, sf):
 @query("ovr_tree")
 def ovr_tree(spark, sf):
     train, test = cl.hash_split(_labelled(spark, sf), "doc_id", BINARY_SHARES)
-    model = cl.one_vs_rest(cl.decision_tree()).fit(train)
+    model = cl.fit(cl.one_vs_rest(cl.decision_tree()), train)
     path = scratch_path(spark, "ovr-tree")
     stores.save_model(model, path)
     loaded = stores.load_model(path, type(model))

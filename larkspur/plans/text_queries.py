@@ -142,7 +142,7 @@ def subtract_rows(spark, sf):
 
 @query(
     "binarize_ratings",
-    f"""with {t.RATED_SQL} select "user", item, rating, case when rating - 2.5 > 0 then 1.0 else 0.0 end as relevant from rated""",
+    f"""with {t.RATED_SQL} select "user", item, rating, case when rating - 2.5 > 0 then 1.0::double else 0.0 end as relevant from rated""",
 )
 def binarize_ratings(spark, sf):
     return corpus.binarize_ratings(t.rated(spark, sf))
@@ -422,11 +422,11 @@ def cover_rows(spark, sf):
     from larkspur.sources import lines
 
     rows = t.order_lines(spark, sf)
-    first, second = F.col("l_linenumber") % 4, F.col("l_suppkey") % 40
-    ones = [
-        F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i, at=at: F.when(i == at, 1).otherwise(0).cast("string"))
-        for n, at in ((4, first), (40, second))
-    ]
+
+    def hot(at, size):
+        return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.when(i == at, "1").otherwise("0"))
+
+    ones = [hot(F.col("l_linenumber") % 4, 4), hot(F.col("l_suppkey") % 40, 40)]
     label = 1 + F.least(F.lit(6), F.floor(F.col("l_extendedprice") / 16000))
     line = F.concat_ws(
         ",", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "l_partkey", "l_suppkey", "l_orderkey",

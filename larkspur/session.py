@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,3 +63,27 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() <= cores else df
+
+
+@contextmanager
+def fitting(df: DataFrame, *columns: str, rows_per_task: int = 2000) -> Iterator[DataFrame]:
+    """The columns an iterative fit reads, cached and cut into as many tasks as they are worth.
+
+    A fit runs one or two jobs per iteration, so a few rows are best kept in one
+    task, while a cached join result that ended up in fewer tasks than there are
+    cores is spread.  Inputs with many rows per task are left as they are.
+    """
+    data = df.select(*columns).cache()
+    out = data
+    try:
+        wanted = max(1, math.ceil(data.count() / rows_per_task))
+        now = data.rdd.getNumPartitions()
+        least = min(wanted, df.sparkSession.sparkContext.defaultParallelism)
+        if now > wanted:
+            out = data.coalesce(wanted)
+        elif now < least:
+            out = data.repartition(least).cache()
+        yield out
+    finally:
+        out.unpersist()
+        data.unpersist()
