@@ -100,7 +100,7 @@ def sweep(
     seed: int = 11,
     features: str = "features",
     label: str | None = None,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> DataFrame:
     """Fit each k on the same cached input and score it.
 

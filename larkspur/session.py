@@ -83,7 +83,9 @@ def fitting(df: DataFrame, *columns: str, rows_per_task: int = 2000) -> Iterator
             out = data.coalesce(wanted)
         elif now < least:
             out = data.repartition(least).cache()
-        yield out
+        # a view of the cached rows: estimators keep their own row objects only for
+        # inputs that are not cached themselves, else they decode them every iteration
+        yield out.select("*")
     finally:
         out.unpersist()
         data.unpersist()
