@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from larkspur.functions.hashing import bucket
-from larkspur.functions.text import any_of, drop_words, letters_only
+from larkspur.functions.text import any_of, letters_only
 
 
 def _array(words: list[str]) -> Column:
@@ -50,7 +50,15 @@ def prefix_tags(df: DataFrame, tags: str, out: str, prefix: str = "label:") -> D
 
 def filter_terms(df: DataFrame, tokens: str, stop_words: list[str], min_length: int = 3, min_terms: int = 2) -> DataFrame:
     """Keep letter-only terms that are long enough and no stop words, then documents with enough terms."""
-    kept = F.filter(drop_words(tokens, stop_words), lambda t: (F.length(t) >= min_length) & letters_only(t))
+    lowered = sorted({w.lower() for w in stop_words})
+
+    def keep(term: Column) -> Column:
+        fits = F.length(term) >= min_length
+        if lowered:
+            fits = fits & ~F.lower(term).isin(lowered)
+        return fits & letters_only(term)  # the dearest test last
+
+    kept = F.filter(tokens, keep)
     return df.withColumn(tokens, kept).filter(F.size(tokens) >= min_terms)
 
 

@@ -9,7 +9,7 @@ from larkspur.operators import classify as cl, clustering as km, corpus, evaluat
 from larkspur.plans import tables as t
 from larkspur.plans.registry import query, r6, sql_bucket, sql_r6
 from larkspur.plans.text_queries import cover_rows
-from larkspur.session import scratch_path
+from larkspur.session import scratch_path, spread
 from larkspur.sources import stores
 
 # --- clustering -----------------------------------------------------------------------
@@ -93,8 +93,8 @@ def anomaly_rows(spark, sf):
 
 
 def _raw(spark, sf):
-    rows = t.table(spark, sf, "lineitem")
-    return ft.assemble(rows.withColumnRenamed("l_returnflag", "label"), NUMERIC).select("label", "features")
+    rows = spread(t.table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("label"), *NUMERIC))
+    return ft.assemble(rows, NUMERIC).select("label", "features")
 
 
 def _scaled(spark, sf):

@@ -9,7 +9,7 @@ from larkspur.functions.text import word_tokens
 from larkspur.functions.vectors import sparse_entries
 from larkspur.plans import tables as t
 from larkspur.plans.registry import query, r6, sql_list, sql_r6
-from larkspur.session import scratch_path
+from larkspur.session import scratch_path, spread
 from larkspur.sources import documents, lines, stores
 
 
@@ -35,7 +35,7 @@ def parse_labeled_csv(spark, sf):
 )
 def parse_class_csv(spark, sf):
     line = F.concat_ws(",", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber")
-    parsed = lines.parse_class_csv(t.table(spark, sf, "lineitem").select(line.alias("value")))
+    parsed = lines.parse_class_csv(spread(t.table(spark, sf, "lineitem").select(line.alias("value"))))
     return parsed.select("label", *[r6(F.col("features")[i]).alias(f"f{i}") for i in range(4)])
 
 

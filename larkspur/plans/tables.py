@@ -63,30 +63,43 @@ def docs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """lineitem with its order's customer and priority and its part's attributes."""
-    lines = table(spark, sf, "lineitem")
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    """lineitem with its order's priority and its part's attributes."""
+    lines = spread(table(spark, sf, "lineitem").drop("l_shipdate"))
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
     parts = table(spark, sf, "part").select("p_partkey", "p_type", "p_size", "p_retailprice")
     return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).join(
         parts, lines["l_partkey"] == parts["p_partkey"]
     )
 
 
+def _stored(spark: SparkSession, name: str, *parts) -> str:
+    """Path of a table that is built once per application and shared by the jobs that start from it."""
+    key = hashlib.md5(repr(parts).encode()).hexdigest()[:12]
+    return f"{shared_dir(spark).rstrip('/')}/larkspur/{spark.sparkContext.applicationId}/{name}-{key}"
+
+
 def _purchases(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    both = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
-    return both.groupBy(F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item"))
+    """(user, item, quantity, lines): orders joined to their lines and combined, stored on first use."""
+
+    def build() -> DataFrame:
+        lines = spread(table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity"))
+        orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+        both = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
+        groups = both.groupBy(F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item"))
+        return groups.agg(F.sum("l_quantity").alias("quantity"), F.count("*").alias("lines"))
+
+    return spread(load_or_build(spark, _stored(spark, "purchases", sf), build))
 
 
 def plays(spark: SparkSession, sf: str) -> DataFrame:
     """(user, item, rating): how much of a part a customer ordered."""
-    return _purchases(spark, sf).agg(F.sum("l_quantity").alias("rating"))
+    return _purchases(spark, sf).select("user", "item", F.col("quantity").alias("rating"))
 
 
 def rated(spark: SparkSession, sf: str) -> DataFrame:
     """(user, item, rating) on a 1 to 5 scale."""
-    return _purchases(spark, sf).agg(F.ceil(F.avg("l_quantity") / 10).cast("double").alias("rating"))
+    stars = F.ceil(F.col("quantity") / F.col("lines") / 10).cast("double")
+    return _purchases(spark, sf).select("user", "item", stars.alias("rating"))
 
 
 def items(spark: SparkSession, sf: str) -> DataFrame:
@@ -124,13 +137,10 @@ def measurement_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def feature_set(spark: SparkSession, sf: str, content: int = 300, title: int = 100) -> DataFrame:
     """Stored document features (content and title), built on first use and then shared by all fits."""
-    key = hashlib.md5(f"{sf}:{content}:{title}".encode()).hexdigest()[:12]
-    path = f"{shared_dir(spark).rstrip('/')}/larkspur/{spark.sparkContext.applicationId}/features-{key}"
-
     def build() -> DataFrame:
         rows = docs(spark, sf)
         recipes = [features.content_recipe(STOP_WORDS, content), features.title_recipe(STOP_WORDS, title)]
         model = features.fit_features(rows, recipes)
         return features.feature_columns(rows, model, recipes).drop("content", "title", "topics")
 
-    return spread(load_or_build(spark, path, build))
+    return spread(load_or_build(spark, _stored(spark, "features", sf, content, title), build))

@@ -10,6 +10,7 @@ from larkspur.functions.vectors import sparse_entries
 from larkspur.operators import classify, corpus, features
 from larkspur.plans import tables as t
 from larkspur.plans.registry import query, r6, sql_bucket, sql_list, sql_r6
+from larkspur.session import spread
 
 TOP = sql_list(t.TOP)
 STOP = sql_list(t.STOP_WORDS)
@@ -463,7 +464,8 @@ Z_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "constant"]
     f"{sql_r6('(l_discount - m3) / s3')} as z_l_discount, {sql_r6('(l_tax - m4) / s4')} as z_l_tax, 0.0::double as z_constant from lineitem, m",
 )
 def zscore(spark, sf):
-    rows = t.table(spark, sf, "lineitem").withColumn("constant", F.lit(3.0))
+    rows = t.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", *Z_COLUMNS[:4])
+    rows = spread(rows).withColumn("constant", F.lit(3.0))
     scored = features.zscore(rows, Z_COLUMNS)
     return scored.select("l_orderkey", "l_linenumber", *[r6(f"z_{c}").alias(f"z_{c}") for c in Z_COLUMNS])
 

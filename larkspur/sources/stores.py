@@ -5,19 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a job has finished writing the folder."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 def load_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Read a stored feature set, or build, store and read it when there is none."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error.getCondition()):
-            raise
-    build().write.parquet(path)
+    """Read a stored table, or build, store and read it when there is no complete one."""
+    if not is_complete(spark, path):
+        build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
