@@ -21,7 +21,7 @@ def pair_counts(df: DataFrame, label: str = "label", prediction: str = "predicti
     return df.groupBy(F.col(label).alias("actual"), F.col(prediction).alias("predicted")).agg(F.count("*").alias("n"))
 
 
-def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction", limit: int = 10_000) -> DataFrame:
+def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction", limit: int = 1000) -> DataFrame:
     """Counts on the full label grid, rows actual and columns predicted, zero where no row fell.
 
     The grid is built from the label list, whose length is checked.

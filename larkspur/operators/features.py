@@ -9,6 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     IDF,
     CountVectorizerModel,
+    ElementwiseProduct,
     IDFModel,
     IndexToString,
     Normalizer,
@@ -22,6 +23,7 @@ from pyspark.ml.feature import (
     Tokenizer,
     VectorAssembler,
 )
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, functions as F
 
 from larkspur.functions.text import ngrams_sql
@@ -309,17 +311,17 @@ def zscore(df: DataFrame, columns: Sequence[str], moments: dict | None = None, p
 
 
 def zscore_vectors(df: DataFrame, features: str = "features", out: str = "scaled") -> DataFrame:
-    """Z-scores of a vector column by population statistics; constant values are only centred."""
-    from pyspark.ml.feature import ElementwiseProduct
-    from pyspark.ml.linalg import Vectors
-    from pyspark.ml.stat import Summarizer
-
-    stats = df.select(Summarizer.metrics("mean", "variance", "count").summary(F.col(features)).alias("s")).select("s.*").first()
-    shrink = (stats["count"] - 1) / stats["count"]
-    factors = [1.0 / (v * shrink) ** 0.5 if v > 0 else 1.0 for v in stats["variance"].toArray()]
-    centre = StandardScaler(inputCol=features, outputCol="_centred", withMean=True, withStd=False).fit(df)
-    scale = ElementwiseProduct(inputCol="_centred", outputCol=out, scalingVec=Vectors.dense(factors))
-    return scale.transform(centre.transform(df)).drop("_centred")
+    """Z-scores of a vector column by population statistics; constant values are only centred (to 0).
+
+    The scaler divides by the sample deviation; the factor sqrt(n / (n - 1)) turns it into the population one.
+    """
+    scaler = StandardScaler(inputCol=features, outputCol="_sample", withMean=True, withStd=True).fit(df)
+    rows = df.count()
+    factor = (rows / (rows - 1)) ** 0.5 if rows > 1 else 1.0
+    stretch = ElementwiseProduct(
+        inputCol="_sample", outputCol=out, scalingVec=Vectors.dense([factor] * len(scaler.mean))
+    )
+    return stretch.transform(scaler.transform(df)).drop("_sample")
 
 
 def assemble(df: DataFrame, columns: Sequence[str], out: str = "features") -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
+from pyspark.sql import SparkSession
 from pyspark.util import inheritable_thread_target
 
 A = TypeVar("A")
@@ -18,4 +19,4 @@ def run_all(task: Callable[[A], B], items: Iterable[A], parallelism: int = 4) ->
     if parallelism < 2 or len(items) < 2:
         return [task(i) for i in items]
     with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as pool:
-        return list(pool.map(inheritable_thread_target(task), items))
+        return list(pool.map(inheritable_thread_target(SparkSession.getActiveSession())(task), items))

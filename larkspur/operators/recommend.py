@@ -72,9 +72,11 @@ def popularity_scores(pairs: DataFrame, train: DataFrame) -> DataFrame:
 # --- ALS --------------------------------------------------------------------------
 
 
-def als_fit(ratings: DataFrame, implicit: bool = False, seed: int = 11, blocks: int = 10, **params) -> ALSModel:
+def als_fit(ratings: DataFrame, implicit: bool = False, seed: int = 11, blocks: int | None = None, **params) -> ALSModel:
     """Alternating least squares on integer ids; intermediate factors are checkpointed to the shared folder."""
-    shared_dir(ratings.sparkSession)
+    spark = ratings.sparkSession
+    shared_dir(spark)
+    blocks = blocks or max(10, spark.sparkContext.defaultParallelism)
     settings = {**(IMPLICIT if implicit else EXPLICIT), **params}
     als = ALS(
         userCol="user", itemCol="item", ratingCol="rating", implicitPrefs=implicit, coldStartStrategy="drop",
@@ -111,14 +113,13 @@ def recommend_item_users(model: ALSModel, items: DataFrame, n: int = 5) -> DataF
     return _listed(model.recommendForItemSubset(items.select("item").distinct(), n), "item", "user")
 
 
-def top_items(ratings: DataFrame, scored: DataFrame, n: int = 10) -> DataFrame:
+def top_items(scored: DataFrame, n: int = 10) -> DataFrame:
     """Each user's n best items by score, ties by item.
 
     With a small ``n`` Spark drops surplus rows in each task before the shuffle.
     """
     order = Window.partitionBy("user").orderBy(F.desc("score"), F.asc("item"))
-    ranked = scored.withColumn("position", F.row_number().over(order))
-    return ranked.filter(F.col("position") <= n).join(ratings.select("user").distinct(), "user", "left_semi")
+    return scored.withColumn("position", F.row_number().over(order)).filter(F.col("position") <= n)
 
 
 # --- negative sampling and AUC --------------------------------------------------------

@@ -355,6 +355,12 @@ def logistic_threshold(spark, sf):
     return rows.select("actual", "predicted", "n", F.lit(threshold).alias("threshold"), F.lit(f_measure).alias("f_measure"))
 
 
+@query("logistic_history")
+def logistic_history(spark, sf):
+    model = cl.fit(cl.logistic_regression(label="label"), _quality(spark, sf), "label")
+    return spark.createDataFrame(list(enumerate(model.summary.objectiveHistory)), "iteration int, objective double")
+
+
 @query("linear_svm")
 def linear_svm(spark, sf):
     return _binary(spark, sf, cl.linear_svm(label="label"))

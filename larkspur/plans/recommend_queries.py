@@ -151,7 +151,7 @@ hits as (
 
 def _hits(spark, sf):
     plays, rated = t.plays(spark, sf), t.rated(spark, sf)
-    top = rec.top_items(plays, rec.popularity_scores(plays.select("user", "item"), plays))
+    top = rec.top_items(rec.popularity_scores(plays.select("user", "item"), plays))
     relevant = corpus.binarize_ratings(rated).filter("relevant > 0")
     return ev.ranked_hits(top, relevant, rated)
 

@@ -41,6 +41,17 @@ def label_top_category(spark, sf):
     return corpus.label_top_category(t.docs(spark, sf), t.TOP).select("doc_id", "category")
 
 
+@query(
+    "parse_corpus",
+    f"""with {t.DOCS_SQL}
+select doc_id, case when list_contains({TOP}, topics[1]) then topics[1] else topics[2] end as category, md5(content || title) as digest
+from docs where list_has_any(topics, {TOP})""",
+)
+def parse_corpus(spark, sf):
+    rows = t.docs(spark, sf).withColumnRenamed("content", "body").drop("category")
+    return corpus.parse_corpus(rows, t.TOP).select("doc_id", "category", F.md5("content").alias("digest"))
+
+
 @query("filter_top_topics", f"with {t.DOCS_SQL} select doc_id, labels from docs where list_has_any(topics, {TOP})")
 def filter_top_topics(spark, sf):
     return corpus.filter_top_topics(t.docs(spark, sf), t.TOP).select("doc_id", "labels")
