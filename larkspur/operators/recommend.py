@@ -13,7 +13,7 @@ from larkspur.operators.corpus import clamp, containing_any
 from larkspur.operators.evaluate import mean_user_auc
 from larkspur.operators.ordering import position, running_totals
 from larkspur.operators.parallel import run_all
-from larkspur.session import shared_dir
+from larkspur.session import cut_lineage, shared_dir
 
 # Settings of the fits and of the grid.
 EXPLICIT = {"rank": 10, "maxIter": 10, "regParam": 0.01}
@@ -135,8 +135,9 @@ def negative_samples(positives: DataFrame, items: DataFrame) -> DataFrame:
     task is lost.
     """
     owned = positives.select("user", "item").distinct()
-    index = position(items.select("item").distinct(), [], [("item", False)], "_at")
-    size = index.count()
+    known = cut_lineage(items.select("item").distinct())
+    index = position(known, [], [("item", False)], "_at", stored=True)
+    size = known.count()
     wanted = owned.groupBy("user").agg(F.count("*").alias("_want"))
     last = F.col("_want") * 2
     blocks = wanted.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((last - 1) / SLOTS_PER_BLOCK))))
