@@ -141,7 +141,9 @@ def negative_samples(positives: DataFrame, items: DataFrame) -> DataFrame:
     wanted = owned.groupBy("user").agg(F.count("*").alias("_want"))
     last = F.col("_want") * 2
     blocks = wanted.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((last - 1) / SLOTS_PER_BLOCK))))
-    spread = blocks.repartition("user", "_block")
+    # a fixed number of tasks: few bytes go in, but every row becomes thousands of slots
+    tasks = int(positives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = blocks.repartition(tasks, "user", "_block")
     first = F.col("_block") * SLOTS_PER_BLOCK + 1
     upto = F.least(F.col("_block") * SLOTS_PER_BLOCK + SLOTS_PER_BLOCK, last)
     slots = spread.withColumn("slot", F.explode(F.sequence(first, upto))).drop("_block")
