@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -22,10 +24,6 @@ def as_vector(column: Column | str) -> Column:
     return array_to_vector(doubles(column))
 
 
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-
-
 def norm(a: Column) -> Column:
     return F.sqrt(F.aggregate(a, F.lit(0.0), lambda s, x: s + x * x))
 
@@ -76,3 +74,7 @@ def nearest_centre(column: Column | str, centres: Sequence[Sequence[float]], ids
         return pa.StructArray.from_arrays([pa.array(owner), pa.array(best)], ["cluster", "distance"])
 
     return assign(doubles(column))
+
+
+# functions of this module travel with the job, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
