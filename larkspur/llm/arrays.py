@@ -22,7 +22,7 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 WEIGHT = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -6,7 +6,7 @@ level says which ids go on, and a rank directory counts the set bits before each
 is one lookup away: ``Segment.get(i)`` reads any id without decoding others.
 
 The files are a Parquet table of segments, so that they can lie in any store Spark reaches:
-``part``, ``segment``, ``n_ids``, ``doc_ids`` and ``doc_ends`` (little-endian longs), ``codes`` (the format above).
+``part``, ``segment``, ``before`` (ids of the part before the segment), ``n_ids``, ``doc_ids`` and ``doc_ends`` (little-endian longs), ``codes`` (the format above).
 
 Edge cases: a null or empty text consists of the end id; rows with equal ids are kept side by side, in order of their text; rows
 with a null id are left out; an empty table gives no segments.
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larkspur.llm import arrays as A
 from larkspur.llm.tables import scratch_path, text_of
@@ -31,7 +31,7 @@ MAGIC = b"DAC1"
 BLOCK = 512  # bits for each entry of a rank directory
 SEGMENT_IDS = 1 << 20
 END_ID = 2
-SEGMENTS = "part int, segment int, n_ids long, doc_ids binary, doc_ends binary, codes binary"
+SEGMENTS = "part int, segment int, before long, n_ids long, doc_ids binary, doc_ends binary, codes binary"
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -103,12 +103,12 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
-        part, number = TaskContext.get().partitionId(), 0
+        part, number, before = TaskContext.get().partitionId(), 0, 0
         parts, docs_in, ends, total = [], [], [], 0
 
         def segment() -> pa.RecordBatch:
             ids, stops = np.concatenate(docs_in), np.concatenate(ends)
-            return pa.RecordBatch.from_pylist([{"part": part, "segment": number, "n_ids": total, "doc_ids": ids.astype("<i8").tobytes(), "doc_ends": stops.astype("<i8").tobytes(), "codes": pack(np.concatenate(parts))}], SCHEMA)
+            return pa.RecordBatch.from_pylist([{"part": part, "segment": number, "before": before, "n_ids": total, "doc_ids": ids.astype("<i8").tobytes(), "doc_ends": stops.astype("<i8").tobytes(), "codes": pack(np.concatenate(parts))}], SCHEMA)
 
         for batch in batches:
             raw, offsets = A.flat(batch["text"])
@@ -122,14 +122,15 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
                 total += len(ids)
                 if total >= SEGMENT_IDS:
                     yield segment()
-                    parts, docs_in, ends, total, number = [], [], [], 0, number + 1
+                    before, number = before + total, number + 1
+                    parts, docs_in, ends, total = [], [], [], 0
         if total:
             yield segment()
 
     in_order(docs).mapInArrow(run, SEGMENTS).write.parquet(path)
 
 
-SCHEMA = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("n_ids", pa.int64()), ("doc_ids", pa.binary()), ("doc_ends", pa.binary()), ("codes", pa.binary())])
+SCHEMA = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("before", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.binary()), ("doc_ends", pa.binary()), ("codes", pa.binary())])
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -137,14 +138,12 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.schema(SEGMENTS).parquet(path)
     # one row for each part that was written, so no more than there were tasks
     totals = {r.part: r.n for r in files.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()}
-    before, at = [], 0
+    starts, at = [], 0
     for part in sorted(totals):
-        before.append((part, at))
+        starts.append((part, at))
         at += totals[part]
-    parts = F.broadcast(spark.createDataFrame(before, "part int, part_start long"))
-    along = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
-    starts = files.select("part", "segment", "n_ids").withColumn("inside", F.coalesce(F.sum("n_ids").over(along), F.lit(0))).join(parts, "part")
-    placed = files.drop("n_ids").join(starts.select("part", "segment", (F.col("inside") + F.col("part_start")).alias("first")), ["part", "segment"])
+    parts = F.broadcast(spark.createDataFrame(starts, "part int, part_start long"))
+    placed = files.join(parts, "part").withColumn("first", F.col("before") + F.col("part_start"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
