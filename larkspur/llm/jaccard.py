@@ -10,7 +10,8 @@
    have sizes n + m <= 9k/4 are linked, and within a list it is enough to link all of them to the
    smallest set.  *Heavy* pairs: inverted lists of the first shingles are scanned.  Each set is compared
    with the smallest document most often listed with it; the sets that link form classes; then
-   pairs from different classes that share a list are compared.  Pairs inside a class are never formed.
+   pairs from different classes that share a list are compared, if the parities of their elements do not rule them out.  Pairs inside
+   a class are never formed.
    The boundary is the size at which the cost of subsets passes that of lists.
 4. Links become components by joins.
 
@@ -31,11 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from larkspur.llm import arrays as A
-from larkspur.llm.components import components, roots
+from larkspur.llm.components import components
 from larkspur.llm.tables import bucket_count, cut, text_of
 
 N = 5
 COUNTED = 0.4
+PARITY_WORDS = 16
+ROUNDS = 1  # of comparisons with one other set each, before all pairs between classes
 LARGEST_LIGHT = 24  # subsets of larger sets are never cheaper than lists
 
 
@@ -108,7 +111,7 @@ ASKED = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("value", pa.b
 
 def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, rep, n_shingles) of all documents, and the sets that may have links:
-    (rep, n, shingles sorted as bytes, first: the shingles of the prefix, listed: number of these that others have)."""
+    (rep, n, shingles sorted as bytes, first: the shingles of the prefix that others have, places: their places in the order, listed: their number)."""
     spark = docs.sparkSession
     buckets = bucket_count(spark, 2)
     counted = int(COUNTED * 2**32)
@@ -165,7 +168,7 @@ def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     counts = asked.where("bucket >= 0").groupBy("bucket").applyInArrow(count, "chunk int, bucket int, more binary")
 
     def choose(left: pa.Table, right: pa.Table) -> pa.Table:
-        schema = pa.schema([("rep", pa.int64()), ("n", pa.int32()), ("shingles", pa.binary()), ("first", pa.binary()), ("listed", pa.int32())])
+        schema = pa.schema([("rep", pa.int64()), ("n", pa.int32()), ("shingles", pa.binary()), ("first", pa.binary()), ("places", pa.binary()), ("listed", pa.int32())])
         if not left.num_rows:
             return schema.empty_table()
         table = _distinct(left)
@@ -178,9 +181,9 @@ def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         owner = np.repeat(np.arange(len(stops) - 1), np.diff(stops))
         order = np.lexsort((value, rank, owner))
         n = np.diff(stops)
-        prefix = A.ranges(stops[:-1], np.where(n > 0, first_few(n), 0))
-        chosen = order[prefix]
-        chosen = chosen[rank[chosen] > 1]
+        reach = np.where(n > 0, first_few(n), 0)
+        chosen, place = order[A.ranges(stops[:-1], reach)], A.runs(reach).astype(np.int32)
+        place, chosen = place[rank[chosen] > 1], chosen[rank[chosen] > 1]
         listed = np.bincount(owner[chosen], minlength=len(n))
         cuts = np.r_[0, np.cumsum(listed)]
         rows = np.flatnonzero(listed)
@@ -188,10 +191,11 @@ def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         return pa.table([
             pa.array([int(np.frombuffer(ids[r][:8], np.int64)[0]) for r in rows], pa.int64()), pa.array(n[rows].astype(np.int32)),
             pa.array([value[stops[r] : stops[r + 1]].tobytes() for r in rows], pa.binary()),
-            pa.array([value[chosen[cuts[r] : cuts[r + 1]]].tobytes() for r in rows], pa.binary()), pa.array(listed[rows].astype(np.int32)),
+            pa.array([value[chosen[cuts[r] : cuts[r + 1]]].tobytes() for r in rows], pa.binary()),
+            pa.array([place[cuts[r] : cuts[r + 1]].tobytes() for r in rows], pa.binary()), pa.array(listed[rows].astype(np.int32)),
         ], schema)
 
-    sets = cut(dealt.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(choose, "rep long, n int, shingles binary, first binary, listed int"))
+    sets = cut(dealt.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(choose, "rep long, n int, shingles binary, first binary, places binary, listed int"))
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,29 +243,80 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def heavy_links(sets: DataFrame, above: int) -> DataFrame:
-    """Links between sets of which one at least has more than ``above`` shingles: (a, b)."""
+def can_reach(n: str, place: str, m: str, other_place: str) -> str:
+    """Sizes that fit, and enough elements left at the first common one on both sides (SQL)."""
+    need = f"4 * ({n} + {m})"
+    return f"5 * {n} >= 4 * {m} and 5 * {m} >= 4 * {n} and 9 * ({n} - {place}) >= {need} and 9 * ({m} - {other_place}) >= {need}"
+
+
+def heavy_links(sets: DataFrame, above: int, rounds: int = ROUNDS) -> DataFrame:
+    """Links between sets of which one at least has more than ``above`` shingles: (a, b).
+
+    A linked pair shares a list in which both have enough elements left (that of its first common element), so only
+    these entries count.  A round compares each set with one smaller document of another class; what links joins
+    a class.  Of the pairs that are left between classes, parity words rule out those that differ too much
+    where the lists are joined; the others are compared.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = A.flat(batch["first"])
+            places, _ = A.flat(batch["places"])
             each = np.diff(offsets) // 8
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(raw.tobytes(), np.int64)), pa.array(np.repeat(batch["rep"].to_numpy(), each)), pa.array(np.repeat(batch["n"].to_numpy(), each))], ["item", "rep", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(raw.tobytes(), np.int64)), pa.array(np.repeat(batch["rep"].to_numpy(), each)), pa.array(np.repeat(batch["n"].to_numpy(), each)), pa.array(np.frombuffer(places.tobytes(), np.int32))], ["item", "rep", "n", "place"])
 
     # a partner of a heavy set has at least 0.8 times its size
-    lists = cut(sets.where(F.col("n") * 5 >= 4 * (above + 1)).select("rep", "n", "first").mapInArrow(run, "item long, rep long, n int"))
-    centre = lists.groupBy("item").agg(F.min("rep").alias("b"), F.count("*").alias("c")).where("c > 1").drop("c")
-    votes = lists.join(centre, "item").where("rep <> b").groupBy("rep", "b").count()
-    best = votes.groupBy("rep").agg(F.max_by("b", F.struct("count", -F.col("b"))).alias("b")).select(F.col("rep").alias("a"), "b")
-    star = cut(_linked(best, sets))
-    pointers = lists.select("rep").distinct().join(star.withColumnRenamed("a", "rep"), "rep", "left").select(F.col("rep").alias("node"), F.coalesce("b", "rep").alias("parent"))
-    classes = roots(pointers)
-    named = lists.join(classes.select(F.col("node").alias("rep"), F.col("root").alias("class")), "rep")
-    mixed = named.groupBy("item").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("item")
-    open_lists = cut(named.join(mixed, "item", "left_semi"))
-    left, right = (open_lists.select("item", F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("class").alias(f"c{x}")) for x in "ab")
-    pairs = left.join(right, "item").where("ca < cb and 5 * na >= 4 * nb and 5 * nb >= 4 * na").select("a", "b").distinct()
-    return star.union(_linked(pairs, sets))
+    entries = sets.where(F.col("n") * 5 >= 4 * (above + 1)).select("rep", "n", "first", "places").mapInArrow(run, "item long, rep long, n int, place int")
+    lists = cut(entries.withColumn("class", F.col("rep")))
+    tried = None
+    links = None
+    for _ in range(rounds):
+        # for each list the smallest member of the smallest class, and of the next class up
+        low = lists.groupBy("item").agg(F.min(F.struct("class", "rep", "n", "place")).alias("low"), F.max("class").alias("high")).where("low.class < high").select("item", "low")
+        open_lists = lists.join(low, "item").where("class <> low.class and " + can_reach("n", "place", "low.n", "low.place"))
+        votes = open_lists.groupBy("rep", F.col("low.rep").alias("b"), F.col("low.class").alias("other"), "class").agg(F.count("*").alias("c"))
+        if tried is not None:
+            votes = votes.join(tried, ["rep", "b"], "left_anti")
+        best = cut(votes.groupBy("rep").agg(F.max_by("b", F.struct("c", -F.col("b"))).alias("b")))
+        if best.isEmpty():
+            break
+        tried = best if tried is None else tried.union(best)
+        found = cut(_linked(best.select(F.col("rep").alias("a"), "b"), sets))
+        links = found if links is None else links.union(found)
+        labels = components(links).toDF("rep", "root")
+        lists = cut(entries_of(lists, labels))
+    mixed = lists.groupBy("item").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("item")
+    rest = lists.join(mixed, "item", "left_semi")
+    rest = cut(rest.join(parities(sets.join(rest.select("rep"), "rep", "left_semi")), "rep"))
+    left, right = (rest.select("item", F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("class").alias(f"c{x}"), F.col("place").alias(f"p{x}"), *(F.col(f"w{k}").alias(f"{x}{k}") for k in range(PARITY_WORDS))) for x in "ab")
+    differ = " + ".join(f"bit_count(a{k} ^ b{k})" for k in range(PARITY_WORDS))
+    pairs = left.join(right, "item").where(f"ca < cb and {can_reach('na', 'pa', 'nb', 'pb')} and 9 * ({differ}) <= na + nb").select("a", "b").distinct()
+    last = _linked(pairs, sets)
+    return last if links is None else links.union(last)
+
+
+def parities(sets: DataFrame) -> DataFrame:
+    """For each set, of how many of its elements fall on each of 64 * PARITY_WORDS bits, the parity: (rep, w0, w1, ...).
+
+    Common elements cancel in the exclusive or of two sets, so its bits are at most the elements that only one of them
+    has.  Sets link if these are at most a ninth of n + m.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = np.zeros((len(batch), 64 * PARITY_WORDS), np.uint8)
+            for k, blob in enumerate(batch["shingles"]):
+                place = (A.mix(np.frombuffer(blob.as_buffer(), np.uint64)) % A.U(64 * PARITY_WORDS)).astype(np.int64)
+                bits[k] = np.bincount(place, minlength=64 * PARITY_WORDS) & 1
+            words = np.packbits(bits, axis=1).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch["rep"], *(pa.array(np.ascontiguousarray(words[:, k])) for k in range(PARITY_WORDS))], ["rep", *(f"w{k}" for k in range(PARITY_WORDS))])
+
+    return sets.select("rep", "shingles").mapInArrow(run, "rep long, " + ", ".join(f"w{k} long" for k in range(PARITY_WORDS)))
+
+
+def entries_of(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """The entries with their classes anew."""
+    return lists.drop("class").join(labels, "rep", "left").withColumn("class", F.coalesce("root", "rep")).select("item", "rep", "n", "place", "class")
 
 
 def join_documents(docs: DataFrame) -> DataFrame:
