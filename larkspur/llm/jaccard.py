@@ -144,6 +144,7 @@ def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         sizes = np.array([len(x) for x in ids])
         n = np.diff(stops)
         members = np.column_stack([np.concatenate(ids), np.repeat([x[0] for x in ids], sizes), np.repeat(n, sizes)]).astype(np.int64)
+        members[members[:, 2] == 0, 1] = members[members[:, 2] == 0, 0]  # empty sets are linked with nothing
         out = [pa.RecordBatch.from_pylist([{"bucket": -1, "chunk": chunk, "value": members.tobytes(), "more": b""}], ASKED)]
         unique, times = np.unique(value, return_counts=True)
         bucket, low = requests(unique)
@@ -332,5 +333,5 @@ def join_documents(docs: DataFrame) -> DataFrame:
 
 def representatives(docs: DataFrame) -> DataFrame:
     """The documents that stay: the smallest id of each component, with all columns."""
-    first = join_documents(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(first, docs["doc_id"] == first["_kept_id"], "left_semi")
+    first = join_documents(docs).where("doc_id = component_id").select("doc_id")
+    return docs.alias("d").join(first.alias("f"), F.col("d.doc_id") == F.col("f.doc_id"), "left_semi")
