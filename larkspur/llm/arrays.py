@@ -22,7 +22,7 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 WEIGHT = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -38,7 +38,7 @@ POWERS: dict[int, np.ndarray] = {}
 def powers(base: int, n: int) -> np.ndarray:
     """1, base, base^2, ...; the longest list so far is kept."""
     if len(POWERS.get(base, ())) < n:
-        out = np.full(max(n, SLICE_BYTES + 64), base, U)
+        out = np.full(max(n, (1 << 19) + 64), base, U)
         out[0] = 1
         POWERS[base] = np.multiply.accumulate(out)
     return POWERS[base][:n]

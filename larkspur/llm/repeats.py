@@ -28,6 +28,7 @@ from larkspur.llm.tables import bucket_count, cut, fold, fold_array
 
 BLOCK = 1 << 23  # windows taken at once; positions have 24 bits
 PLACE = A.U((1 << 24) - 1)
+SMALL = 1 << 19  # bytes taken at once
 
 
 @dataclass(frozen=True)
@@ -98,20 +99,24 @@ def found_columns(table: pa.Table) -> dict[str, np.ndarray]:
     return {k: table[k].to_numpy().astype(np.int64) for k in COLUMNS}
 
 
-def homes_of(docs: DataFrame, homes: int) -> DataFrame:
-    return docs.withColumn("_home", F.pmod(fold(F.col("doc_id")), F.lit(homes)).cast("int"))
+def homes_of(docs: DataFrame, homes: int) -> tuple[DataFrame, str]:
+    """The documents with a column for their bucket, and its name, which no other column has."""
+    name = "home"
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
+    return docs.withColumn(name, F.pmod(fold(F.col("doc_id").cast("long")), F.lit(homes)).cast("int")), name
 
 
 def search(docs: DataFrame, rule: Rule) -> tuple[DataFrame, int]:
     """Runs that repeat as a whole (open 0), and the open ones to compare (open 1), in the buckets of their documents."""
-    buckets = bucket_count(docs.sparkSession)
-    homes = bucket_count(docs.sparkSession, 2)
+    buckets = bucket_count(docs.sparkSession, 8)
+    homes = bucket_count(docs.sparkSession, 4)
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = A.flat(batch["text"])
             ids = batch["doc_id"].to_numpy()
-            for i, j in A.slices(offsets):
+            for i, j in A.slices(offsets, SMALL):
                 values, first, _ = rule.elements(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 r = owned_runs(A.Spans(values), first, rule)
                 target = ((r["key"] >> A.U(32)).astype(np.int64) * buckets) >> 32
@@ -189,7 +194,8 @@ def compare(docs: DataFrame, found: DataFrame, homes: int, rule: Rule, windows:
         return pa.Table.from_batches(out, schema)
 
     opened = found.where("open = 1")
-    texts = homes_of(docs.select("doc_id", "text"), homes).groupBy("_home").cogroup(opened.groupBy("home")).applyInArrow(fetch, "bucket int, doc binary, start binary, n binary, elements binary")
+    placed, home = homes_of(docs.select("doc_id", "text"), homes)
+    texts = placed.groupBy(home).cogroup(opened.groupBy("home")).applyInArrow(fetch, "bucket int, doc binary, start binary, n binary, elements binary")
 
     def judge(table: pa.Table) -> pa.Table:
         doc, start, n = A.gather(table, "doc", np.int64), A.gather(table, "start", np.uint32).astype(np.int64), A.gather(table, "n", np.uint16).astype(np.int64)
@@ -233,7 +239,7 @@ def apply(docs: DataFrame, found: DataFrame, homes: int, rule: Rule, finish: Cal
             ids = left["doc_id"].to_numpy()
             raw, offsets = A.flat(left["text"])
             row = positions(ids, r["doc"])
-            left = left.drop_columns(["_home"])
+            left = left.drop_columns([home])
             for i, j in A.slices(offsets):
                 part, stops = raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
                 _, first, words = rule.elements(part, stops)
@@ -242,7 +248,8 @@ def apply(docs: DataFrame, found: DataFrame, homes: int, rule: Rule, finish: Cal
                 out.append(finish(left.slice(i, j - i), part, stops, first, words, removed))
         return pa.concat_tables(out) if out else nothing
 
-    return homes_of(docs, homes).groupBy("_home").cogroup(found.groupBy("home")).applyInArrow(run, schema)
+    placed, home = homes_of(docs, homes)
+    return placed.groupBy(home).cogroup(found.groupBy("home")).applyInArrow(run, schema)
 
 
 def arrow_schema(spark: SparkSession, schema: str | StructType) -> pa.Schema:
