@@ -66,7 +66,7 @@ def owned_runs(spans: A.Spans, first: np.ndarray, rule: Rule) -> dict[str, np.nd
         new = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1)]) if len(at) else np.zeros(0, int)
         starts.append(at[new] + a)
         sizes.append(np.diff(np.r_[new, len(at)]))
-        keys.append(grams[anchor[new]])
+        keys.append(A.mix(grams[anchor[new]]))  # anchors are small hashes; mixed again they spread evenly
     start, n, key = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((starts, np.int64), (sizes, np.int64), (keys, A.U)))
     content = A.mix(spans.hash(start, start + n + rule.length - 1) ^ A.mix(n.astype(A.U)))
     text = np.searchsorted(first, start, "right") - 1
