@@ -28,7 +28,7 @@ from larkspur.llm.tables import bucket_count, cut, fold, fold_array
 
 BLOCK = 1 << 23  # windows taken at once; positions have 24 bits
 PLACE = A.U((1 << 24) - 1)
-SMALL = 1 << 19  # bytes taken at once
+SMALL = 1 << 20  # bytes taken at once
 
 
 @dataclass(frozen=True)
@@ -109,8 +109,8 @@ def homes_of(docs: DataFrame, homes: int) -> tuple[DataFrame, str]:
 
 def search(docs: DataFrame, rule: Rule) -> tuple[DataFrame, int]:
     """Runs that repeat as a whole (open 0), and the open ones to compare (open 1), in the buckets of their documents."""
-    buckets = bucket_count(docs.sparkSession, 8)
-    homes = bucket_count(docs.sparkSession, 4)
+    buckets = bucket_count(docs.sparkSession, 3)
+    homes = bucket_count(docs.sparkSession, 1)
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
