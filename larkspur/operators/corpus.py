@@ -72,16 +72,17 @@ def seeded_sample(df: DataFrame, fraction: float, seed: int = 11) -> DataFrame:
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
-def upsert(base: DataFrame, updates: DataFrame, key: str) -> DataFrame:
+def upsert(base: DataFrame, updates: DataFrame, key: str, order: str | None = None) -> DataFrame:
     """Keyed update: one row per key, the update where there is one.
 
     A ``max_by`` aggregate picks the winner, so many rows of one key shrink to one
-    per task before the shuffle.  Among repeats on one side the greatest row wins.
+    per task before the shuffle.  Among repeats on one side the row with
+    the greatest ``order`` wins (a column of both sides), and without it, or on ties, the greatest row.
     """
     values = [c for c in base.columns if c != key]
     sides = base.withColumn("_side", F.lit(0)).unionByName(updates.withColumn("_side", F.lit(1)))
     row = F.struct(*values)
-    won = sides.groupBy(key).agg(F.max(F.struct(F.col("_side"), row.alias("row"))).alias("_w"))
+    won = sides.groupBy(key).agg(F.max(F.struct(F.col("_side"), (F.col(order) if order else F.lit(0)).alias("order"), row.alias("row"))).alias("_w"))
     return won.select(key, "_w.row.*").select(*base.columns)
 
 

@@ -24,9 +24,10 @@ def pair_counts(df: DataFrame, label: str = "label", prediction: str = "predicti
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction", limit: int = 1000) -> DataFrame:
     """Counts on the full label grid, rows actual and columns predicted, zero where no row fell.
 
-    The grid is built from the label list, whose length is checked.
+    The grid is built from the label list, whose length is checked.  Rows without
+    a label or a prediction have no cell and are left out.
     """
-    counts = pair_counts(df, label, prediction).cache()
+    counts = pair_counts(df, label, prediction).where("actual is not null and predicted is not null").cache()
     try:
         found = counts.select(F.explode(F.array("actual", "predicted")).alias("label")).distinct().limit(limit + 1).collect()
         if len(found) > limit:
@@ -102,7 +103,11 @@ def random_baseline(train: DataFrame, test: DataFrame, label: str = "label") ->
 
 
 def score_steps(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """Per distinct score: positives and negatives at it, above it, and in all."""
+    """Per distinct score: positives and negatives at it, above it, and in all.
+
+    Rows without a score (null or NaN) cannot be ranked and count nowhere.
+    """
+    df = df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
     counts = df.groupBy(F.col(score).alias("score")).agg(
         F.count(F.when(F.col(label) == 1, 1)).alias("pos"), F.count(F.when(F.col(label) != 1, 1)).alias("neg")
     )

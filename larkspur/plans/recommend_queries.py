@@ -221,9 +221,14 @@ def _rounded(df):
     return df.withColumn("score", F.round("score", 4))
 
 
+def _shifted(df):
+    """Ratings around zero, so that a score tells liked from disliked."""
+    return df.withColumn("rating", F.col("rating") - 2.5)
+
+
 @query("als_explicit")
 def als_explicit(spark, sf):
-    rows = corpus.binarize_ratings(t.rated(spark, sf)).withColumn("rating", F.col("rating") - 2.5).cache()
+    rows = _shifted(corpus.binarize_ratings(t.rated(spark, sf))).cache()
     model = rec.als_fit(rows)
     out = ev.rmse_r2(rec.als_predict(model, rows).select("rating", "prediction"))
     rows.unpersist()
@@ -266,7 +271,7 @@ def recommend_some_users(spark, sf):
 
 @query("recommend_all_users")
 def recommend_all_users(spark, sf):
-    model = rec.als_fit(t.rated(spark, sf))
+    model = rec.als_fit(_shifted(t.rated(spark, sf)))
     return _rounded(rec.recommend_all_users(model, 10))
 
 
@@ -280,7 +285,7 @@ def recommend_item_users(spark, sf):
 @query("als_ranking_metrics")
 def als_ranking_metrics(spark, sf):
     rows = t.rated(spark, sf).cache()
-    model = rec.als_fit(rows)
+    model = rec.als_fit(_shifted(rows))
     relevant = corpus.binarize_ratings(rows).filter("relevant > 0")
     hits = ev.ranked_hits(rec.recommend_all_users(model, 10), relevant, rows).cache()
     precision = ev.precision_at(hits).select(F.concat(F.lit("precision@"), "k").alias("metric"), F.col("precision").alias("value"))
