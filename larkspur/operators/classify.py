@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from itertools import product
 
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LinearSVC,
@@ -16,7 +16,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import IndexToString, VectorIndexer
+from pyspark.ml.feature import IndexToString
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -43,6 +43,8 @@ SVM = {"maxIter": 300}
 PERCEPTRON = {"maxIter": 100, "blockSize": 128, "seed": 1234}
 FINAL_TREE = {"impurity": "entropy", "maxDepth": 30, "maxBins": 300}
 FOLDS, FOLD_SEED = 10, 10
+# Ten measurements, then two categories with their numbers of values.
+COVER_WIDTH, COVER_CATEGORIES = 12, {10: 4, 11: 40}
 
 
 def points(grid: dict[str, Sequence]) -> list[Params]:
@@ -98,10 +100,16 @@ def one_vs_rest(classifier, features: str = FEATURES, label: str = LABEL, parall
     return OneVsRest(classifier=classifier, parallelism=parallelism, **_columns(features, label))
 
 
-def tree_with_categories(max_categories: int = 40, features: str = "features", label: str = "label", **params) -> Pipeline:
-    """A tree on features of which those with few distinct values count as categorical."""
-    index = VectorIndexer(inputCol=features, outputCol="_indexed", maxCategories=max_categories, handleInvalid="keep")
-    return Pipeline(stages=[index, decision_tree("_indexed", label, **params)])
+def declare_categories(df: DataFrame, features: str, width: int, arities: dict[int, int]) -> DataFrame:
+    """Mark slots of a vector column as categories 0 .. arity - 1, the others as numbers.
+
+    The kind of a feature is declared and does not depend on the values that happen to
+    be in the data.  Tree learners read it from the column; a value outside its arity is an error.
+    """
+    nominal = [{"idx": at, "name": f"f{at}", "num_vals": n} for at, n in sorted(arities.items())]
+    numeric = [{"idx": at, "name": f"f{at}"} for at in range(width) if at not in arities]
+    attributes = {"ml_attr": {"attrs": {"numeric": numeric, "nominal": nominal}, "num_attrs": width}}
+    return df.withMetadata(features, attributes)
 
 
 # --- splits -----------------------------------------------------------------------

@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
-from larkspur.functions.vectors import as_vector, nearest_centre
+from larkspur.functions.vectors import as_vector, euclidean, nearest_centre
 from larkspur.operators.parallel import run_all
 from larkspur.session import fitting
 
@@ -63,10 +63,12 @@ def assign_clusters(
 
 
 def assign_by_model(df: DataFrame, model: KMeansModel, features: str = "features") -> DataFrame:
-    """The same for a fitted model and its vector column."""
-    arrays = df.withColumn("_array", vector_to_array(features))
-    centres = [list(map(float, c)) for c in model.clusterCenters()]
-    return assign_clusters(arrays, centres, features="_array").drop("_array")
+    """The same for a fitted model and its vector column: the model's own choice, then the distance to that one centre."""
+    centres = [(k, list(map(float, c))) for k, c in enumerate(model.clusterCenters())]
+    table = df.sparkSession.createDataFrame(centres, "cluster int, _centre array<double>")
+    # one row per cluster of the model
+    placed = model.transform(df).join(F.broadcast(table), "cluster")
+    return placed.withColumn("distance", euclidean(vector_to_array(features), F.col("_centre"))).drop("_centre")
 
 
 def mean_distance(df: DataFrame, distance: str = "distance") -> DataFrame:
@@ -105,21 +107,24 @@ def sweep(
     """Fit each k on the same cached input and score it.
 
     The score is the mean distance to the own centre, or, when a label column is
-    named, the size-weighted entropy of the labels.  k is bounded by the row count.
+    named, the size-weighted entropy of the labels.  Every k that was asked for has
+    its row; ``clusters`` beside it says how many centres the fit found, which is
+    fewer than k where there are fewer distinct rows.
     """
     columns = [features] + ([label] if label else [])
     with fitting(df, *columns) as data:
-        rows = data.count()
 
-        def score(k: int) -> tuple[int, float]:
+        def score(k: int) -> tuple[int, int, float]:
             model = kmeans_fit(data, k, max_iter, tol, seed, features)
             if label:
-                return k, float(weighted_entropy(model.transform(data), "cluster", label).first()[0])
-            return k, float(mean_distance(assign_by_model(data, model, features)).first()[0])
+                value = weighted_entropy(model.transform(data), "cluster", label).first()[0]
+            else:
+                value = mean_distance(assign_by_model(data, model, features)).first()[0]
+            return k, len(model.clusterCenters()), float(value)
 
-        scores = run_all(score, sorted({min(k, rows) for k in ks}), parallelism)
+        scores = run_all(score, list(ks), parallelism)
     name = "weighted_entropy" if label else "mean_distance"
-    return df.sparkSession.createDataFrame(scores, f"k int, {name} double")
+    return df.sparkSession.createDataFrame(scores, f"k int, clusters int, {name} double")
 
 
 def distance_threshold(df: DataFrame, rank: int = ANOMALY_RANK, distance: str = "distance") -> float | None:
@@ -144,7 +149,6 @@ def anomaly_detector(
 ) -> DataFrame:
     """Fit k-means on (already scaled) vectors and return the anomalous rows with their distance."""
     with fitting(df, features) as data:
-        k = min(k, data.count())
         model = kmeans_fit(data, k, SWEEP_ITERATIONS, SWEEP_TOLERANCE, seed, features)
         threshold = distance_threshold(assign_by_model(data, model, features), rank)
     return assign_by_model(df, model, features).filter(F.col("distance") > F.lit(threshold).cast("double"))

@@ -216,10 +216,12 @@ def mean_user_auc(positives: DataFrame, negatives: DataFrame) -> DataFrame:
     Both inputs hold user and score; ties do not count as correct, and only users
     with both kinds count.  Pairs are never formed: scores are counted per user and
     each positive is credited with the negatives below it by a running total.
+    Rows without a score (null or NaN) cannot be ranked and count nowhere.
     """
-    scored = positives.select("user", "score", F.lit(1).alias("_p")).unionByName(
+    both_kinds = positives.select("user", "score", F.lit(1).alias("_p")).unionByName(
         negatives.select("user", "score", F.lit(0).alias("_p"))
     )
+    scored = both_kinds.where(F.col("score").isNotNull() & ~F.isnan(F.col("score").cast("double")))
     counts = scored.groupBy("user", "score").agg(
         F.sum("_p").alias("pos"), F.sum(1 - F.col("_p")).alias("neg")
     )

@@ -125,21 +125,22 @@ def top_items(scored: DataFrame, n: int = 10) -> DataFrame:
 # --- negative sampling and AUC --------------------------------------------------------
 
 
-def negative_samples(positives: DataFrame, items: DataFrame) -> DataFrame:
-    """(user, item, slot): about as many items outside the positive set as a user has positives.
-
-    For slots 1 .. 2n of a user with n positives the item is drawn by a hash of
-    (user, slot); draws that hit a positive are dropped, and the first n left are
-    kept.  Duplicates are possible.  Slots are handled in blocks, so a user with
-    very many positives is spread over tasks, and the draw repeats exactly when a
-    task is lost.
+def negative_samples(positives: DataFrame, items: DataFrame, tries: int = 2) -> DataFrame:
+    """(user, item, slot): hash draws from the item list, kept where the user does not own the item.
+
+    A user with n distinct items gets ``tries`` * n numbered slots.  The hash of
+    (user, slot) names an item; slots that name an owned one fall away, and of the
+    rest the n lowest stay, which may repeat an item.  A user who owns most of the
+    list ends up with fewer than n: ``sample_shortfall`` lists these users, and a
+    larger ``tries`` fills them up.  Slots come in blocks of fixed size, so one
+    large user is dealt over many tasks; a task run again draws the same items.
     """
     owned = positives.select("user", "item").distinct()
     known = cut_lineage(items.select("item").distinct())
     index = position(known, [], [("item", False)], "_at", stored=True)
     size = known.count()
     wanted = owned.groupBy("user").agg(F.count("*").alias("_want"))
-    last = F.col("_want") * 2
+    last = F.col("_want") * tries
     blocks = wanted.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((last - 1) / SLOTS_PER_BLOCK))))
     # a fixed number of tasks: few bytes go in, but every row becomes thousands of slots
     tasks = int(positives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -155,6 +156,14 @@ def negative_samples(positives: DataFrame, items: DataFrame) -> DataFrame:
     return counted.filter(F.col("_before") < F.col("_want")).select("user", "item", "slot")
 
 
+def sample_shortfall(positives: DataFrame, negatives: DataFrame) -> DataFrame:
+    """(user, wanted, drawn) of the users with fewer negative samples than distinct items."""
+    wanted = positives.select("user", "item").distinct().groupBy("user").agg(F.count("*").alias("wanted"))
+    drawn = negatives.groupBy("user").agg(F.count("*").alias("drawn"))
+    both = wanted.join(drawn, "user", "left").withColumn("drawn", F.coalesce("drawn", F.lit(0).cast("bigint")))
+    return both.filter(F.col("drawn") < F.col("wanted"))
+
+
 def popularity_auc(train: DataFrame, test: DataFrame, items: DataFrame) -> DataFrame:
     """Mean per-user AUC of the popularity baseline on held-out pairs."""
     positives = test.select("user", "item").distinct()

@@ -308,17 +308,20 @@ def refit_best(spark, sf):
 
 def _cover(spark, sf):
     rows = cover_rows(spark, sf)
-    return rows.select("l_orderkey", F.col("label").cast("double").alias("label"), as_vector("features").alias("features"))
+    vectors = rows.select("l_orderkey", F.col("label").cast("double").alias("label"), as_vector("features").alias("features"))
+    return cl.declare_categories(vectors, "features", cl.COVER_WIDTH, cl.COVER_CATEGORIES)
+
+
+def _plain_tree(**params):
+    return cl.decision_tree("features", "label", **params)
 
 
 @query("tree_categorical")
 def tree_categorical(spark, sf):
     train, valid, test = cl.hash_split(_cover(spark, sf), "l_orderkey", DOC_SHARES)
-    ranked = cl.grid_search(
-        train, valid, cl.tree_with_categories, cl.TREE_GRID, "accuracy", "label", "features", train_metrics=True
-    )
-    both = corpus.union_parts(train, valid)
-    final = cl.fit(cl.tree_with_categories(**cl.FINAL_TREE), both, "label", "features")
+    ranked = cl.grid_search(train, valid, _plain_tree, cl.TREE_GRID, "accuracy", "label", "features", train_metrics=True)
+    both = cl.declare_categories(corpus.union_parts(train, valid), "features", cl.COVER_WIDTH, cl.COVER_CATEGORIES)
+    final = cl.fit(_plain_tree(**cl.FINAL_TREE), both, "label", "features")
     precision = cl.scores(final, test, ["weightedPrecision"], "label")[0]
     return ranked.withColumn("final_precision", F.lit(precision))
 
@@ -380,10 +383,7 @@ def naive_bayes(spark, sf):
 def perceptron(spark, sf):
     rows = _labelled(spark, sf)
     classes = rows.select(ft.LABEL).distinct().count()
-    # the narrowing of 1000 belongs to a width of 3200; the same share of this width
-    width = cl.vector_width(rows)
-    layers = cl.perceptron_layers(rows, classes, narrowing=width * 1000 // 3200)
-    return _multi_class(spark, sf, cl.perceptron(layers))
+    return _multi_class(spark, sf, cl.perceptron(cl.perceptron_layers(rows, classes)))
 
 
 @query("ovr_tree")
@@ -428,6 +428,59 @@ def cv_pipeline(spark, sf):
     return cl.mean_fold_scores(cl.kfold_scores(rows, cl.naive_bayes, cl.BAYES_GRID))
 
 
+def _folded(rows):
+    return cl.with_fold(rows, "doc_id")
+
+
+@query("kfold_tree")
+def kfold_tree(spark, sf):
+    return cl.kfold_scores(_folded(_labelled(spark, sf)), cl.decision_tree)
+
+
+@query("kfold_forest")
+def kfold_forest(spark, sf):
+    return cl.kfold_scores(_folded(_labelled(spark, sf)), cl.random_forest)
+
+
+@query("kfold_svm")
+def kfold_svm(spark, sf):
+    return cl.kfold_scores(_folded(_quality(spark, sf)), lambda: cl.linear_svm(label="label"), label="label")
+
+
+@query("kfold_ovr_svm")
+def kfold_ovr_svm(spark, sf):
+    return cl.kfold_scores(_folded(_labelled(spark, sf)), lambda: cl.one_vs_rest(cl.linear_svm()))
+
+
+@query("kfold_logistic")
+def kfold_logistic(spark, sf):
+    return cl.kfold_scores(_folded(_quality(spark, sf)), lambda: cl.logistic_regression(label="label"), label="label")
+
+
+@query("cv_tree")
+def cv_tree(spark, sf):
+    return cl.mean_fold_scores(cl.kfold_scores(_folded(_labelled(spark, sf)), cl.decision_tree, cl.TREE_GRID))
+
+
+@query("cv_logistic")
+def cv_logistic(spark, sf):
+    def build(**params):
+        return cl.one_vs_rest(cl.logistic_regression(**{**cl.LOGISTIC, **params}))
+
+    return cl.mean_fold_scores(cl.kfold_scores(_folded(_labelled(spark, sf)), build, cl.LOGISTIC_GRID))
+
+
+@query("logistic_class_one")
+def logistic_class_one(spark, sf):
+    """Regularisation chosen by the F measure of class 1."""
+    train, valid, _ = cl.hash_split(_quality(spark, sf), "doc_id", DOC_SHARES)
+
+    def build(**params):
+        return cl.logistic_regression(label="label", **{**cl.LOGISTIC, **params})
+
+    return cl.grid_search(train, valid, build, cl.LOGISTIC_GRID, "fMeasureByLabel", "label")
+
+
 @query("classifier_comparison")
 def classifier_comparison(spark, sf):
     rows = _labelled(spark, sf)
@@ -438,7 +491,7 @@ def classifier_comparison(spark, sf):
         "logistic": cl.logistic_regression,
     }
     names = [r[0] for r in rows.select("category").distinct().orderBy("category").collect()]
-    return cl.compare_classifiers(rows, names, kinds, folds=3, parallelism=8)
+    return cl.compare_classifiers(rows, names, kinds, parallelism=8)
 
 
 @query("category_holdout")
@@ -454,7 +507,7 @@ def category_holdout(spark, sf):
 @query("batch_score")
 def batch_score(spark, sf):
     rows = t.docs(spark, sf)
-    recipes = [ft.content_recipe(t.STOP_WORDS, 300), ft.title_recipe(t.STOP_WORDS, 100)]
+    recipes = [ft.content_recipe(t.STOP_WORDS), ft.title_recipe(t.STOP_WORDS)]
     model = ft.fit_features(rows, recipes, last=lambda: [cl.naive_bayes()])
     path = scratch_path(spark, "scoring")
     stores.save_model(model, path)

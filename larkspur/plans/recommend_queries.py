@@ -235,6 +235,14 @@ def als_explicit(spark, sf):
     return out
 
 
+@query("als_explicit_long")
+def als_explicit_long(spark, sf):
+    """Twenty iterations on the ratings as they are, with the error on them."""
+    rows = t.rated(spark, sf)
+    model = rec.als_fit(rows, maxIter=20)
+    return ev.mse(rec.als_predict(model, rows).select("rating", "prediction"))
+
+
 @query("als_implicit")
 def als_implicit(spark, sf):
     train, test = _split(t.rated(spark, sf), 70, 30)

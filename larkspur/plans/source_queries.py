@@ -9,6 +9,7 @@ from larkspur.functions.text import word_tokens
 from larkspur.functions.vectors import sparse_entries
 from larkspur.plans import tables as t
 from larkspur.plans.registry import query, r6, sql_list, sql_r6
+from larkspur.plans.text_queries import features_sql
 from larkspur.session import scratch_path, spread
 from larkspur.sources import documents, lines, stores
 
@@ -231,7 +232,7 @@ def xml_pages(spark, sf):
     return read.select(F.col("id").alias("page_id"), F.length("text").alias("n_chars"), F.md5("text").alias("digest"))
 
 
-@query("feature_store_roundtrip")
+@query("feature_store_roundtrip", features_sql(features.tag_recipe()))
 def feature_store_roundtrip(spark, sf):
     path = scratch_path(spark, "features")
     rows = t.docs(spark, sf)
@@ -272,7 +273,7 @@ def export_labeled_vectors(spark, sf):
     return summed.groupBy("label").agg(F.count("*").alias("n"), r6(F.sum("s")).alias("total"))
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", features_sql(features.title_recipe()))
 def model_roundtrip(spark, sf):
     rows = t.docs(spark, sf)
     recipe = features.title_recipe(t.STOP_WORDS)

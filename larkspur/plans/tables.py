@@ -135,12 +135,18 @@ def measurement_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def feature_set(spark: SparkSession, sf: str, content: int = 300, title: int = 100) -> DataFrame:
-    """Stored document features (content and title), built on first use and then shared by all fits."""
+def feature_set(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored document features, built on first use and then shared by all fits.
+
+    The assembled vector holds content and title; the tag vector is stored beside it.
+    """
     def build() -> DataFrame:
         rows = docs(spark, sf)
-        recipes = [features.content_recipe(STOP_WORDS, content), features.title_recipe(STOP_WORDS, title)]
+        recipes = [features.content_recipe(STOP_WORDS), features.title_recipe(STOP_WORDS)]
         model = features.fit_features(rows, recipes)
-        return features.feature_columns(rows, model, recipes).drop("content", "title", "topics")
+        tags = features.tag_recipe()
+        tagged = features.fit_text(rows, tags).transform(model.transform(rows))
+        made = [c for r in (*recipes, tags) for c in r.scratch]
+        return tagged.drop(*made, "content", "title", "topics")
 
-    return spread(load_or_build(spark, _stored(spark, "features", sf, content, title), build))
+    return spread(load_or_build(spark, _stored(spark, "features", sf), build))

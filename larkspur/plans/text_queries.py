@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from larkspur.functions import text as tx
@@ -310,8 +312,10 @@ def l1_normalize(spark, sf):
 
 @query(
     "std_scale",
-    f"""with {TERMS_SQL}, size as (select count(*) as n from docs),
-sds as (select term, sqrt((sum(tf * tf) - sum(tf) * sum(tf) / max(n)) / (max(n) - 1)) as sd from weights, size group by 1)
+    f"""with {TERMS_SQL},
+sds as (
+  select term, sqrt((sum(tf * tf) - sum(tf) * sum(tf) / (select count(*) from docs)) / ((select count(*) from docs) - 1)) as sd
+  from weights group by 1)
 select doc_id, term, {sql_r6('case when sd > 0 then tf / sd else 0 end')} as weight from weights join sds using (term)""",
 )
 def std_scale(spark, sf):
@@ -355,35 +359,77 @@ def _pipeline_entries(spark, sf, recipe):
     return sparse_entries(out, recipe.out, "doc_id").select("doc_id", "index", r6("value").alias("value"))
 
 
-@query("content_features")
+def _entries_sql(recipe):
+    """The steps to (doc_id, index, value): counts over the recipe's vocabulary, divided by their deviation."""
+    name, two = recipe.out, recipe.n > 1
+    words = _regex_sql(recipe.column, recipe.min_length, recipe.lower)
+    words = f"list_filter({words}, lambda x: not list_contains({STOP}, lower(x)))" if two else words
+    terms = "list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))" if two else "w"
+    return f"""{name}_words as (select doc_id, {words} as w from docs),
+{name}_counts as (select doc_id, term, count(*) as tf from (select doc_id, unnest({terms}) as term from {name}_words) group by 1, 2),
+{name}_sums as (
+  select term, sum(tf) as total, greatest(0, sum(tf * tf) - sum(tf) * sum(tf) / (select count(*) from docs)) as squares
+  from {name}_counts group by 1 having count(*) >= {recipe.min_docs}),
+{name}_vocabulary as (
+  select term, row_number() over (order by total desc, term) - 1 as place, sqrt(squares / ((select count(*) from docs) - 1)) as sd
+  from {name}_sums qualify place < {recipe.size}),
+{name} as (
+  select doc_id, place::int as index, case when sd > 0 then tf / sd else 0 end as value
+  from {name}_counts join {name}_vocabulary using (term))"""
+
+
+def features_sql(recipe):
+    return f"with {t.DOCS_SQL}, {_entries_sql(recipe)} select doc_id, index, {sql_r6('value')} as value from {recipe.out}"
+
+
+def _fused_sql(*recipes):
+    width = " + ".join(f"(select count(*) from {r.out}_vocabulary)" for r in recipes)
+    parts = " union all ".join(f"select doc_id, value from {r.out}" for r in recipes)
+    return f"""with {t.DOCS_SQL}, {INDEX_SQL}, {", ".join(map(_entries_sql, recipes))},
+sums as (select doc_id, count(*) filter (value <> 0) as entries, sum(value) as total from ({parts}) group by 1)
+select doc_id, category, i::double as "{features.LABEL}", ({width})::int as width, coalesce(entries, 0)::int as entries,
+       {sql_r6('coalesce(total, 0)')} as total
+from docs join idx using (category) left join sums using (doc_id)"""
+
+
+@query("content_features", features_sql(features.content_recipe()))
 def content_features(spark, sf):
     return _pipeline_entries(spark, sf, features.content_recipe(t.STOP_WORDS))
 
 
-@query("title_features")
+@query("title_features", features_sql(features.title_recipe()))
 def title_features(spark, sf):
     return _pipeline_entries(spark, sf, features.title_recipe(t.STOP_WORDS))
 
 
-@query("tag_features")
+@query("tag_features", features_sql(features.tag_recipe()))
 def tag_features(spark, sf):
     return _pipeline_entries(spark, sf, features.tag_recipe())
 
 
-@query("fused_features")
-def fused_features(spark, sf):
-    stored = t.feature_set(spark, sf, features.CONTENT_TERMS, features.TITLE_TERMS)
-    counted = stored.withColumn("v", F.unwrap_udt(features.FEATURES))
-    return counted.select(
+def _fused(stored, column):
+    values = vector_to_array(column)
+    return stored.withColumn("v", values).select(
         "doc_id",
         "category",
         features.LABEL,
-        F.col("v.size").alias("width"),
-        F.size(F.coalesce("v.indices", "v.values")).alias("entries"),
-        r6(F.aggregate("v.values", F.lit(0.0), lambda s, x: s + x)).alias("total"),
+        F.size("v").alias("width"),
+        F.size(F.filter("v", lambda x: x != 0)).alias("entries"),
+        r6(F.aggregate("v", F.lit(0.0), lambda s, x: s + x)).alias("total"),
     )
 
 
+@query("fused_features", _fused_sql(features.content_recipe(), features.title_recipe()))
+def fused_features(spark, sf):
+    return _fused(t.feature_set(spark, sf), features.FEATURES)
+
+
+@query("three_way_features", _fused_sql(features.content_recipe(), features.title_recipe(), features.tag_recipe()))
+def three_way_features(spark, sf):
+    parts = VectorAssembler(inputCols=[features.FEATURES, features.tag_recipe().out], outputCol="all_features")
+    return _fused(parts.transform(t.feature_set(spark, sf)), "all_features")
+
+
 @query(
     "extract_words",
     f"""with {WS_SQL}, {INDEX_SQL}, kept as (select doc_id, category, list_filter(w, lambda x: not list_contains({STOP}, x)) as w from words)
@@ -416,8 +462,6 @@ def one_hot(spark, sf):
     rows = t.measurement_rows(spark, sf)
     numeric = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     hot = features.one_hot(rows, numeric, ["l_linestatus", "o_orderpriority", "p_type"])
-    from pyspark.ml.functions import vector_to_array
-
     laid = hot.withColumn("v", vector_to_array("features"))
     tail = F.slice("v", F.lit(2), F.size("v") - len(numeric))
     ones = F.filter(F.transform(tail, lambda x, i: F.when(x == 1.0, i + 1)), lambda i: i.isNotNull())

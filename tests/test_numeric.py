@@ -173,7 +173,7 @@ def test_model_assignment_equals_prediction(spark):
     both = km.assign_by_model(model.transform(rows).withColumnRenamed("cluster", "predicted"), model)
     assert both.filter("cluster <> predicted").count() == 0
     scored = km.sweep(rows, [2, 4, 500])
-    assert [r["k"] for r in scored.orderBy("k").collect()] == [2, 4, 200]
+    assert [(r["k"], r["clusters"]) for r in scored.orderBy("k").collect()] == [(2, 2), (4, 4), (500, 200)]
 
 
 # --- similarity ---------------------------------------------------------------------------

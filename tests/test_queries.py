@@ -13,7 +13,8 @@ SF = os.environ.get("LARKSPUR_TEST_SF", "/root/testdata/sf0.001")
 SLOW = {
     "kmeans_sweep_raw", "kmeans_sweep_scaled", "kmeans_sweep_onehot", "kmeans_sweep_entropy", "kmeans_anomalies",
     "tree_grid", "refit_best", "tree_categorical", "forest_grid", "linear_svm", "ovr_svm", "perceptron", "ovr_tree_grid",
-    "classifier_comparison", "als_grid",
+    "classifier_comparison", "als_grid", "kfold_tree", "kfold_forest", "kfold_svm", "kfold_ovr_svm", "kfold_logistic", "cv_tree",
+    "cv_logistic", "ovr_tree", "ovr_logistic_grid", "random_forest",
 }
 
 
