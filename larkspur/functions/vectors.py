@@ -50,8 +50,8 @@ def matrix_of(arrays: pa.Array) -> np.ndarray:
 def nearest_centre(column: Column | str, centres: Sequence[Sequence[float]], ids: Sequence[int] | None = None) -> Column:
     """Struct (cluster, distance) of the closest centre; ties go to the first centre listed.
 
-    One Arrow batch is one matrix product, so the cost per row does not depend
-    on per-value expression evaluation.  Distances are compared after rounding
+    Each centre in turn is compared with all rows of an Arrow batch, so the cost per
+    row grows with the number of centres.  Distances are compared after rounding
     to nine places, which makes the choice independent of summation order.
     """
     table = np.asarray(centres, dtype=np.float64)
