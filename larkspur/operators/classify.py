@@ -144,9 +144,9 @@ def scores(model: Model, df: DataFrame, metrics: Sequence[str], label: str = LAB
         counts.unpersist()
 
 
-def fit(estimator: Estimator, df: DataFrame, label: str = LABEL, features: str = FEATURES) -> Model:
-    """Fit on a cached copy of just the two columns."""
-    with fitting(df, label, features) as data:
+def fit(estimator: Estimator, df: DataFrame, label: str = LABEL, features: str = FEATURES, rows_per_task: int = 2000) -> Model:
+    """Fit on a cached copy of just the two columns; a model that is costly per row takes fewer rows per task."""
+    with fitting(df, label, features, rows_per_task=rows_per_task) as data:
         return estimator.fit(data)
 
 

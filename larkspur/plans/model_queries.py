@@ -277,9 +277,9 @@ def _quality(spark, sf):
     return t.feature_set(spark, sf).join(marks, "doc_id").select("doc_id", "label", ft.FEATURES)
 
 
-def _multi_class(spark, sf, classifier):
+def _multi_class(spark, sf, classifier, rows_per_task=2000):
     train, test = cl.hash_split(_labelled(spark, sf), "doc_id", BINARY_SHARES)
-    model = cl.fit(classifier, train)
+    model = cl.fit(classifier, train, rows_per_task=rows_per_task)
     return model.transform(test).select("doc_id", "category", ft.LABEL, ft.PREDICTION)
 
 
@@ -383,7 +383,7 @@ def naive_bayes(spark, sf):
 def perceptron(spark, sf):
     rows = _labelled(spark, sf)
     classes = rows.select(ft.LABEL).distinct().count()
-    return _multi_class(spark, sf, cl.perceptron(cl.perceptron_layers(rows, classes)))
+    return _multi_class(spark, sf, cl.perceptron(cl.perceptron_layers(rows, classes)), rows_per_task=128)
 
 
 @query("ovr_tree")
