@@ -31,11 +31,14 @@ FAN = 64
 NEVER = -1e18
 SPACE = "▁"
 SHORT = 48  # longer stretches are segmented one by one
+TOGETHER = 1 << 16  # characters of short stretches segmented at once
 
 
 class Pieces(Encoder):
     """The vocabulary of a SentencePiece model file, and a store of segmented stretches."""
 
+    most = 1_500_000
+
     def __init__(self, path: str):
         import sentencepiece
 
@@ -129,8 +132,10 @@ class Pieces(Encoder):
                 _, back = self.forward(s, [0.0], len(s))
                 found[k] = self.traced(s, back, len(s))
         short.sort(key=lambda k: -len(strings[k]))
-        if short:
-            self._together([strings[k] for k in short], short, found)
+        block = np.cumsum([len(strings[k]) for k in short]) // TOGETHER
+        for b in np.unique(block).tolist():
+            i, j = np.searchsorted(block, [b, b + 1]).tolist()
+            self._together([strings[k] for k in short[i:j]], short[i:j], found)
         size = np.array([len(p) for p in found], np.int32)
         start = len(self.ids) + np.cumsum(size) - size
         self.ids = np.concatenate([self.ids, np.array([i for p in found for i in p], np.uint32)])
@@ -327,26 +332,29 @@ def border_states(long_chunks: DataFrame, model: str) -> DataFrame:
 
 
 def encode(docs: DataFrame, model: str, size: int = CHUNK) -> DataFrame:
-    """Token ids of all texts by chunk: (doc_id, copy, chunk, ids as little-endian unsigned 32-bit integers, score)."""
-    parts = chunks(docs, model, size)
-    long_chunks = cut(parts.where("chunks > 1"))
+    """Token ids of all texts by chunk: (doc_id, copy, chunk, ids as little-endian unsigned 32-bit integers, score).
+
+    Texts that fit in one chunk, most of them, are encoded straight from the table; only longer ones are cut.
+    """
+    texts = text_of(docs)
+    fits = F.length("text") < size  # one more place goes to the space in front
+    long_chunks = cut(chunks(texts.where(~fits), model, size))
     states = border_states(long_chunks, model)
     schema = "doc_id long, copy binary, chunk int, ids binary, score double"
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = pieces(model)
+        vocabulary, mark = pieces(model), SPACE.encode()
         for batch in batches:
             raw, offsets = A.flat(batch["text"])
             for i, j in A.slices(offsets):
-                part = raw[offsets[i] : offsets[j]]
-                text = part.tobytes().decode().replace(SPACE, " ")
-                gone = np.r_[0, np.cumsum((part[:-2] == 0xE2) & (part[1:-1] == 0x96) & (part[2:] == 0x81))] * 2 if len(part) > 2 else np.zeros(1, np.int64)
-                stops = offsets[i : j + 1] - offsets[i]
-                ids, first = vocabulary.encode(np.frombuffer(text.encode(), np.uint8), stops - gone[np.minimum(stops, len(gone) - 1)])
+                data, stops = raw[offsets[i] : offsets[j]].tobytes(), (offsets[i : j + 1] - offsets[i]).tolist()
+                each = [data[a:b] for a, b in zip(stops[:-1], stops[1:])]
+                spaced = [b" " + t.replace(mark, b" ") if t else t for t in each]
+                ids, first = vocabulary.encode(np.frombuffer(b"".join(spaced), np.uint8), np.cumsum([0, *map(len, spaced)]))
                 blobs = [ids[a:b].astype("<u4").tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
                 scores = [vocabulary.score(ids[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
-                rows = batch.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([rows["doc_id"], rows["copy"], rows["chunk"], pa.array(blobs, pa.binary()), pa.array(scores)], ["doc_id", "copy", "chunk", "ids", "score"])
+                copies = pa.array([hashlib.md5(t).digest() for t in each], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(i, j - i), copies, pa.array(np.zeros(j - i, np.int32)), pa.array(blobs, pa.binary()), pa.array(scores)], ["doc_id", "copy", "chunk", "ids", "score"])
 
     def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = pieces(model)
@@ -356,7 +364,7 @@ def encode(docs: DataFrame, model: str, size: int = CHUNK) -> DataFrame:
                 yield pa.RecordBatch.from_pylist([{"doc_id": row["doc_id"], "copy": row["copy"], "chunk": row["chunk"], "ids": ids.tobytes(), "score": vocabulary.score(ids)}], IDS_SCHEMA)
 
     placed = long_chunks.join(states, ["doc_id", "copy", "chunk"]).select("doc_id", "copy", "chunk", "text", "ahead", "enter", "leave")
-    return parts.where("chunks = 1").mapInArrow(whole, schema).union(placed.mapInArrow(between, schema))
+    return texts.where(fits).mapInArrow(whole, schema).union(placed.mapInArrow(between, schema))
 
 
 IDS_SCHEMA = pa.schema([("doc_id", pa.int64()), ("copy", pa.binary()), ("chunk", pa.int32()), ("ids", pa.binary()), ("score", pa.float64())])

@@ -3,7 +3,7 @@
 A text is cut where the tokenizer cannot see across: before white space that follows another character (byte-level
 vocabularies keep the space with the next word), or at white space (vocabularies that drop it).  The ids of a piece do
 not depend on its neighbours, so the library is called for pieces that the worker has not met, and the ids
-of a text are put together from the table.  The table is emptied at ``MOST_PIECES``.
+of a text are put together from the table.  The table is emptied at ``MOST_PIECES`` (``most`` of a class).
 """
 
 from __future__ import annotations
@@ -38,6 +38,8 @@ def encoder(path: str) -> Encoder:
 
 
 class Encoder:
+    most = MOST_PIECES
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -114,7 +116,7 @@ class Encoder:
         """Ids of all texts of a slice, and where each text's ids begin (one more entry than texts)."""
         start, stop, hashes, first = self._pieces(raw, offsets)
         keys, where, at = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.keys) > MOST_PIECES:
+        if len(self.keys) > self.most:
             self.clear()
         place = np.searchsorted(self.keys, keys)
         known = np.zeros(len(keys), bool)
