@@ -16,7 +16,7 @@ Edge cases: null and empty texts have no tokens; repeated ids are kept apart by
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -331,16 +331,22 @@ def border_states(long_chunks: DataFrame, model: str) -> DataFrame:
     return states
 
 
-def encode(docs: DataFrame, model: str, size: int = CHUNK) -> DataFrame:
+ENCODED = "doc_id long, copy binary, chunk int, ids binary, score double"
+DECODED = "doc_id long, copy binary, chunk int, n_tokens long, n_byte_tokens long, score double, text binary"
+Batches = Iterator[pa.RecordBatch]
+
+
+def encode(docs: DataFrame, model: str, size: int = CHUNK, after: Callable[[Batches], Batches] | None = None, schema: str = ENCODED) -> DataFrame:
     """Token ids of all texts by chunk: (doc_id, copy, chunk, ids as little-endian unsigned 32-bit integers, score).
 
     Texts that fit in one chunk, most of them, are encoded straight from the table; only longer ones are cut.
+    ``after`` takes the encoded batches on in the same worker; ``schema`` is then that of its rows.
     """
+    after = after or iter
     texts = text_of(docs)
     fits = F.length("text") < size  # one more place goes to the space in front
     long_chunks = cut(chunks(texts.where(~fits), model, size))
     states = border_states(long_chunks, model)
-    schema = "doc_id long, copy binary, chunk int, ids binary, score double"
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, mark = pieces(model), SPACE.encode()
@@ -364,17 +370,16 @@ def encode(docs: DataFrame, model: str, size: int = CHUNK) -> DataFrame:
                 yield pa.RecordBatch.from_pylist([{"doc_id": row["doc_id"], "copy": row["copy"], "chunk": row["chunk"], "ids": ids.tobytes(), "score": vocabulary.score(ids)}], IDS_SCHEMA)
 
     placed = long_chunks.join(states, ["doc_id", "copy", "chunk"]).select("doc_id", "copy", "chunk", "text", "ahead", "enter", "leave")
-    return texts.where(fits).mapInArrow(whole, schema).union(placed.mapInArrow(between, schema))
+    return texts.where(fits).mapInArrow(lambda b: after(whole(b)), schema).union(placed.mapInArrow(lambda b: after(between(b)), schema))
 
 
 IDS_SCHEMA = pa.schema([("doc_id", pa.int64()), ("copy", pa.binary()), ("chunk", pa.int32()), ("ids", pa.binary()), ("score", pa.float64())])
 
 
-def decode(encoded: DataFrame, model: str) -> DataFrame:
-    """The bytes of each chunk: (doc_id, copy, chunk, n_tokens, n_byte_tokens, score, text binary); the first chunk of a text loses the space put before it."""
-    schema = "doc_id long, copy binary, chunk int, n_tokens long, n_byte_tokens long, score double, text binary"
+def decoder(model: str) -> Callable[[Batches], Batches]:
+    """Encoded batches to decoded ones."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Batches:
         vocabulary = pieces(model)
         text, is_byte = vocabulary.text, np.zeros(len(vocabulary.text), bool)
         is_byte[list(vocabulary.byte.values())] = True
@@ -385,12 +390,17 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
             counts = [pa.array([len(i) for i in all_ids], pa.int64()), pa.array([int(is_byte[i].sum()) for i in all_ids], pa.int64())]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["copy"], batch["chunk"], *counts, batch["score"], pa.array(out, pa.binary())], ["doc_id", "copy", "chunk", "n_tokens", "n_byte_tokens", "score", "text"])
 
-    return encoded.mapInArrow(run, schema)
+    return run
+
+
+def decode(encoded: DataFrame, model: str) -> DataFrame:
+    """The bytes of each chunk: (doc_id, copy, chunk, n_tokens, n_byte_tokens, score, text binary); the first chunk of a text loses the space put before it."""
+    return encoded.mapInArrow(decoder(model), DECODED)
 
 
 def round_trip(docs: DataFrame, model: str, size: int = CHUNK) -> DataFrame:
-    """Every text encoded and decoded again: counts, score, and the bytes that came back."""
-    back = decode(encode(docs, model, size), model)
+    """Every text encoded and decoded again, in one worker: counts, score, and the bytes that came back."""
+    back = encode(docs, model, size, decoder(model), DECODED)
     return back.groupBy("doc_id", "copy").agg(
         F.sum("n_tokens").alias("n_tokens"), F.sum("n_byte_tokens").alias("n_byte_tokens"), F.sum("score").alias("score"),
         F.sum(F.octet_length("text")).alias("n_bytes"), F.count("*").alias("n_chunks"),

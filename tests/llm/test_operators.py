@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from larkspur.llm import dac, debruijn, hmm, jaccard, licences, packing, pieces, quality, suffix, topk
@@ -339,4 +340,7 @@ def test_pieces(docs, nothing, size):
         whole = pieces.SPACE + (text or "").replace(" ", pieces.SPACE) if text else ""
         assert score[i] == pytest.approx(vocabulary.forward(whole, [0.0], len(whole))[0][-1])
         assert b"".join(back[i][k] for k in sorted(back[i])) == (text or "").replace(pieces.SPACE, " ").encode()
+    apart = pieces.decode(encoded, model).groupBy("doc_id", "copy").agg(F.sum("n_tokens").alias("n_tokens"), F.sum("n_byte_tokens").alias("n_byte_tokens"), F.sum(F.octet_length("text")).alias("n_bytes"), F.count("*").alias("n_chunks"))
+    one = pieces.round_trip(docs, model, size).drop("score")
+    assert sorted(map(tuple, apart.drop("copy").collect())) == sorted(map(tuple, one.collect()))
     assert pieces.round_trip(nothing, model).count() == 0
