@@ -7,8 +7,8 @@ line must hold one of the template's first t - c + 1 words (prefix filter), must
 and a match at place p of the template leaves t - p words at most (positional filter).  Lines that pass are compared exactly.
 The template table is fixed and small, so it is broadcast.
 
-Edge cases: null and empty texts have no words and no labels; repeated ids give one row each time they occur only if
-their texts differ in result (rows are grouped by id and statistics); rows with a null id are left out; an empty table gives no rows.
+Edge cases: null and empty texts have no words and no labels; rows that repeat an id give a row each, with the phrase places of
+their own text and the template labels of all texts of that id; rows with a null id are left out; an empty table gives no rows.
 """
 
 from __future__ import annotations
