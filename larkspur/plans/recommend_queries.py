@@ -363,7 +363,17 @@ def cosine_topk(spark, sf):
     return sim.cosine_topk(t.vectors(spark, sf), "vec_id", "features", 50).withColumn("value", r6("value"))
 
 
-@query("cosine_dimsum")
+def dimsum_sql(threshold: float) -> str:
+    return f"""with v as (select vec_id, embedding::double[] as e, sqrt(list_inner_product(embedding::double[], embedding::double[])) as n from embeddings),
+g as (select sqrt(10 * ln(greatest(count(*), 2)) / {threshold}) as r from v where n > 0),
+s as (select vec_id, list_transform(e, lambda x, k: case
+  when r >= n or ('0x' || substr(md5(vec_id || ':' || (k - 1) || ':0'), 1, 8))::bigint / 4294967296::double < r / n
+  then x / least(r, n) else 0 end) as e from v, g where n > 0),
+pairs as (select a.vec_id as i, b.vec_id as j, list_inner_product(a.e, b.e) as value from s a join s b on a.vec_id < b.vec_id)
+select i, j, {sql_r6('value')} as value from pairs where value <> 0"""
+
+
+@query("cosine_dimsum", dimsum_sql(0.1))
 def cosine_dimsum(spark, sf):
     return sim.cosine_dimsum(t.vectors(spark, sf), "vec_id", "features", 0.1).withColumn("value", r6("value"))
 

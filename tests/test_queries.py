@@ -6,7 +6,11 @@ import pytest
 from check import check, connect
 
 import __spark_entry__ as entry_point
+from larkspur.operators import similarity as sim
+from larkspur.plans import tables
 from larkspur.plans.catalog import ORACLES, QUERIES
+from larkspur.plans.recommend_queries import dimsum_sql
+from larkspur.plans.registry import r6
 
 SF = os.environ.get("LARKSPUR_TEST_SF", "/root/testdata/sf0.001")
 # fits of several hundred jobs each; run them with LARKSPUR_SLOW=1
@@ -37,6 +41,13 @@ def test_model_query(spark, con, name):
     assert not problem and rows > 0
 
 
+def test_sampled_cosine_draws_alike(spark, con):
+    """At a threshold that leaves entries out, both engines leave out the same ones."""
+    got = sim.cosine_dimsum(tables.vectors(spark, SF), "vec_id", "features", 500.0).withColumn("value", r6("value")).collect()
+    want = con.execute(dimsum_sql(500.0)).fetchall()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_entry_point(spark):
     df = entry_point.entry(spark)
     assert df.columns == ["term", "tf", "df"] and df.count() > 0
