@@ -1,14 +1,13 @@
-"""SentencePiece encoding and decoding of whole texts by a max-plus scan.
+"""SentencePiece encoding and decoding of whole texts by the merges of a BPE model.
 
-The segmentation of a text is the one with the highest sum of piece scores (ties: the longer last piece; over a chunk border, the
-piece that ends first), as in a unigram lattice; characters that no piece holds fall back to bytes.  A text is cut into chunks of ``CHUNK`` characters.  A
-*state* at a chunk border is how many characters beyond it the piece over the border ends.  Each chunk gives a
-matrix of best scores from state to state; matrices of neighbours are multiplied in the (max, +) semiring, ``FAN`` at
-a time, up to one for a text; on the way down each product tells its parts the states they start and end
-in.  With these, every chunk is traced back by itself.
+The scores of the model file are merge ranks.  A text starts as single characters; of all neighbours that make up a piece, those with
+the best score (ties: the leftmost) are merged, until none are left.  Characters that no piece holds fall back to bytes.  The ids
+are those of the library.
 
-Inside a chunk, no piece goes over the start of a space after another character, so the stretches between are independent, and each
-distinct stretch is segmented once per worker.
+Merges never reach over a place that no piece of the vocabulary, laid on the text, reaches over, so the parts between such *safe* places are
+independent.  The start of a space after another character is always safe: each distinct stretch between such starts is merged once per
+worker.  Texts longer than ``CHUNK`` characters are cut at safe places into chunks, which are dealt out.  A part without a safe place
+stays whole, however long.
 
 Edge cases: null and empty texts have no tokens; repeated ids are kept apart by their text; rows with a null id are left out.
 """
@@ -16,6 +15,7 @@ Edge cases: null and empty texts have no tokens; repeated ids are kept apart by
 from __future__ import annotations
 
 import hashlib
+import heapq
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -23,19 +23,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from larkspur.llm import arrays as A
-from larkspur.llm.tables import cut, text_of
+from larkspur.llm.tables import text_of
 from larkspur.llm.tokens import Encoder, worker_store
 
 CHUNK = 1 << 16
-FAN = 64
+LOOK = 1 << 12  # places looked at together for a safe one
 NEVER = -1e18
 SPACE = "▁"
-SHORT = 48  # longer stretches are segmented one by one
-TOGETHER = 1 << 16  # characters of short stretches segmented at once
+SHORT = 48  # longer stretches are merged one by one
+TOGETHER = 1 << 16  # characters of short stretches merged at once
 
 
 class Pieces(Encoder):
-    """The vocabulary of a SentencePiece model file, and a store of segmented stretches."""
+    """The vocabulary of a SentencePiece model file, and a store of merged stretches."""
 
     most = 1_500_000
 
@@ -60,7 +60,7 @@ class Pieces(Encoder):
         self.unknown = min(self.scores.values()) - 10
         keys = [np.array([self._key(p) for p in self.scores], A.U), np.array(list(self.scores.values()))]
         order = np.argsort(keys[0])
-        self.keys_of, self.score_of = keys[0][order], keys[1][order]
+        self.keys_of, self.score_of, self.id_of = keys[0][order], keys[1][order], np.array(list(self.piece.values()))[order]
         bits = 20
         self.table, self.shift = np.full(1 << bits, -1, np.int32), A.U(64 - bits)
         self.table[self.keys_of >> self.shift] = np.arange(len(order))
@@ -75,36 +75,50 @@ class Pieces(Encoder):
         return int(A.Spans(self._values(piece)).hash(np.array([0]), np.array([len(piece)]))[0])
 
     def lookup(self, keys: np.ndarray) -> np.ndarray:
-        """Scores of spans by hash, NEVER where there is no such piece."""
-        at = self.table[keys >> self.shift]
-        hit = self.keys_of[at] == keys
-        out = np.where(hit & (at >= 0), self.score_of[at], NEVER)
-        if len(self.crowded):
-            rest = np.flatnonzero(~hit & (at >= 0))
+        """Entries of spans by hash, -1 where there is no such piece."""
+        at = self.table[keys >> self.shift].astype(np.int64)
+        rest = np.flatnonzero(self.keys_of[at] != keys)
+        if len(self.crowded) and len(rest):
             place = np.minimum(np.searchsorted(self.keys_of[self.crowded], keys[rest]), len(self.crowded) - 1)
             found = self.keys_of[self.crowded][place] == keys[rest]
-            out[rest[found]] = self.score_of[self.crowded][place[found]]
-        return out
+            at[rest] = np.where(found, self.crowded[place], -1)
+        else:
+            at[rest] = -1
+        return at
 
     def forward(self, text: str, begin: list[float], stop: int) -> tuple[list[float], list[int]]:
-        """Best score to each place from the scores of the first places, and the place before; no piece starts at or after ``stop``."""
-        n, scores, longest = len(text), self.scores, self.longest
-        best, back = [NEVER] * (n + 1), [-1] * (n + 1)
-        best[: min(len(begin), n + 1)] = begin[: n + 1]
-        for p in range(stop):
-            here = best[p]
-            if here <= NEVER / 2:
+        """The pieces of ``text[:stop]``: the score at each place where one ends, from the score of the first place, and the place before."""
+        text, scores = text[:stop], self.scores
+        n = len(text)
+        ends, before = list(range(1, n + 1)), list(range(-1, n - 1))  # of the symbol that starts at a place; end 0: it was merged
+        heap = [(-scores[text[p : p + 2]], p, p + 2) for p in range(n - 1) if text[p : p + 2] in scores]
+        heapq.heapify(heap)
+        while heap:
+            _, p, q = heapq.heappop(heap)
+            middle = ends[p]
+            if not 0 < middle < q or ends[middle] != q:
                 continue
-            if text[p] not in scores and here + self.unknown > best[p + 1]:
-                best[p + 1], back[p + 1] = here + self.unknown, p
-            for q in range(p + 1, min(p + longest, n) + 1):
-                s = scores.get(text[p:q])
-                if s is not None and here + s > best[q]:
-                    best[q], back[q] = here + s, p
+            ends[p], ends[middle] = q, 0
+            if q < n:
+                before[q] = p
+                s = scores.get(text[p : ends[q]]) if ends[q] - p <= self.longest else None
+                if s is not None:
+                    heapq.heappush(heap, (-s, p, ends[q]))
+            b = before[p]
+            if b >= 0 and q - b <= self.longest:
+                s = scores.get(text[b:q])
+                if s is not None:
+                    heapq.heappush(heap, (-s, b, q))
+        best, back = [NEVER] * (n + 1), [-1] * (n + 1)
+        best[0], p = begin[0], 0
+        while p < n:
+            q = ends[p]
+            best[q], back[q] = best[p] + scores.get(text[p:q], self.unknown), p
+            p = q
         return best, back
 
     def traced(self, text: str, back: list[int], place: int) -> list[int]:
-        """Ids of the path that ends at a place."""
+        """Ids of the pieces up to a place."""
         out = []
         while back[place] >= 0:
             part = text[back[place] : place]
@@ -131,7 +145,6 @@ class Pieces(Encoder):
             if len(s) > SHORT:
                 _, back = self.forward(s, [0.0], len(s))
                 found[k] = self.traced(s, back, len(s))
-        short.sort(key=lambda k: -len(strings[k]))
         block = np.cumsum([len(strings[k]) for k in short]) // TOGETHER
         for b in np.unique(block).tolist():
             i, j = np.searchsorted(block, [b, b + 1]).tolist()
@@ -143,45 +156,52 @@ class Pieces(Encoder):
         self.keys, self.start, self.size = np.insert(self.keys, at, keys), np.insert(self.start, at, start), np.insert(self.size, at, size)
 
     def _together(self, strings: list[str], where: list[int], found: list[list[int]]) -> None:
-        """Segment many short stretches at once, longest first."""
+        """Merge many short stretches at once, one pair of each at a time."""
+        text = "".join(strings)
         sizes = np.array([len(s) for s in strings])
-        first = np.cumsum(sizes) - sizes
-        spans = A.Spans(self._values("".join(strings)))
-        total, most = int(sizes.sum()), int(sizes[0])
-        room = np.repeat(first + sizes, sizes) - np.arange(total)
-        score = []
-        for k in range(1, min(self.longest, most) + 1):
-            s = np.full(total, NEVER)
-            at = np.flatnonzero(room >= k)
-            s[at] = self.lookup(spans.hash(at, at + k))
-            if k == 1:
-                s[s == NEVER] = self.unknown
-            score.append(s)
-        best = np.full((most + 1, len(strings)), NEVER)
-        back = np.zeros((most + 1, len(strings)), np.int16)
-        best[0] = 0
-        for j in range(1, most + 1):
-            n = int(np.searchsorted(-sizes, -j, "right"))
-            top, take = np.full(n, NEVER), np.zeros(n, np.int16)
-            for k in range(min(j, len(score)), 0, -1):  # longer pieces first, so they win ties
-                value = best[j - k, :n] + score[k - 1][first[:n] + j - k]
-                better = value > top
-                top[better], take[better] = value[better], k
-            best[j, :n], back[j, :n] = top, take
-        for lane, (s, k) in enumerate(zip(strings, where)):
-            cuts, j = [], len(s)
-            while j:
-                i = j - int(back[j, lane])
-                cuts.append((i, j))
-                j = i
-            ids: list[int] = []
-            for i, j in reversed(cuts):
-                piece = self.piece.get(s[i:j])
-                if piece is not None:
-                    ids.append(piece)
-                else:
-                    ids += [self.byte[b] for b in s[i:j].encode()]
-            found[k] = ids
+        spans = A.Spans(self._values(text))
+        start, lane = np.arange(len(text)), np.repeat(np.arange(len(strings)), sizes)
+        stop = start + 1
+
+        def scores(at: np.ndarray) -> np.ndarray:
+            """Scores of the symbols with the ones after them."""
+            out = np.full(len(at), NEVER)
+            ok = np.flatnonzero(at + 1 < len(lane))
+            ok = ok[lane[at[ok]] == lane[at[ok] + 1]]
+            entry = self.lookup(spans.hash(start[at[ok]], stop[at[ok] + 1]))
+            out[ok] = np.where(entry >= 0, self.score_of[entry], NEVER)
+            return out
+
+        pair = scores(np.arange(len(start)))
+        done = []
+        while len(start):
+            head = np.flatnonzero(np.r_[True, lane[1:] != lane[:-1]])
+            counts = np.diff(np.r_[head, len(lane)])
+            top = np.repeat(np.maximum.reduceat(pair, head), counts)
+            ready = top <= NEVER / 2
+            if ready.any():
+                done.append((start[ready], stop[ready], lane[ready]))
+                start, stop, lane, pair, top = (x[~ready] for x in (start, stop, lane, pair, top))
+            at = np.flatnonzero(pair == top)
+            at = at[np.r_[True, lane[at[1:]] != lane[at[:-1]]]] if len(at) else at
+            stop[at] = stop[at + 1]
+            keep = np.ones(len(start), bool)
+            keep[at + 1] = False
+            start, stop, lane, pair = (x[keep] for x in (start, stop, lane, pair))
+            at = at - np.arange(len(at))  # one symbol fewer for each merge before
+            changed = np.union1d(at, at[at > 0] - 1)
+            pair[changed] = scores(changed)
+        start, stop, lane = (np.concatenate(x) for x in zip(*done))
+        order = np.argsort(start)
+        start, stop, lane = start[order], stop[order], lane[order]
+        entry = self.lookup(spans.hash(start, stop))
+        ids = np.where(entry >= 0, self.id_of[entry], -1).tolist()
+        cuts = np.searchsorted(lane, np.arange(len(strings) + 1)).tolist()
+        for k, a, b in zip(where, cuts[:-1], cuts[1:]):
+            part = ids[a:b]
+            if -1 in part:
+                part = [i for c, k_ in zip(range(a, b), part) for i in ([k_] if k_ >= 0 else [self.byte[x] for x in text[start[c] : stop[c]].encode()])]
+            found[k] = part
 
     def score(self, ids: np.ndarray) -> float:
         """Sum of scores; a character in bytes counts once."""
@@ -195,56 +215,40 @@ class Pieces(Encoder):
                 self.id_scores[k] = self.unknown if (b & 0xC0) != 0x80 else 0
         return float(self.id_scores[ids].sum())
 
-    def borders(self, chunk: str, ahead: str) -> tuple[int, int]:
-        """First and last place of the chunk where every path has an end; -1 if there is none."""
-        first = next((p for p in range(1, len(chunk)) if chunk[p] == SPACE and chunk[p - 1] != SPACE), -1)
-        if first < 0:
-            return -1, -1
-        p = len(chunk) - 1
-        while not (chunk[p] == SPACE and chunk[p - 1] != SPACE):
-            p -= 1
-        return first, p
-
     def encode_text(self, text: str) -> np.ndarray:
         raw = np.frombuffer(text.replace(SPACE, " ").encode(), np.uint8) if SPACE in text else np.frombuffer(text.encode(), np.uint8)
         return self.encode(raw, np.array([0, len(raw)]))[0]
 
-    def matrix(self, chunk: str, ahead: str) -> np.ndarray:
-        """Best scores from each state before the chunk to each state after it."""
-        states, text, n = self.longest, chunk + ahead, len(chunk)
-        out = np.full((states, states), NEVER)
-        first, last = self.borders(chunk, ahead)
-
-        def leaving(part: str, begin: list[float], stop: int) -> np.ndarray:
-            best, _ = self.forward(part, begin, stop)
-            row = np.full(states, NEVER)
-            row[: len(best) - stop] = best[stop : stop + states]
-            return row
-
-        if first < 0:
-            for e in range(min(states, n + 1)):
-                out[e] = leaving(text, [NEVER] * e + [0.0], n)
-            return out
-        tail = leaving(text[last:], [0.0], n - last)
-        middle = self.score(self.encode_text(chunk[first:last])) if last > first else 0.0
-        for e in range(min(states, first + 1)):
-            head = self.forward(chunk[:first], [NEVER] * e + [0.0], first)[0][first]
-            if head > NEVER / 2:
-                out[e] = np.where(tail > NEVER / 2, head + middle + tail, NEVER)
-        return out
-
-    def trace(self, chunk: str, ahead: str, enter: int, leave: int) -> list[int]:
-        """Ids of the chunk for the states around it."""
-        text, n = chunk + ahead, len(chunk)
-        first, last = self.borders(chunk, ahead)
-        begin = [NEVER] * enter + [0.0]
-        if first < 0 or enter > first:
-            _, back = self.forward(text, begin, n)
-            return self.traced(text, back, n + leave)
-        _, back = self.forward(chunk[:first], begin, first)
-        head = self.traced(chunk[:first], back, first)
-        _, back = self.forward(text[last:], [0.0], n - last)
-        return head + (self.encode_text(chunk[first:last]).tolist() if last > first else []) + self.traced(text[last:], back, n - last + leave)
+    def safe(self, text: str, a: int, b: int) -> np.ndarray:
+        """Places from a to b (without b) that no piece reaches over."""
+        low = max(0, a - self.longest + 1)
+        part = text[low : b + self.longest - 1]
+        spans, edge = A.Spans(self._values(part)), np.zeros(len(part) + 2, np.int64)
+        for k in range(2, min(self.longest, len(part)) + 1):
+            at = np.arange(len(part) - k + 1)
+            at = at[self.lookup(spans.hash(at, at + k)) >= 0]
+            edge[at + 1] += 1
+            edge[at + k] -= 1
+        return np.flatnonzero(np.cumsum(edge)[a - low : b - low] == 0) + a
+
+    def cuts(self, text: str, size: int) -> list[int]:
+        """Chunk borders at safe places: the last one at most ``size`` characters on, or else the next one after that."""
+        out, n = [0], len(text)
+        while n - out[-1] > size:
+            a = out[-1]
+            high, place = a + size + 1, -1
+            while high > a + 1 and place < 0:
+                low = max(a + 1, high - LOOK)
+                found = self.safe(text, low, high)
+                place, high = (int(found[-1]) if len(found) else -1), low
+            low = a + size + 1
+            while low < n and place < 0:
+                found = self.safe(text, low, min(low + LOOK, n))
+                place, low = (int(found[0]) if len(found) else -1), low + LOOK
+            if place < 0:
+                break
+            out.append(place)
+        return [*out, n]
 
 
 def pieces(path: str) -> Pieces:
@@ -254,83 +258,26 @@ def pieces(path: str) -> Pieces:
     return store[path]
 
 
-def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Product in the (max, +) semiring."""
-    return np.maximum((a[:, :, None] + b[None, :, :]).max(axis=1), NEVER)
-
-
-CHUNKS = "doc_id long, copy binary, chunk int, chunks int, text string, ahead string"
+CHUNKS = "doc_id long, copy binary, chunk int, text string"
+CHUNK_SCHEMA = pa.schema([("doc_id", pa.int64()), ("copy", pa.binary()), ("chunk", pa.int32()), ("text", pa.string())])
 
 
 def chunks(docs: DataFrame, model: str, size: int = CHUNK) -> DataFrame:
-    """Texts in chunks, spaces written as pieces have them, with the characters that follow.  ``copy`` tells texts of one id apart."""
+    """Texts in chunks, spaces written as pieces have them.  ``copy`` tells texts of one id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        longest = pieces(model).longest
-        step = max(size, longest)
+        vocabulary = pieces(model)
         for batch in batches:
             for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
                 copy = hashlib.md5(text.encode()).digest()
                 text = SPACE + text.replace(" ", SPACE) if text else ""
-                n = max(1, -(-len(text) // step))
-                for k in range(n):
-                    end = (k + 1) * step
-                    yield pa.RecordBatch.from_pylist([{"doc_id": doc, "copy": copy, "chunk": k, "chunks": n, "text": text[k * step : end], "ahead": text[end : end + longest - 1]}], CHUNK_SCHEMA)
+                places = vocabulary.cuts(text, size)
+                for k, (a, b) in enumerate(zip(places[:-1], places[1:])):
+                    yield pa.RecordBatch.from_pylist([{"doc_id": doc, "copy": copy, "chunk": k, "text": text[a:b]}], CHUNK_SCHEMA)
 
     return text_of(docs).mapInArrow(run, CHUNKS)
 
 
-CHUNK_SCHEMA = pa.schema([("doc_id", pa.int64()), ("copy", pa.binary()), ("chunk", pa.int32()), ("chunks", pa.int32()), ("text", pa.string()), ("ahead", pa.string())])
-STATES = "doc_id long, copy binary, chunk int, enter int, leave int"
-
-
-def border_states(long_chunks: DataFrame, model: str) -> DataFrame:
-    """The states each chunk starts and ends in, of texts with several chunks."""
-
-    def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = pieces(model)
-        for batch in batches:
-            blobs = [vocabulary.matrix(t, a).tobytes() for t, a in zip(batch["text"].to_pylist(), batch["ahead"].to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["copy"], batch["chunk"], pa.array(blobs, pa.binary())], ["doc_id", "copy", "chunk", "matrix"])
-
-    def square(blob: bytes) -> np.ndarray:
-        m = np.frombuffer(blob)
-        return m.reshape(int(len(m) ** 0.5), -1)
-
-    def up(table: pa.Table) -> pa.Table:
-        table = table.sort_by("chunk")
-        out = None
-        for blob in table["matrix"].to_pylist():
-            out = square(blob) if out is None else times(out, square(blob))
-        return pa.table([table["doc_id"].slice(0, 1), table["copy"].slice(0, 1), table["up"].slice(0, 1), pa.array([out.tobytes()], pa.binary())], ["doc_id", "copy", "chunk", "matrix"])
-
-    level = cut(long_chunks.mapInArrow(matrices, "doc_id long, copy binary, chunk int, matrix binary"))
-    levels = []
-    while not level.where("chunk > 0").isEmpty():
-        level = level.withColumn("up", (F.col("chunk") / FAN).cast("int"))
-        levels.append(level)
-        level = cut(level.groupBy("doc_id", "copy", "up").applyInArrow(up, "doc_id long, copy binary, chunk int, matrix binary"))
-    states = level.select("doc_id", "copy", "chunk", F.lit(0).alias("enter"), F.lit(0).alias("leave"))
-
-    def down(table: pa.Table) -> pa.Table:
-        table = table.sort_by("chunk")
-        blocks = [square(b) for b in table["matrix"].to_pylist()]
-        enter, leave = table["enter"][0].as_py(), table["leave"][0].as_py()
-        ahead = [np.full(len(blocks[0]), NEVER)]
-        ahead[0][enter] = 0
-        for m in blocks:
-            ahead.append((ahead[-1][:, None] + m).max(axis=0))
-        ends = [leave]
-        for k in range(len(blocks) - 1, 0, -1):
-            ends.append(int(np.argmax(ahead[k] + blocks[k][:, ends[-1]])))
-        ends = ends[::-1]
-        return pa.table([table["doc_id"], table["copy"], table["chunk"], pa.array([enter, *ends[:-1]], pa.int32()), pa.array(ends, pa.int32())], ["doc_id", "copy", "chunk", "enter", "leave"])
-
-    for parts in reversed(levels):
-        states = cut(parts.join(states.withColumnRenamed("chunk", "up"), ["doc_id", "copy", "up"]).groupBy("doc_id", "copy", "up").applyInArrow(down, STATES))
-    return states
-
-
 ENCODED = "doc_id long, copy binary, chunk int, ids binary, score double"
 DECODED = "doc_id long, copy binary, chunk int, n_tokens long, n_byte_tokens long, score double, text binary"
 Batches = Iterator[pa.RecordBatch]
@@ -345,8 +292,7 @@ def encode(docs: DataFrame, model: str, size: int = CHUNK, after: Callable[[Batc
     after = after or iter
     texts = text_of(docs)
     fits = F.length("text") < size  # one more place goes to the space in front
-    long_chunks = cut(chunks(texts.where(~fits), model, size))
-    states = border_states(long_chunks, model)
+    long_chunks = chunks(texts.where(~fits), model, size).repartition("doc_id", "copy", "chunk")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, mark = pieces(model), SPACE.encode()
@@ -366,11 +312,10 @@ def encode(docs: DataFrame, model: str, size: int = CHUNK, after: Callable[[Batc
         vocabulary = pieces(model)
         for batch in batches:
             for row in batch.to_pylist():
-                ids = np.array(vocabulary.trace(row["text"], row["ahead"], row["enter"], row["leave"]), "<u4")
+                ids = np.array(vocabulary.encode_text(row["text"]), "<u4")
                 yield pa.RecordBatch.from_pylist([{"doc_id": row["doc_id"], "copy": row["copy"], "chunk": row["chunk"], "ids": ids.tobytes(), "score": vocabulary.score(ids)}], IDS_SCHEMA)
 
-    placed = long_chunks.join(states, ["doc_id", "copy", "chunk"]).select("doc_id", "copy", "chunk", "text", "ahead", "enter", "leave")
-    return texts.where(fits).mapInArrow(lambda b: after(whole(b)), schema).union(placed.mapInArrow(lambda b: after(between(b)), schema))
+    return texts.where(fits).mapInArrow(lambda b: after(whole(b)), schema).union(long_chunks.mapInArrow(lambda b: after(between(b)), schema))
 
 
 IDS_SCHEMA = pa.schema([("doc_id", pa.int64()), ("copy", pa.binary()), ("chunk", pa.int32()), ("ids", pa.binary()), ("score", pa.float64())])

@@ -344,3 +344,21 @@ def test_pieces(docs, nothing, size):
     one = pieces.round_trip(docs, model, size).drop("score")
     assert sorted(map(tuple, apart.drop("copy").collect())) == sorted(map(tuple, one.collect()))
     assert pieces.round_trip(nothing, model).count() == 0
+
+
+@pytest.mark.parametrize("size", [16, 40, 1 << 16])
+def test_pieces_are_those_of_the_library(spark, size):
+    import sentencepiece
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=model)
+    draw = random.Random(8)
+    letters = ["".join(draw.choice("abcdeilnorst") for _ in range(n)) for n in (30, 49, 200, 1500)]
+    more = ["des Elle", "Elle est des", "日本語のテキスト" * 20, "x" * 300 + " " * 50 + "=" * 130, "\n\n\tif (a)\n" * 30, "🙂é🙂" * 40, " lead", "trail  ", *letters]
+    given = TEXTS + list(enumerate(more, 1000))
+    encoded = pieces.encode(spark.createDataFrame(given, "doc_id long, text string").repartition(3), model, size)
+    ids = {}
+    for r in sorted(encoded.collect(), key=lambda r: r.chunk):
+        ids.setdefault(r.doc_id, []).extend(np.frombuffer(r.ids, "<u4").tolist())
+    for i, text in given:
+        assert ids[i] == library.encode(text or ""), text
