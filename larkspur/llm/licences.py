@@ -1,10 +1,14 @@
-"""Licence scan: phrases, and an exact set-similarity join of text lines with licence templates.
+"""Licence scan: phrases, and an exact set-similarity join of blocks of text with licence templates.
 
-Only DataFrame functions.  One pass over the texts finds the words, the phrase places, and for each line the
-template words it holds.  Then the join: template words are ordered by the number of lines of the whole corpus
-that hold them, rarest first; the containment of a template of t words in a line must reach c = ceil(THRESHOLD t), so the
-line must hold one of the template's first t - c + 1 words (prefix filter), must have c words (length filter),
-and a match at place p of the template leaves t - p words at most (positional filter).  Lines that pass are compared exactly.
+Only DataFrame functions.  One pass over the texts finds the words, the phrase places, and for each block the
+template words it holds.  A block is a line, or a *run* over lines for notices that are wrapped: the end of a line and the words that follow it up to
+the next line without words.  A template of n words is looked for in a run in ceil(n / THRESHOLD) words in a row; a run reaches so many
+words, of the longest template, to both sides that each such window over a line break lies in the run of the line it starts in.
+
+Then the join: template words are ordered by the number of blocks of the whole corpus
+that hold them, rarest first; the containment of a template of t different words in a block must reach c = ceil(THRESHOLD t), so the
+block must hold one of the template's first t - c + 1 words (prefix filter), must have c words (length filter),
+and a match at place p of the template leaves t - p words at most (positional filter).  Blocks that pass are compared exactly.
 The template table is fixed and small, so it is broadcast.
 
 Edge cases: null and empty texts have no words and no labels; rows that repeat an id give a row each, with the phrase places of
@@ -57,6 +61,25 @@ def _phrase_places(words: Column) -> Column:
     return F.concat(*found)
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _run(reach: int) -> Callable[[Column, Column], Column]:
+    """The run that starts in a line of ``marked``, null where the next line has no words."""
+    def run(line: Column, i: Column) -> Column:
+        def until_blank(below: Column) -> Column:
+            return _let(F.array_position(F.transform(below, F.size), F.lit(0)).cast("int"), lambda k: F.when(k > 0, F.slice(below, 1, k - 1)).otherwise(below))
+
+        below = _let(F.slice("marked", i + 2, reach), until_blank)
+        tail = F.slice(line, F.greatest(F.size(line) - (reach - 1), F.lit(1)), reach)
+        follows = F.coalesce(F.size(F.get("marked", i + 1)) > 0, F.lit(False))
+        return F.when((F.size(line) > 0) & follows, F.concat(tail, F.slice(F.flatten(below), 1, reach)))
+
+    return run
+
+
 def _csv(labels: Column) -> Column:
     return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
 
@@ -71,25 +94,34 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     lines = lines.select("doc_id", F.transform("lines", lambda x: F.regexp_extract_all(x, F.lit(WORD), F.lit(0))).alias("lines"))
     words = lines.select("doc_id", "lines", F.flatten("lines").alias("words"))
     words = words.withColumn("hits", F.when(F.arrays_overlap("words", F.array(*map(F.lit, endings))), _phrase_places(F.col("words"))).otherwise(F.array().cast("array<struct<start:long,label:string>>")))
-    held = F.transform("lines", lambda x: F.struct(F.size(x).alias("size"), F.array_distinct(F.filter(x, lambda w: w.isin(vocabulary))).alias("held")))
+    words = words.withColumn("marked", F.transform("lines", lambda x: F.transform(x, lambda w: F.when(w.isin(vocabulary), w)))).drop("lines")
     shortest = min(math.ceil(threshold * len(t)) for _, _, t in templates)
-    docs_scanned = cut(words.select("doc_id", F.size("words").cast("long").alias("n_words"), "hits", F.filter(held, lambda x: F.size(x["held"]) >= shortest).alias("lines")))
+    widths = [math.ceil(len(text.split()) / threshold) for _, text in TEMPLATES]
+
+    def block(x: Column, run: Column) -> Column:
+        return F.struct(F.size(x).alias("size"), F.array_distinct(F.array_compact(x)).alias("held"), run.cast("array<string>").alias("run"))
+
+    lines = F.transform("marked", lambda x: block(x, F.lit(None)))
+    runs = F.transform(F.filter(F.transform("marked", _run(max(widths) - 1)), lambda x: x.isNotNull()), lambda x: block(x, x))
+    docs_scanned = cut(words.select("doc_id", F.size("words").cast("long").alias("n_words"), "hits", F.filter(F.concat(lines, runs), lambda x: F.size(x["held"]) >= shortest).alias("blocks")))
 
-    # frequency of the template words over all lines that hold enough of them: one row for each template word
-    counts = docs_scanned.select(F.explode("lines").alias("l")).select(F.explode("l.held").alias("word")).groupBy("word").count()
+    # frequency of the template words over all blocks that hold enough of them: one row for each template word
+    counts = docs_scanned.select(F.explode("blocks").alias("b")).select(F.explode("b.held").alias("word")).groupBy("word").count()
     frequency = {r.word: r["count"] for r in counts.collect()}
     rows = []
     for k, label, t in templates:
         order = sorted(t, key=lambda w: (frequency.get(w, 0), w))
         need = math.ceil(threshold * len(t))
-        rows += [(k, label, need, order, word, place) for place, word in enumerate(order[: len(t) - need + 1])]
-    table = F.broadcast(docs.sparkSession.createDataFrame(rows, "template int, label string, need int, template_words array<string>, word string, place int"))
-    lines = docs_scanned.where(F.size("lines") > 0).select("doc_id", F.posexplode("lines").alias("line", "l")).select("doc_id", "line", "l.size", "l.held")
-    candidates = lines.withColumn("word", F.explode("held")).join(table, "word").where("size >= need and size(template_words) - place >= need")
-    # the first common word of a line and a template stands for the pair
+        rows += [(k, label, need, widths[k], order, word, place) for place, word in enumerate(order[: len(t) - need + 1])]
+    table = F.broadcast(docs.sparkSession.createDataFrame(rows, "template int, label string, need int, width int, template_words array<string>, word string, place int"))
+    blocks = docs_scanned.where(F.size("blocks") > 0).select("doc_id", F.explode("blocks").alias("b")).select("doc_id", "b.size", "b.held", "b.run")
+    candidates = blocks.withColumn("word", F.explode("held")).join(table, "word").where("size >= need and size(template_words) - place >= need")
+    # the first common word of a block and a template stands for the pair
     first = F.array_position(F.transform("template_words", lambda w: F.array_contains("held", w)), True)
     overlap = F.size(F.array_intersect("held", "template_words"))
     matched = candidates.where(first == F.col("place") + 1).withColumn("common", overlap).where("common >= need")
+    window = F.transform(F.sequence(F.lit(1), F.size("run")), lambda k: F.size(F.array_intersect(F.slice("run", k, F.col("width")), F.col("template_words"))))
+    matched = matched.withColumn("common", F.when(F.col("run").isNull(), F.col("common")).otherwise(F.array_max(window))).where("common >= need")
     found = matched.groupBy("doc_id").agg(F.collect_set("label").alias("found"), F.max(F.col("common") / F.size("template_words")).alias("best"))
     starts = F.transform("hits", lambda x: x["start"])
     base = F.transform("hits", lambda x: x["label"])

@@ -206,6 +206,37 @@ def test_licence_templates(spark):
     assert found[1].labels == "gpl" and found[2].labels == "" and found[2].score == 0 and found[3].labels == "cc-by-nc" and found[3].score == 1
 
 
+def test_licence_notices_over_lines(spark):
+    """All texts in all wrappings against a search of the lines and of each window over line breaks."""
+    bsd = "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions are met:"
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal"
+    given = [bsd, mit, bsd.replace("\n", "\n#\n"), bsd.replace("\n", "\r\n"), "before\n\n" + mit + "\nafter\n", "Released under\nthe MIT", "released\n" + "x " * 40 + "under the mit"]
+    draw = random.Random(3)
+    for _, text in licences.TEMPLATES:
+        for most in (1, 3, 8):
+            words = [w for w in text.split() if draw.random() < 0.9]
+            words.insert(draw.randrange(len(words)), "inserted")
+            words = ["some", "words", "ahead"] * draw.randrange(12) + words + ["more"] * draw.randrange(40)
+            given.append("".join(w + draw.choice(["\n"] + [" "] * most) for w in words))
+    given = list(enumerate(given))
+    found = rows(licences.scan(spark.createDataFrame(given, "doc_id long, text string")))
+    assert [found[k].labels for k in range(7)] == ["bsd", "mit", "", "bsd", "mit", "mit", ""]
+    for i, text in given:
+        lines = [re.findall(licences.WORD, x.translate(ASCII_LOWER)) for x in text.split("\n")]
+        paragraphs = [[]]
+        for line in lines:
+            paragraphs = [*paragraphs[:-1], paragraphs[-1] + line] if line else [*paragraphs, []]
+        best = {}
+        for (label, template) in licences.TEMPLATES:
+            holds, width = set(template.split()), math.ceil(len(template.split()) / licences.THRESHOLD)
+            windows = lines + [p[k : k + width] for p in paragraphs for k in range(len(p))]
+            best[label] = max(best.get(label, 0), max(len(holds & set(w)) / len(holds) for w in windows))
+        expected = {label for label, share in best.items() if share >= licences.THRESHOLD}
+        assert set(found[i].labels.split(",")) - {""} - set(found[i].base_labels.split(",")) == expected - set(found[i].base_labels.split(",")), text
+        if not found[i].n_base:
+            assert found[i].score == max([share for share in best.values() if share >= licences.THRESHOLD], default=0), text
+
+
 def test_quality(docs, nothing, spark):
     labels = spark.createDataFrame([(i, i % 2, 0) for i, _ in TEXTS] + [(None, 1, 0), (3, None, 0)], "doc_id long, quality int, toxic int")
     found = rows(quality.judge(docs, quality.fit(docs, labels)))
