@@ -8,6 +8,8 @@ some tenths of a document's elements apart, and only their hashes are shuffled.
 * runs with the same content: every run but the first is a repeat as a whole;
 * runs with the same anchor and other content are *open*: their windows have to be compared.  The text of the first run of
   each content goes on to the comparison, which is what the two operators differ in.
+* open runs of a *hot* anchor, one with more than ``most`` contents (a phrase shorter than the window in many documents), are
+  dealt on as single windows by the hash of the window, and equal windows are found by sorting them whole.
 
 Hot passages cost one comparison for each different content, not for each copy.
 """
@@ -29,6 +31,7 @@ from larkspur.llm.tables import bucket_count, cut, fold, fold_array
 BLOCK = 1 << 23  # windows taken at once; positions have 24 bits
 PLACE = A.U((1 << 24) - 1)
 SMALL = 1 << 20  # bytes taken at once
+HOT = 1 << 14  # contents of an anchor that one task compares
 
 
 @dataclass(frozen=True)
@@ -39,6 +42,7 @@ class Rule:
     gram: int
     by_words: bool
     same_document: bool  # an earlier place in the same document counts too
+    most: int = HOT  # an anchor with more contents is hot
 
     def elements(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, A.Words | None]:
         """Values to hash, first element of each text, words."""
@@ -108,7 +112,7 @@ def homes_of(docs: DataFrame, homes: int) -> tuple[DataFrame, str]:
 
 
 def search(docs: DataFrame, rule: Rule) -> tuple[DataFrame, int]:
-    """Runs that repeat as a whole (open 0), and the open ones to compare (open 1), in the buckets of their documents."""
+    """Runs that repeat as a whole (open 0), and the open ones to compare (open 1; 2 of hot anchors), in the buckets of their documents."""
     buckets = bucket_count(docs.sparkSession, 3)
     homes = bucket_count(docs.sparkSession, 1)
 
@@ -135,7 +139,7 @@ def search(docs: DataFrame, rule: Rule) -> tuple[DataFrame, int]:
         group = np.cumsum(new) - 1
         head = np.flatnonzero(new)
         contents = np.bincount(np.cumsum(new_key[head]) - 1)  # of each key
-        is_open = np.repeat(contents > 1, contents)[group]
+        is_open = np.repeat((contents > 1).astype(int) + (contents > max(rule.most, 1)), contents)[group]
         first_doc, first_start = doc[head][group], start[head][group]
         later = doc > first_doc
         if rule.same_document:
@@ -143,7 +147,7 @@ def search(docs: DataFrame, rule: Rule) -> tuple[DataFrame, int]:
         again = np.r_[False, (doc[1:] == doc[:-1]) & (start[1:] == start[:-1])] & ~new
         columns = {"doc": doc, "start": start, "n": n, "from_doc": first_doc, "from_start": first_start}
         out = []
-        for flag, rows in ((0, later & ~again), (1, is_open & ~later & ~again)):
+        for flag, rows in ((0, later & ~again), (1, (is_open == 1) & ~later & ~again), (2, (is_open == 2) & ~later & ~again)):
             out += found_rows({k: v[rows] for k, v in columns.items()}, homes, flag, bucket)
         return pa.Table.from_batches(out, found_schema())
 
@@ -157,12 +161,23 @@ def positions(ids: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return order[np.searchsorted(ids[order], wanted)]
 
 
+def first_whole(elements: np.ndarray, doc: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
+    """For each of the windows that make up ``elements`` its first equal one (by document, then start)."""
+    order = np.lexsort((start, doc))
+    windows = np.ascontiguousarray(elements.reshape(-1, length)[order]).view(f"V{length * elements.itemsize}").ravel()
+    _, head, same = np.unique(windows, return_index=True, return_inverse=True)
+    first = np.empty(len(order), np.int64)
+    first[order] = order[head[same]]
+    return first
+
+
 def compare(docs: DataFrame, found: DataFrame, homes: int, rule: Rule, windows: Callable[..., np.ndarray]) -> DataFrame:
     """The repeated windows of the open runs, as runs like those of search().
 
     ``windows`` gets the elements of all open runs of a bucket and says of each of their windows which one, the first, it repeats.
     """
     dtype = np.dtype(np.uint64 if rule.by_words else np.uint8)
+    buckets = bucket_count(docs.sparkSession, 3)  # those from here on hold the windows of hot anchors
 
     def fetch(left: pa.Table, right: pa.Table) -> pa.Table:
         schema = found_schema("bucket int, doc binary, start binary, n binary, elements binary")
@@ -172,28 +187,35 @@ def compare(docs: DataFrame, found: DataFrame, homes: int, rule: Rule, windows:
         raw, offsets = A.flat(left["text"])
         r = found_columns(right)
         sizes = np.array([len(x) // 8 for x in right["doc"].to_pylist()])
-        bucket = np.repeat(right["bucket"].to_numpy(), sizes)
+        bucket, hot = np.repeat(right["bucket"].to_numpy(), sizes), np.repeat(right["open"].to_numpy() == 2, sizes)
         row = positions(ids, r["doc"])
         out = []
         for i, j in A.slices(offsets):
             at = np.flatnonzero((row >= i) & (row < j))
             if not len(at):
                 continue
-            at = at[np.argsort(bucket[at], kind="stable")]
             values, first, _ = rule.elements(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+            doc, start, windows_of, b, place = r["doc"][at], r["start"][at], r["n"][at], bucket[at], first[row[at] - i] + r["start"][at]
+            if hot[at].any():
+                cold, h = np.flatnonzero(~hot[at]), np.flatnonzero(hot[at])
+                each = A.ranges(place[h], windows_of[h])
+                own = ((A.Spans(values).hash(each, each + rule.length) >> A.U(32)).astype(np.int64) * buckets >> 32) + buckets
+                doc, start = np.r_[doc[cold], np.repeat(doc[h], windows_of[h])], np.r_[start[cold], A.ranges(start[h], windows_of[h])]
+                b, place, windows_of = np.r_[b[cold], own], np.r_[place[cold], each], np.r_[windows_of[cold], np.ones(len(each), np.int64)]
+            order = np.argsort(b, kind="stable")
+            doc, start, windows_of, b, place = (x[order] for x in (doc, start, windows_of, b, place))
             values = values if rule.by_words else raw[offsets[i] : offsets[j]]
-            n = r["n"][at] + rule.length - 1
-            taken = values[A.ranges(first[row[at] - i] + r["start"][at], n)].astype(dtype)
+            n = windows_of + rule.length - 1
+            taken = values[A.ranges(place, n)].astype(dtype)
             ends = np.r_[0, np.cumsum(n)]
-            b = bucket[at]
             cuts = np.flatnonzero(np.r_[True, b[1:] != b[:-1]])
             stops = np.r_[cuts[1:], len(b)]
             pick = lambda v: pa.array([v[x:y].tobytes() for x, y in zip(cuts.tolist(), stops.tolist())], pa.binary())
             text = pa.array([taken[ends[x] : ends[y]].tobytes() for x, y in zip(cuts.tolist(), stops.tolist())], pa.binary())
-            out.append(pa.RecordBatch.from_arrays([pa.array(b[cuts].astype(np.int32)), pick(r["doc"][at]), pick(r["start"][at].astype(np.uint32)), pick(r["n"][at].astype(np.uint16)), text], schema=schema))
+            out.append(pa.RecordBatch.from_arrays([pa.array(b[cuts].astype(np.int32)), pick(doc), pick(start.astype(np.uint32)), pick(windows_of.astype(np.uint16)), text], schema=schema))
         return pa.Table.from_batches(out, schema)
 
-    opened = found.where("open = 1")
+    opened = found.where("open > 0")
     placed, home = homes_of(docs.select("doc_id", "text"), homes)
     texts = placed.groupBy(home).cogroup(opened.groupBy("home")).applyInArrow(fetch, "bucket int, doc binary, start binary, n binary, elements binary")
 
@@ -204,7 +226,8 @@ def compare(docs: DataFrame, found: DataFrame, homes: int, rule: Rule, windows:
         at = A.ranges(begin, n)  # places of the windows
         run = np.repeat(np.arange(len(n)), n)
         window_doc, window_start = doc[run], start[run] + A.runs(n)
-        first = windows(elements, at, window_doc, window_start, rule.length)
+        hot = table["bucket"][0].as_py() >= buckets
+        first = first_whole(elements, window_doc, window_start, rule.length) if hot else windows(elements, at, window_doc, window_start, rule.length)
         later = window_doc[first] < window_doc
         if rule.same_document:
             later |= (window_doc[first] == window_doc) & (window_start[first] < window_start)

@@ -1,5 +1,6 @@
 """The operators against brute force on small tables with nulls, empty and long texts, ties, copies and clashing columns."""
 
+import dataclasses
 import hashlib
 import math
 import random
@@ -13,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from larkspur.llm import dac, debruijn, hmm, jaccard, licences, packing, pieces, quality, suffix, topk
+from larkspur.llm import dac, debruijn, hmm, jaccard, licences, packing, pieces, quality, repeats, suffix, topk
 from larkspur.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -115,6 +116,33 @@ def test_repeated_ids(spark):
     assert found[1].n_removed == 0 and found[2].n_removed == 60 and len(found) == 2
 
 
+@pytest.mark.parametrize("module, length, same_document", [(suffix, 50, False), (debruijn, 20, True)])
+def test_hot_anchors_are_dealt_on(spark, monkeypatch, module, length, same_document):
+    """A phrase shorter than a window in many documents; no comparison gets the windows of all of them."""
+    draw = random.Random(4)
+    phrase, passage = " ".join(f"p{k}" for k in range(12 if same_document else 6)), prose(draw, 30)
+    given = [(k, f"{prose(draw, 12)} {phrase} {passage + ' ' if k % 9 == 0 else ''}{draw.choice(['a b', 'c'])} {prose(draw, 12)}") for k in range(300)]
+    given += [(400 + k, given[k][1][7:] + " more") for k in range(0, 300, 50)]
+    rule_of, compare = module.rule_of, module.first_windows
+
+    def bounded(elements, at, *more):
+        if len(at) > 1500:
+            raise ValueError(f"{len(at)} windows meet")
+        return compare(elements, at, *more)
+
+    monkeypatch.setattr(module, "first_windows", bounded)
+    if hasattr(repeats, "HOT"):
+        monkeypatch.setattr(module, "rule_of", lambda n: dataclasses.replace(rule_of(n), most=16))
+    table = spark.createDataFrame(given, "doc_id long, text string").repartition(3)
+    found, seen = rows(suffix.remove_strings(table) if module is suffix else debruijn.remove_passages(table)), {}
+    for i, text in given:
+        whole = tuple(WORD.findall(text)) if same_document else text.encode()
+        gone = removed_places(whole, length, seen, i, same_document)
+        kept = [x for x, g in zip(whole, gone) if not g]
+        assert found[i].n_removed == sum(gone)
+        assert found[i].kept_sha256 == hashlib.sha256(" ".join(kept).encode() if same_document else bytes(kept)).hexdigest()
+
+
 def shingle_sets():
     out = {}
     for i, text in TEXTS:
