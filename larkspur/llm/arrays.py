@@ -37,7 +37,7 @@ POWERS: dict[int, np.ndarray] = {}
 
 def powers(base: int, n: int) -> np.ndarray:
     """1, base, base^2, ...; the longest list so far is kept."""
-    if len(POWERS.get(base, ())) < n:
+    if base not in POWERS or len(POWERS[base]) < n:
         out = np.full(max(n, SLICE_BYTES + 64), base, U)
         out[0] = 1
         POWERS[base] = np.multiply.accumulate(out)

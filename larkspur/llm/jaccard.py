@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from larkspur.llm import arrays as A
 from larkspur.llm.components import components
-from larkspur.llm.tables import bucket_count, cut, text_of
+from larkspur.llm.tables import bucket_count, cut, one_per_id, text_of
 
 N = 5
 COUNTED = 0.4
@@ -332,6 +332,10 @@ def join_documents(docs: DataFrame) -> DataFrame:
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """The documents that stay: the smallest id of each component, with all columns."""
+    """The documents that stay: the smallest id of each component, with all columns.
+
+    Of rows that repeat an id the one with the smallest text stands; rows without an id are left out.
+    """
+    docs = one_per_id(docs)
     first = join_documents(docs).where("doc_id = component_id").select("doc_id")
     return docs.alias("d").join(first.alias("f"), F.col("d.doc_id") == F.col("f.doc_id"), "left_semi")

@@ -344,9 +344,16 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, model: str, size: int = CHUNK) -> DataFrame:
-    """Every text encoded and decoded again, in one worker: counts, score, and the bytes that came back."""
+    """Every text encoded and decoded again, in one worker: counts, score, and the bytes that came back.
+
+    One row for each row of the table: the chunks of equal rows meet in one group, which holds as many first chunks as there are rows.
+    """
     back = encode(docs, model, size, decoder(model), DECODED)
-    return back.groupBy("doc_id", "copy").agg(
-        F.sum("n_tokens").alias("n_tokens"), F.sum("n_byte_tokens").alias("n_byte_tokens"), F.sum("score").alias("score"),
+    rows = F.count_if(F.col("chunk") == 0)
+    sums = back.groupBy("doc_id", "copy").agg(
+        rows.alias("_rows"), *(F.sum(c).alias(c) for c in ("n_tokens", "n_byte_tokens", "score")),
         F.sum(F.octet_length("text")).alias("n_bytes"), F.count("*").alias("n_chunks"),
-    ).drop("copy")
+    )
+    each = [F.floor(F.col(c) / F.col("_rows")).alias(c) for c in ("n_tokens", "n_byte_tokens")]
+    each += [(F.col("score") / F.col("_rows")).alias("score"), *(F.floor(F.col(c) / F.col("_rows")).alias(c) for c in ("n_bytes", "n_chunks"))]
+    return sums.select("doc_id", F.explode(F.sequence(F.lit(1), F.col("_rows"))).alias("_row"), *each).drop("_row")

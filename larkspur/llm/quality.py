@@ -7,8 +7,8 @@ a batch through one tree level at a time.  Fixed rules (``base_failed``) stand
 beside the trees; a document is kept if neither rejects it.
 
 Edge cases: a null text counts as empty, has no words and fails the fixed rules;
-rows with a null id are left out of the statistics, and ``keep`` keeps their
-verdict like any other row; labels that are null or unknown are not used; without
+rows with a null id are left out; of rows that repeat an id ``keep`` takes the
+one with the smallest text, ``judge`` judges each; labels that are null or unknown are not used; without
 any usable label (or with one class only) the trees reject nothing.
 """
 
@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from larkspur.llm import arrays as A
-from larkspur.llm.tables import text_of
+from larkspur.llm.tables import one_per_id, text_of
 
 MAX_LABELLED = 20_000
 MIN_WORDS = 50
@@ -254,7 +254,8 @@ def judge(docs: DataFrame, trees: Trees | None) -> DataFrame:
 
 
 def keep(docs: DataFrame, trees: Trees | None) -> DataFrame:
-    """The documents that pass, with all their columns."""
+    """The documents that pass, with all their columns; one row of each id."""
+    docs = one_per_id(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

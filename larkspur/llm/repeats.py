@@ -44,6 +44,15 @@ class Rule:
     same_document: bool  # an earlier place in the same document counts too
     most: int = HOT  # an anchor with more contents is hot
 
+    def __post_init__(self) -> None:
+        if self.length - self.gram + 1 > np.iinfo(COLUMNS["n"]).max:
+            raise ValueError(f"windows of {self.length} elements: a run of them would have more than 65,535")
+
+    @property
+    def run_size(self) -> type:
+        """A type for the windows of a run, at most as many as a window has places for its anchor."""
+        return np.uint8 if self.length - self.gram + 1 <= 255 else np.uint16
+
     def elements(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, A.Words | None]:
         """Values to hash, first element of each text, words."""
         if not self.by_words:
@@ -124,14 +133,14 @@ def search(docs: DataFrame, rule: Rule) -> tuple[DataFrame, int]:
                 values, first, _ = rule.elements(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 r = owned_runs(A.Spans(values), first, rule)
                 target = ((r["key"] >> A.U(32)).astype(np.int64) * buckets) >> 32
-                out = A.scatter(target, {"key": r["key"].astype(np.uint32), "content": r["content"], "doc": ids[i:j][r["text"]], "start": r["start"].astype(np.uint32), "n": r["n"].astype(np.uint8)})
+                out = A.scatter(target, {"key": r["key"].astype(np.uint32), "content": r["content"], "doc": ids[i:j][r["text"]], "start": r["start"].astype(np.uint32), "n": r["n"].astype(rule.run_size)})
                 if out is not None:
                     yield out
 
     def judge(table: pa.Table) -> pa.Table:
         bucket = table["bucket"][0].as_py()
         key, content = A.gather(table, "key", np.uint32), A.gather(table, "content", np.uint64)
-        doc, start, n = A.gather(table, "doc", np.int64), A.gather(table, "start", np.uint32), A.gather(table, "n", np.uint8)
+        doc, start, n = A.gather(table, "doc", np.int64), A.gather(table, "start", np.uint32), A.gather(table, "n", rule.run_size)
         order = np.lexsort((start, doc, content, key))
         key, content, doc, start, n = (x[order] for x in (key, content, doc, start, n))
         new_key = np.r_[True, key[1:] != key[:-1]]

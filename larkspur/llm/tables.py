@@ -47,11 +47,16 @@ def reliable(df: DataFrame) -> DataFrame:
 
 
 def one_per_id(docs: DataFrame) -> DataFrame:
-    """The smallest text of each id where ids repeat; a table whose ids are unique, as they should be, is returned as it is."""
+    """One whole row of each id where ids repeat: that with the smallest text (null: empty), of equal texts that with the smallest hash of its columns.
+
+    A table whose ids are unique, as they should be, is returned as it is.  Rows without an id stay out.
+    """
+    docs = docs.where("doc_id is not null")
     if docs.groupBy("doc_id").count().where("count > 1").isEmpty():
         return docs
-    first = docs.groupBy("doc_id").agg(F.min("text").alias("text"))
-    return first.join(docs.dropDuplicates(["doc_id", "text"]).drop("text"), "doc_id").select(docs.columns) if len(docs.columns) > 2 else first
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    order = F.struct(F.coalesce("text", F.lit("")), F.xxhash64(*names))
+    return docs.groupBy(F.col("doc_id").alias("_id")).agg(F.min_by(F.struct(*names), order).alias("_row")).select("_row.*")
 
 
 def fold(ids: Column) -> Column:
