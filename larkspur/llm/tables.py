@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import FloatType
 
 from larkspur.session import cut_lineage, scratch_path
 
-__all__ = ["bucket_count", "bucket_of", "cut", "documents", "scratch_path", "text_of"]
+__all__ = ["bucket_count", "bucket_of", "cut", "documents", "labelled_vectors", "scratch_path", "text_of"]
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -59,6 +60,19 @@ def one_per_id(docs: DataFrame) -> DataFrame:
     return docs.groupBy(F.col("doc_id").alias("_id")).agg(F.min_by(F.struct(*names), order).alias("_row")).select("_row.*")
 
 
+def labelled_vectors(table: DataFrame) -> DataFrame:
+    """(vec_id, label, v) of embeddings with an id; of rows that repeat an id that with the smallest label and vector stands.
+
+    Components are floats where the table has floats, else doubles.
+    """
+    rows = table.where("vec_id is not null").select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").alias("v"))
+    if not isinstance(table.schema["embedding"].dataType.elementType, FloatType):
+        rows = rows.withColumn("v", F.col("v").cast("array<double>"))
+    if rows.groupBy("vec_id").count().where("count > 1").isEmpty():
+        return rows
+    return rows.groupBy("vec_id").agg(F.min(F.struct("label", "v")).alias("r")).select("vec_id", "r.*")
+
+
 def fold(ids: Column) -> Column:
     """Bits of an id folded onto each other; fold_array() is the same for numpy."""
     return ids.bitwiseXOR(F.shiftrightunsigned(ids, 9)).bitwiseXOR(F.shiftrightunsigned(ids, 21))
