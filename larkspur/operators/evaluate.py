@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from larkspur.operators.ordering import running_totals
+from larkspur.session import stored_copy
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -21,24 +22,26 @@ def pair_counts(df: DataFrame, label: str = "label", prediction: str = "predicti
     return df.groupBy(F.col(label).alias("actual"), F.col(prediction).alias("predicted")).agg(F.count("*").alias("n"))
 
 
-def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction", limit: int = 1000) -> DataFrame:
+def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Counts on the full label grid, rows actual and columns predicted, zero where no row fell.
 
-    The grid is built from the label list, whose length is checked.  Rows without
+    The grid is built in Spark: labels are numbered by their order, every label is laid out once for each number, and the number brings
+    the other label by a join, so that neither labels nor counts pass through the driver, however many there are.  Rows without
     a label or a prediction have no cell and are left out.
     """
-    counts = pair_counts(df, label, prediction).where("actual is not null and predicted is not null").cache()
-    try:
-        found = counts.select(F.explode(F.array("actual", "predicted")).alias("label")).distinct().limit(limit + 1).collect()
-        if len(found) > limit:
-            raise ValueError(f"more than {limit} labels")
-        kind = counts.schema["actual"].dataType
-        labels = sorted(r["label"] for r in found)
-        known = df.sparkSession.createDataFrame([tuple(r) for r in counts.collect()], counts.schema)
-    finally:
-        counts.unpersist()
-    rows = df.sparkSession.createDataFrame([(name,) for name in labels], T.StructType([T.StructField("actual", kind)]))
-    grid = rows.withColumn("predicted", F.explode(F.array(*[F.lit(name).cast(kind) for name in labels])))
+    known = stored_copy(pair_counts(df, label, prediction).where("actual is not null and predicted is not null"), "pairs")
+    labels = known.select(F.explode(F.array("actual", "predicted")).alias("_label")).distinct()
+    # numbers without gaps: order of the label inside a range, after the labels of the ranges before
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stored_copy(labels.repartitionByRange(parts, "_label").withColumn("_range", F.spark_partition_id()), "labels")
+    inside = Window.partitionBy("_range").orderBy("_label")
+    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
+    # as many rows as there are ranges
+    before = sizes.select("_range", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    numbered = ranged.join(F.broadcast(before), "_range").select("_label", (F.col("_before") + F.row_number().over(inside)).alias("_at"))
+    total = numbered.count()
+    rows = numbered.select(F.col("_label").alias("actual"), F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(total).cast("bigint"))).alias("_at"))
+    grid = rows.join(numbered.withColumnRenamed("_label", "predicted"), "_at").drop("_at")
     return grid.join(known, ["actual", "predicted"], "left").fillna(0, ["n"])
 
 
@@ -210,29 +213,30 @@ def _per_k(per_user: DataFrame, ks: Sequence[int], name: str) -> DataFrame:
     return means.select(F.explode(cells).alias("c")).select("c.*")
 
 
-def mean_user_auc(positives: DataFrame, negatives: DataFrame) -> DataFrame:
+def mean_user_auc(positives: DataFrame, negatives: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Mean over users of the share of (positive, negative) pairs with the positive scored higher.
 
     Both inputs hold user and score; ties do not count as correct, and only users
     with both kinds count.  Pairs are never formed: scores are counted per user and
     each positive is credited with the negatives below it by a running total.
     Rows without a score (null or NaN) cannot be ranked and count nowhere.
+    ``by`` names further columns, such as the model that gave the score: all their values are judged in the same jobs, one row each.
     """
-    both_kinds = positives.select("user", "score", F.lit(1).alias("_p")).unionByName(
-        negatives.select("user", "score", F.lit(0).alias("_p"))
+    keys = [*by, "user"]
+    both_kinds = positives.select(*keys, "score", F.lit(1).alias("_p")).unionByName(
+        negatives.select(*keys, "score", F.lit(0).alias("_p"))
     )
     scored = both_kinds.where(F.col("score").isNotNull() & ~F.isnan(F.col("score").cast("double")))
-    counts = scored.groupBy("user", "score").agg(
+    counts = scored.groupBy(*keys, "score").agg(
         F.sum("_p").alias("pos"), F.sum(1 - F.col("_p")).alias("neg")
     )
-    below = running_totals(counts, ["user"], "score", {"neg_below": "neg"})
-    per_user = below.groupBy("user").agg(
+    below = running_totals(counts, keys, "score", {"neg_below": "neg"})
+    per_user = below.groupBy(*keys).agg(
         F.sum(F.col("pos") * F.col("neg_below")).alias("won"), F.sum("pos").alias("p"), F.sum("neg").alias("n")
     )
     both = per_user.filter((F.col("p") > 0) & (F.col("n") > 0))
-    return both.agg(
-        F.avg(F.col("won") / (F.col("p") * F.col("n"))).alias("mean_auc"), F.count("*").alias("users")
-    )
+    means = [F.avg(F.col("won") / (F.col("p") * F.col("n"))).alias("mean_auc"), F.count("*").alias("users")]
+    return both.groupBy(*by).agg(*means) if by else both.agg(*means)
 
 
 # --- regression ----------------------------------------------------------------------

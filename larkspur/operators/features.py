@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -28,6 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from larkspur.functions.text import ngrams_sql
 from larkspur.functions.vectors import as_vector, sparse_entries
+from larkspur.session import stored_copy
 
 # Sizes and document-frequency floors of the three text vocabularies.
 CONTENT_TERMS, TITLE_TERMS, TAG_TERMS = 2000, 800, 400
@@ -58,25 +60,61 @@ def labeled_points(df: DataFrame, label: str = LABEL, features: str = FEATURES)
 # --- vocabulary and weights --------------------------------------------------
 
 
-def document_frequencies(df: DataFrame, tokens: str) -> DataFrame:
-    """``term``, ``tf`` (all occurrences), ``df`` (documents that have it).
+def with_counts(df: DataFrame, tokens: str, out: str = "_counts") -> DataFrame:
+    """Add the distinct tokens of a row with their numbers: an array of (term, tf).
 
-    Occurrences and first occurrences are emitted together, which leaves one
-    shuffle on the term with partial sums on the map side: no shuffle by document,
-    and no task ever holds all rows of a frequent term.
+    Equal tokens are neighbours once the array is sorted, so runs of it are the counts; no shuffle.
     """
-    tokens = F.col(tokens)
-    marks = F.concat(
-        F.transform(tokens, lambda t: F.struct(t.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df"))),
-        F.transform(
-            F.array_distinct(tokens), lambda t: F.struct(t.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df"))
-        ),
-    )
-    return (
-        df.select(F.explode(marks).alias("m"))
-        .groupBy(F.col("m.term").alias("term"))
-        .agg(F.sum("m.tf").alias("tf"), F.sum("m.df").alias("df"))
-    )
+    n = F.size("_sorted")
+    places = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    begins = F.filter(places, lambda i: (i == 0) | (F.get("_sorted", i) != F.get("_sorted", i - 1)))
+    laid = df.withColumn("_sorted", F.sort_array(tokens)).withColumn("_begins", begins)
+    runs = F.transform("_begins", lambda p, k: F.struct(F.get("_sorted", p).alias("term"), (F.coalesce(F.get("_begins", k + 1), n) - p).cast("bigint").alias("tf")))
+    return laid.withColumn(out, runs).drop("_sorted", "_begins")
+
+
+def term_statistics(df: DataFrame, tokens: str) -> DataFrame:
+    """``term``, ``tf`` (all occurrences), ``df`` (documents that have it), ``squares`` (sum of squared counts).
+
+    All that vocabularies, document weights and deviations need, from one pass and one shuffle on the
+    term with partial sums; no shuffle by document.  A row counts as one document.
+    """
+    # the outer form: for the other one the optimizer tests the array for emptiness first, and to that end makes it twice
+    each = with_counts(df.select(F.col(tokens).alias("_tokens")), "_tokens").select(F.inline_outer("_counts")).where("term is not null")
+    tf = F.col("tf")
+    return each.groupBy("term").agg(F.sum(tf).alias("tf"), F.count("*").alias("df"), F.sum(tf * tf).alias("squares"))
+
+
+def document_frequencies(df: DataFrame, tokens: str) -> DataFrame:
+    """``term``, ``tf`` (all occurrences), ``df`` (documents that have it)."""
+    return term_statistics(df, tokens).select("term", "tf", "df")
+
+
+@dataclass
+class TermTable:
+    """The terms of a vocabulary, in its order, with their statistics over ``n`` documents."""
+
+    terms: list[str]
+    tf: list[int]
+    df: list[int]
+    squares: list[int]
+    n: int
+
+    def idf(self, min_docs: int = 3) -> list[float]:
+        """Weight of each term: ln((n + 1) / (df + 1)), 0 for a term in fewer than ``min_docs`` documents."""
+        return [math.log((self.n + 1) / (d + 1)) if d >= min_docs else 0.0 for d in self.df]
+
+    def per_deviation(self) -> list[float]:
+        """One over the sample standard deviation of each term's count, over all documents; 0 where it does not vary."""
+        spread = [(self.n * q - t * t) / (self.n * (self.n - 1)) if self.n > 1 else 0.0 for t, q in zip(self.tf, self.squares)]
+        return [1 / math.sqrt(v) if v > 0 else 0.0 for v in spread]
+
+
+def term_table(df: DataFrame, tokens: str, size: int, min_docs: int) -> TermTable:
+    """The vocabulary with everything that is fitted on it; as many rows are collected as it has terms."""
+    chosen = term_statistics(df, tokens).filter(F.col("df") >= min_docs).orderBy(F.desc("tf"), F.asc("term")).limit(size)
+    rows = sorted(chosen.collect(), key=lambda r: (-r["tf"], r["term"].encode()))
+    return TermTable([r["term"] for r in rows], [r["tf"] for r in rows], [r["df"] for r in rows], [r["squares"] for r in rows], df.count())
 
 
 def build_vocabulary(df: DataFrame, tokens: str, size: int, min_docs: int) -> DataFrame:
@@ -116,6 +154,11 @@ def fit_idf(df: DataFrame, column: str, out: str, min_docs: int = 3) -> IDFModel
     return IDF(inputCol=column, outputCol=out, minDocFreq=min_docs).fit(df)
 
 
+def weighted(factors: Sequence[float], column: str, out: str) -> ElementwiseProduct:
+    """A stage that multiplies each entry of a count vector by the weight of its term; an empty vocabulary is padded."""
+    return ElementwiseProduct(inputCol=column, outputCol=out, scalingVec=Vectors.dense(list(factors) or [0.0]))
+
+
 def l1_normalizer(column: str, out: str) -> Normalizer:
     return Normalizer(inputCol=column, outputCol=out, p=1.0)
 
@@ -177,6 +220,11 @@ class TextRecipe:
     def terms(self) -> str:
         return f"{self.prefix}ngrams" if self.n > 1 else self.words
 
+    @property
+    def kept(self) -> str:
+        """The words that terms are made of."""
+        return f"{self.prefix}filteredWords" if self.n > 1 else self.words
+
     @property
     def counts(self) -> str:
         return f"{self.prefix}tfFeatures"
@@ -209,17 +257,24 @@ def token_stages(recipe: TextRecipe) -> list:
     return stages
 
 
+def vector_stages(recipe: TextRecipe, table: TermTable) -> list:
+    """Counts over the vocabulary and unit deviation, both from the term table: nothing is left to be fitted."""
+    return [count_vectorizer(table.terms, recipe.terms, recipe.counts), weighted(table.per_deviation(), recipe.counts, recipe.out)]
+
+
+def _table_of(tokens: DataFrame, recipe: TextRecipe) -> TermTable:
+    return term_table(tokens, recipe.terms, recipe.size, recipe.min_docs)
+
+
+def _label_stages(df: DataFrame, recipe: TextRecipe) -> list:
+    return [index_labels(df, recipe.index, LABEL)] if recipe.index else []
+
+
 def fit_text(df: DataFrame, recipe: TextRecipe) -> PipelineModel:
-    """Fit one text pipeline: label index, tokens, stop words, n-grams, counts, unit std."""
-    tokens = PipelineModel(token_stages(recipe))
-    vocabulary = vocabulary_terms(tokens.transform(df), recipe.terms, recipe.size, recipe.min_docs)
-    stages = [StringIndexer(inputCol=recipe.index, outputCol=LABEL)] if recipe.index else []
-    stages += [
-        *token_stages(recipe),
-        count_vectorizer(vocabulary, recipe.terms, recipe.counts),
-        unit_std(recipe.counts, recipe.out),
-    ]
-    return Pipeline(stages=stages).fit(df)
+    """Fit one text pipeline: label index, tokens, stop words, n-grams, counts, unit std.  The text is tokenised once."""
+    stages = token_stages(recipe)
+    table = _table_of(PipelineModel(stages).transform(df), recipe)
+    return PipelineModel([*_label_stages(df, recipe), *stages, *vector_stages(recipe, table)])
 
 
 def fit_features(
@@ -236,6 +291,26 @@ def fit_features(
     return Pipeline(stages=stages + (last() if last else [])).fit(df)
 
 
+def build_features(df: DataFrame, recipes: Sequence[TextRecipe], keep: Sequence[str], out: dict[str, Sequence[str]] | None = None) -> tuple[PipelineModel, DataFrame]:
+    """The fitted pipeline and the features of ``df`` itself, from tokens that are made and stored once.
+
+    Words without stop words are stored (n-grams are rebuilt from them); statistics and vectors both read them.
+    ``out`` names assembled columns and the recipes' columns that go into each.
+    """
+    labels = [stage for r in recipes for stage in _label_stages(df, r)]
+    kept_labels = [r.index for r in recipes if r.index and r.index not in keep]
+    stages = {r.prefix: token_stages(r) for r in recipes}
+    # the last stage of a recipe with n-grams only puts words together
+    words = PipelineModel([s for r in recipes for s in (stages[r.prefix][:-1] if r.n > 1 else stages[r.prefix])])
+    stored = stored_copy(words.transform(df).select(*keep, *kept_labels, *[r.kept for r in recipes]))
+    grams = PipelineModel([stages[r.prefix][-1] for r in recipes if r.n > 1]).transform(stored)
+    vectors = [v for r in recipes for v in vector_stages(r, _table_of(grams, r))]
+    vectors += [VectorAssembler(inputCols=list(columns), outputCol=name) for name, columns in (out or {FEATURES: [r.out for r in recipes]}).items()]
+    model = PipelineModel([*labels, *[s for r in recipes for s in stages[r.prefix]], *vectors])
+    made = PipelineModel([*labels, *vectors]).transform(grams)
+    return model, made.drop(*kept_labels, *[c for r in recipes for c in r.scratch])
+
+
 def feature_columns(df: DataFrame, model: PipelineModel, recipes: Sequence[TextRecipe]) -> DataFrame:
     """Transform and drop the columns made on the way."""
     return model.transform(df).drop(*[c for r in recipes for c in r.scratch])
@@ -252,9 +327,14 @@ def tf_idf(
     train: DataFrame, others: Sequence[DataFrame], tokens: str, vocabulary: list[str], out: str = FEATURES, min_docs: int = 3
 ) -> list[DataFrame]:
     """TF-IDF with L1 normalisation; document frequencies come from ``train`` only."""
-    counter = count_vectorizer(vocabulary, tokens, "tfFeatures")
-    counted = counter.transform(train)
-    stages = PipelineModel([counter, fit_idf(counted, "tfFeatures", "idfFeatures", min_docs), l1_normalizer("idfFeatures", out)])
+    counts = term_statistics(train, tokens)
+    names = train.sparkSession.createDataFrame(list(enumerate(vocabulary)), "_at int, term string")
+    # as many rows as the vocabulary has terms
+    found = {r["_at"]: r["df"] for r in counts.join(F.broadcast(names), "term").select("_at", "df").collect()}
+    table = TermTable(vocabulary, [], [found.get(k, 0) for k in range(len(vocabulary))], [], train.count())
+    stages = PipelineModel([
+        count_vectorizer(vocabulary, tokens, "tfFeatures"), weighted(table.idf(min_docs), "tfFeatures", "idfFeatures"), l1_normalizer("idfFeatures", out),
+    ])
     return [stages.transform(part) for part in (train, *others)]
 
 

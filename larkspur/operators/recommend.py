@@ -13,7 +13,7 @@ from larkspur.operators.corpus import clamp, containing_any
 from larkspur.operators.evaluate import mean_user_auc
 from larkspur.operators.ordering import position, running_totals
 from larkspur.operators.parallel import run_all
-from larkspur.session import cut_lineage, shared_dir
+from larkspur.session import cut_lineage, shared_dir, stored_copy
 
 # Settings of the fits and of the grid.
 EXPLICIT = {"rank": 10, "maxIter": 10, "regParam": 0.01}
@@ -180,29 +180,34 @@ def als_grid(
     max_iter: int = 10,
     parallelism: int = 4,
 ) -> DataFrame:
-    """Implicit ALS for every grid point, ranked by mean per-user AUC, next to the popularity baseline."""
+    """Implicit ALS for every grid point, ranked by mean per-user AUC, next to the popularity baseline.
+
+    Fits run side by side; their predictions are tagged with the grid point and judged together, in one evaluation.
+    """
     grid = grid or GRID
     spark = train.sparkSession
     train = train.select("user", "item", "rating").cache()
     positives = test.select("user", "item").distinct().cache()
     negatives = negative_samples(positives, items).cache()
+    grid_points = [dict(zip(grid, values)) for values in product(*grid.values())]
     try:
-        base = mean_user_auc(popularity_scores(positives, train), popularity_scores(negatives, train)).first()
-
-        def score(params: dict) -> tuple:
-            model = als_fit(train, True, seed, maxIter=max_iter, **params)
-            parts = [
-                als_predict(model, part).select("user", F.col("prediction").cast("double").alias("score"))
-                for part in (positives, negatives)
-            ]
-            auc = mean_user_auc(*parts).first()["mean_auc"]
-            return "als", int(params["rank"]), float(params["regParam"]), float(params["alpha"]), auc
-
-        grid_points = [dict(zip(grid, values)) for values in product(*grid.values())]
-        rows = [("popularity", None, None, None, base["mean_auc"]), *run_all(score, grid_points, parallelism)]
+
+        def predict(at: int) -> list[DataFrame]:
+            model = als_fit(train, True, seed, maxIter=max_iter, **grid_points[at])
+            scored = [als_predict(model, part).select(F.lit(at).alias("point"), "user", F.col("prediction").cast("double").alias("score")) for part in (positives, negatives)]
+            return [stored_copy(part, "scores") for part in scored]
+
+        # the baseline is the point before the first of the grid
+        parts = [popularity_scores(part, train).select(F.lit(-1).alias("point"), "user", F.col("score").cast("double").alias("score")) for part in (positives, negatives)]
+        for scored in run_all(predict, range(len(grid_points)), parallelism):
+            parts = [a.unionByName(b) for a, b in zip(parts, scored)]
+        # one row for each point
+        found = {r["point"]: r["mean_auc"] for r in mean_user_auc(*parts, by=["point"]).collect()}
     finally:
         for part in (train, positives, negatives):
             part.unpersist()
+    rows = [("popularity", None, None, None, found.get(-1))]
+    rows += [("als", int(p["rank"]), float(p["regParam"]), float(p["alpha"]), found.get(k)) for k, p in enumerate(grid_points)]
     ranked = spark.createDataFrame(rows, "model string, rank int, lambda double, alpha double, mean_auc double")
     return ranked.orderBy(F.desc("mean_auc"))
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from larkspur.functions.vectors import as_vector, euclidean
-from larkspur.operators import classify as cl, clustering as km, corpus, evaluate as ev, features as ft
+from larkspur.operators import bayes as nb, classify as cl, clustering as km, corpus, evaluate as ev, features as ft
 from larkspur.plans import tables as t
 from larkspur.plans.registry import query, r6, sql_bucket, sql_r6
-from larkspur.plans.text_queries import cover_rows
+from larkspur.plans.text_queries import INDEX_SQL, cover_rows, entries_sql
 from larkspur.session import scratch_path, spread
 from larkspur.sources import stores
 
@@ -263,6 +263,49 @@ def roc_area(spark, sf):
 # --- classification ---------------------------------------------------------------------
 
 DOC_SHARES = {"train": 80, "valid": 10, "test": 10}
+TRAIN_PART = f"case when {sql_bucket('doc_id', 100)} < 90 then 0 else 1 end"
+TRAIN_VALID_PART = f"case when {sql_bucket('doc_id', 100)} < 80 then 0 when {sql_bucket('doc_id', 100)} < 90 then 1 end"
+FOLD_PART = sql_bucket("('10:' || doc_id)", 10)
+
+
+def bayes_sql(fold: str, smoothings: str) -> str:
+    """Steps to (doc_id, category, class, fold, smoothing, prediction) over content and title features: every fold by the others."""
+    content, title = ft.content_recipe(), ft.title_recipe()
+    return f"""{t.DOCS_SQL}, {INDEX_SQL}, {entries_sql(content)}, {entries_sql(title)},
+wide as (select (select count(*) from {content.out}_vocabulary) as c, (select count(*) from {title.out}_vocabulary) as t),
+entries as materialized (
+  select doc_id, index, value from {content.out} where value <> 0
+  union all select doc_id, index + c, value from {title.out}, wide where value <> 0),
+parts as materialized (select doc_id, category, i as class, {fold} as fold from docs join idx using (category) where {fold} is not null),
+folds as (select distinct fold from parts), classes as (select distinct class from parts), smooth as (select unnest({smoothings}) as s),
+own as materialized (select fold, class, index, sum(value) as x from entries join parts using (doc_id) group by all),
+total as (select class, index, sum(x) as x from own group by all),
+own_mass as (select fold, class, sum(x) as x from own group by all), all_mass as (select class, sum(x) as x from total group by all),
+mass as (select f.fold, a.class, a.x - coalesce(o.x, 0) as x from folds f cross join all_mass a left join own_mass o on o.fold = f.fold and o.class = a.class),
+terms as (select distinct fold, index from own),
+model as materialized (
+  select e.fold, e.index, k.class, s, ln(greatest(0, coalesce(t.x, 0) - coalesce(o.x, 0)) + s) - ln(m.x + (c + t_wide) * s) as w
+  from terms e cross join classes k cross join smooth cross join (select c, t as t_wide from wide)
+  left join total t on t.class = k.class and t.index = e.index
+  left join own o on o.fold = e.fold and o.class = k.class and o.index = e.index
+  join mass m on m.fold = e.fold and m.class = k.class),
+sizes as (select f.fold, k.class, count(*) filter (p.fold <> f.fold and p.class = k.class) as n, count(*) filter (p.fold <> f.fold) as everything
+  from folds f cross join classes k cross join parts p group by all),
+priors as (select fold, class, s, ln(n + s) - ln(everything + count(*) filter (n > 0) over (partition by fold, s) * s) as w from sizes, smooth where true),
+sums as (select doc_id, m.class, s, sum(value * w) as x from entries join parts p using (doc_id) join model m using (fold, index) group by all),
+scores as (select p.doc_id, p.category, p.class, p.fold, r.s, r.class as guess, r.w + coalesce(x, 0) as score
+  from parts p join priors r using (fold) left join sums on sums.doc_id = p.doc_id and sums.class = r.class and sums.s = r.s),
+predictions as materialized (
+  select doc_id, category, class, fold, s, guess from scores qualify row_number() over (partition by doc_id, s order by score desc, guess) = 1)"""
+
+
+def f1_sql(by: str) -> str:
+    """(by, score): F1 weighted by the rows of each class."""
+    return f"""sides as (
+  select {by}, class as k, count(*) as a, 0 as g, count(*) filter (class = guess) as h from predictions group by all
+  union all select {by}, guess, 0, count(*), 0 from predictions group by all),
+per_class as (select {by}, k, sum(a) as a, sum(g) as g, sum(h) as h from sides group by all),
+f as (select {by}, sum(2 * h / (a + g) * a) / sum(a) as score from per_class group by all)"""
 BINARY_SHARES = {"train": 90, "test": 10}
 
 
@@ -374,7 +417,11 @@ def ovr_svm(spark, sf):
     return _multi_class(spark, sf, cl.one_vs_rest(cl.linear_svm()))
 
 
-@query("naive_bayes")
+@query(
+    "naive_bayes",
+    f"""with {bayes_sql(TRAIN_PART, "[1.0]")}
+select doc_id, category, class::double as "{ft.LABEL}", guess::double as "{ft.PREDICTION}" from predictions where fold = 1""",
+)
 def naive_bayes(spark, sf):
     return _multi_class(spark, sf, cl.naive_bayes())
 
@@ -406,9 +453,22 @@ def ovr_tree_grid(spark, sf):
     return _ovr_grid(spark, sf, cl.decision_tree, cl.OVR_TREE_GRID)
 
 
-@query("ovr_bayes_grid")
+def _width(rows):
+    return cl.vector_width(rows)
+
+
+@query(
+    "ovr_bayes_grid",
+    f"""with {bayes_sql(TRAIN_VALID_PART, "[1.0, 2.0, 5.0]")}, {f1_sql("s, fold")}
+select s::varchar as smoothing, {sql_r6('score')} as score from f where fold = 1""",
+)
 def ovr_bayes_grid(spark, sf):
-    return _ovr_grid(spark, sf, cl.naive_bayes, cl.BAYES_GRID)
+    """One class against the others; the prior's divisor is all that differs from one model of all classes, and it is the same for each."""
+    rows = _labelled(spark, sf)
+    train, valid, _ = cl.hash_split(rows, "doc_id", DOC_SHARES)
+    predicted = nb.holdout_predictions(train, valid, _width(rows), cl.BAYES_GRID["smoothing"])
+    scored = nb.weighted_f1(predicted, "smoothing")
+    return scored.select(F.col("smoothing").cast("string").alias("smoothing"), r6("score").alias("score")).orderBy(F.desc("score"), "smoothing")
 
 
 @query("ovr_logistic_grid")
@@ -416,16 +476,28 @@ def ovr_logistic_grid(spark, sf):
     return _ovr_grid(spark, sf, lambda **p: cl.logistic_regression(**{**cl.LOGISTIC, **p}), cl.LOGISTIC_GRID)
 
 
-@query("kfold_scores")
-def kfold_scores(spark, sf):
+def _bayes_folds(spark, sf, smoothings):
     rows = cl.with_fold(_labelled(spark, sf), "doc_id")
-    return cl.kfold_scores(rows, cl.naive_bayes)
+    return nb.fold_scores(rows, _width(rows), smoothings)
 
 
-@query("cv_pipeline")
+@query(
+    "kfold_scores",
+    f"""with {bayes_sql(FOLD_PART, "[1.0]")}, {f1_sql("s, fold")} select '' as params, fold::int as fold, {sql_r6('score')} as score from f""",
+)
+def kfold_scores(spark, sf):
+    return _bayes_folds(spark, sf, [1.0]).select(F.lit("").alias("params"), "fold", r6("score").alias("score"))
+
+
+@query(
+    "cv_pipeline",
+    f"""with {bayes_sql(FOLD_PART, "[1.0, 2.0, 5.0]")}, {f1_sql("s, fold")}
+select 'smoothing=' || s::varchar as params, {sql_r6('avg(score)')} as mean_score, count(*) as folds from f group by 1""",
+)
 def cv_pipeline(spark, sf):
-    rows = cl.with_fold(_labelled(spark, sf), "doc_id")
-    return cl.mean_fold_scores(cl.kfold_scores(rows, cl.naive_bayes, cl.BAYES_GRID))
+    scored = _bayes_folds(spark, sf, cl.BAYES_GRID["smoothing"])
+    means = cl.mean_fold_scores(scored.withColumn("params", F.concat(F.lit("smoothing="), F.col("smoothing").cast("string"))))
+    return means.withColumn("mean_score", r6("mean_score"))
 
 
 def _folded(rows):

@@ -8,6 +8,7 @@ from larkspur.operators import classify as cl, corpus, evaluate as ev, recommend
 from larkspur.plans import tables as t
 from larkspur.plans.registry import query, r6, sql_bucket, sql_r6
 from larkspur.plans.source_queries import ALIAS_SQL, alias_lines
+from larkspur.plans.text_queries import TERMS_SQL, content_counts
 from larkspur.sources import lines
 
 # --- ratings and baselines ----------------------------------------------------------
@@ -285,7 +286,7 @@ def recommend_all_users(spark, sf):
 
 @query("recommend_item_users")
 def recommend_item_users(spark, sf):
-    model = rec.als_fit(t.rated(spark, sf))
+    model = rec.als_fit(_shifted(t.rated(spark, sf)))
     chosen = t.table(spark, sf, "part").filter("p_type = 'PROMO'").select(F.col("p_partkey").alias("item"))
     return _rounded(rec.recommend_item_users(model, chosen, 5))
 
@@ -390,6 +391,33 @@ def similarity_error(spark, sf):
     return sim.similarity_error(exact, kept).withColumn("mean_error", r6("mean_error"))
 
 
+#: Cosine from which documents count as similar, by their terms.
+SIMILAR = 0.8
+
+TEXT_COSINE_SQL = f"""{TERMS_SQL},
+units as (select doc_id, term, tf / sqrt(sum(tf * tf) over (partition by doc_id)) as w from weights),
+pairs as (select a.doc_id as i, b.doc_id as j, sum(a.w * b.w) as value from units a join units b using (term) where a.doc_id < b.doc_id group by 1, 2),
+alike as (select * from pairs where value >= {SIMILAR})"""
+
+
+@query("cosine_text_pairs", f"with {TEXT_COSINE_SQL} select i, j, {sql_r6('value')} as value from alike")
+def cosine_text_pairs(spark, sf):
+    """Documents with similar terms, from an inverted index."""
+    return sim.cosine_at_least(content_counts(spark, sf), "doc_id", "tf", SIMILAR).withColumn("value", r6("value"))
+
+
+@query(
+    "text_similarity_error",
+    f"""with {TEXT_COSINE_SQL}, n as (select count(distinct doc_id) as n from units), e as (select sum(value) as total from pairs where value < {SIMILAR})
+select {sql_r6('coalesce(total, 0) / (n * (n - 1) / 2)')} as mean_error, (n * (n - 1) / 2)::bigint as pairs, (select count(*) from alike) as kept from n, e""",
+)
+def text_similarity_error(spark, sf):
+    """What the similar pairs alone lack of all pairs, without forming the others."""
+    rows = content_counts(spark, sf)
+    kept = sim.cosine_at_least(rows, "doc_id", "tf", SIMILAR)
+    return sim.mean_error_below(rows, "doc_id", "tf", kept).withColumn("mean_error", r6("mean_error"))
+
+
 @query("count_sum", "select count(l_quantity) as n, sum(l_quantity) as total from lineitem")
 def count_sum(spark, sf):
     return sim.count_sum(t.table(spark, sf, "lineitem"), "l_quantity")

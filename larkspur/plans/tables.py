@@ -72,9 +72,12 @@ def order_lines(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _stored(spark: SparkSession, name: str, *parts) -> str:
-    """Path of a table that is built once per application and shared by the jobs that start from it."""
-    key = hashlib.md5(repr(parts).encode()).hexdigest()[:12]
+def _stored(spark: SparkSession, name: str, sf: str) -> str:
+    """Path of a table that is built once per application and state of its input, and shared by the jobs that start from it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(sf)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    state = sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files)
+    key = hashlib.md5(repr(state).encode()).hexdigest()[:12]
     return f"{shared_dir(spark).rstrip('/')}/larkspur/{spark.sparkContext.applicationId}/{name}-{key}"
 
 
@@ -141,12 +144,8 @@ def feature_set(spark: SparkSession, sf: str) -> DataFrame:
     The assembled vector holds content and title; the tag vector is stored beside it.
     """
     def build() -> DataFrame:
-        rows = docs(spark, sf)
-        recipes = [features.content_recipe(STOP_WORDS), features.title_recipe(STOP_WORDS)]
-        model = features.fit_features(rows, recipes)
-        tags = features.tag_recipe()
-        tagged = features.fit_text(rows, tags).transform(model.transform(rows))
-        made = [c for r in (*recipes, tags) for c in r.scratch]
-        return tagged.drop(*made, "content", "title", "topics")
+        content, title, tags = features.content_recipe(STOP_WORDS), features.title_recipe(STOP_WORDS), features.tag_recipe()
+        assembled = {features.FEATURES: [content.out, title.out]}
+        return features.build_features(docs(spark, sf), [content, title, tags], ["doc_id", "category", "labels"], assembled)[1]
 
     return spread(load_or_build(spark, _stored(spark, "features", sf), build))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from larkspur.functions.vectors import sparse_entries
 from larkspur.operators import classify, corpus, features
 from larkspur.plans import tables as t
 from larkspur.plans.registry import query, r6, sql_bucket, sql_list, sql_r6
-from larkspur.session import spread
+from larkspur.session import spread, stored_copy
 
 TOP = sql_list(t.TOP)
 STOP = sql_list(t.STOP_WORDS)
@@ -270,14 +271,34 @@ def build_vocabulary(spark, sf):
     return features.build_vocabulary(_grams(spark, sf), "grams", features.CONTENT_TERMS, features.CONTENT_MIN_DOCS)
 
 
-def _vocabulary(rows):
-    return features.vocabulary_terms(rows, "grams", features.CONTENT_TERMS, features.CONTENT_MIN_DOCS)
+def _stored_grams(spark, sf):
+    """The same from words that are tokenised and stored once, however many passes read them."""
+    words = t.docs(spark, sf).select("doc_id", "category", tx.drop_words(tx.word_tokens("content", 3), t.STOP_WORDS).alias("w"))
+    return stored_copy(words).select("doc_id", "category", tx.word_ngrams("w").alias("grams"))
+
+
+def _terms(rows):
+    return features.term_table(rows, "grams", features.CONTENT_TERMS, features.CONTENT_MIN_DOCS)
+
+
+def _weights(rows, *stages):
+    """(doc_id, term, weight) of stages made from the term table, the last of which makes ``weights``."""
+    table = _terms(rows)
+    made = PipelineModel([features.count_vectorizer(table.terms, "grams", "tf"), *(stage(table) for stage in stages)]).transform(rows)
+    entries = features.with_terms(sparse_entries(made, "weights", "doc_id"), table.terms)
+    return entries.select("doc_id", "term", r6("value").alias("weight"))
 
 
 @query("term_counts", f"with {TERMS_SQL} select doc_id, term, tf::double as tf from weights")
 def term_counts(spark, sf):
-    rows = _grams(spark, sf)
-    return features.term_counts(rows, "doc_id", "grams", _vocabulary(rows))
+    rows = _stored_grams(spark, sf)
+    return features.term_counts(rows, "doc_id", "grams", _terms(rows).terms)
+
+
+def content_counts(spark, sf):
+    """(doc_id, tf): the term counts of the content vocabulary as vectors."""
+    rows = _stored_grams(spark, sf)
+    return features.count_vectorizer(_terms(rows).terms, "grams", "tf").transform(rows).select("doc_id", "tf")
 
 
 IDF_SQL = f"""{TERMS_SQL},
@@ -288,12 +309,7 @@ tfidf as (select doc_id, term, tf * idf as weight from weights join idf using (t
 
 @query("tf_idf", f"with {IDF_SQL} select doc_id, term, {sql_r6('weight')} as weight from tfidf")
 def tf_idf(spark, sf):
-    rows = _grams(spark, sf)
-    vocabulary = _vocabulary(rows)
-    counted = features.count_vectorizer(vocabulary, "grams", "tf").transform(rows)
-    weighted = features.fit_idf(counted, "tf", "weights").transform(counted)
-    entries = features.with_terms(sparse_entries(weighted, "weights", "doc_id"), vocabulary)
-    return entries.select("doc_id", "term", r6("value").alias("weight"))
+    return _weights(_stored_grams(spark, sf), lambda table: features.weighted(table.idf(), "tf", "weights"))
 
 
 @query(
@@ -302,12 +318,7 @@ def tf_idf(spark, sf):
 select doc_id, term, {sql_r6('tf / sum(tf) over (partition by doc_id)')} as weight from weights""",
 )
 def l1_normalize(spark, sf):
-    rows = _grams(spark, sf)
-    vocabulary = _vocabulary(rows)
-    counted = features.count_vectorizer(vocabulary, "grams", "tf").transform(rows)
-    scaled = features.l1_normalizer("tf", "weights").transform(counted)
-    entries = features.with_terms(sparse_entries(scaled, "weights", "doc_id"), vocabulary)
-    return entries.select("doc_id", "term", r6("value").alias("weight"))
+    return _weights(_stored_grams(spark, sf), lambda table: features.l1_normalizer("tf", "weights"))
 
 
 @query(
@@ -319,12 +330,7 @@ sds as (
 select doc_id, term, {sql_r6('case when sd > 0 then tf / sd else 0 end')} as weight from weights join sds using (term)""",
 )
 def std_scale(spark, sf):
-    rows = _grams(spark, sf)
-    vocabulary = _vocabulary(rows)
-    counted = features.count_vectorizer(vocabulary, "grams", "tf").transform(rows)
-    scaled = features.unit_std("tf", "weights").fit(counted).transform(counted)
-    entries = features.with_terms(sparse_entries(scaled, "weights", "doc_id"), vocabulary)
-    return entries.select("doc_id", "term", r6("value").alias("weight"))
+    return _weights(_stored_grams(spark, sf), lambda table: features.weighted(table.per_deviation(), "tf", "weights"))
 
 
 @query(
@@ -339,8 +345,8 @@ s as (select part, doc_id, term, x, sum(abs(x)) over (partition by doc_id) as to
 select part, doc_id, term, {sql_r6('case when total > 0 then x / total else 0 end')} as weight from s""",
 )
 def train_only_tfidf(spark, sf):
-    rows = _grams(spark, sf)
-    vocabulary = _vocabulary(rows)
+    rows = _stored_grams(spark, sf)
+    vocabulary = _terms(rows).terms
     train, test = classify.hash_split(rows, "doc_id", {"train": 90, "test": 10})
     out = []
     for name, part in zip(("train", "test"), features.tf_idf(train, [test], "grams", vocabulary, "weights")):
@@ -359,7 +365,7 @@ def _pipeline_entries(spark, sf, recipe):
     return sparse_entries(out, recipe.out, "doc_id").select("doc_id", "index", r6("value").alias("value"))
 
 
-def _entries_sql(recipe):
+def entries_sql(recipe):
     """The steps to (doc_id, index, value): counts over the recipe's vocabulary, divided by their deviation."""
     name, two = recipe.out, recipe.n > 1
     words = _regex_sql(recipe.column, recipe.min_length, recipe.lower)
@@ -379,13 +385,13 @@ def _entries_sql(recipe):
 
 
 def features_sql(recipe):
-    return f"with {t.DOCS_SQL}, {_entries_sql(recipe)} select doc_id, index, {sql_r6('value')} as value from {recipe.out}"
+    return f"with {t.DOCS_SQL}, {entries_sql(recipe)} select doc_id, index, {sql_r6('value')} as value from {recipe.out}"
 
 
 def _fused_sql(*recipes):
     width = " + ".join(f"(select count(*) from {r.out}_vocabulary)" for r in recipes)
     parts = " union all ".join(f"select doc_id, value from {r.out}" for r in recipes)
-    return f"""with {t.DOCS_SQL}, {INDEX_SQL}, {", ".join(map(_entries_sql, recipes))},
+    return f"""with {t.DOCS_SQL}, {INDEX_SQL}, {", ".join(map(entries_sql, recipes))},
 sums as (select doc_id, count(*) filter (value <> 0) as entries, sum(value) as total from ({parts}) group by 1)
 select doc_id, category, i::double as "{features.LABEL}", ({width})::int as width, coalesce(entries, 0)::int as entries,
        {sql_r6('coalesce(total, 0)')} as total

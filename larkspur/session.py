@@ -56,6 +56,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored_copy(df: DataFrame, name: str = "stored") -> DataFrame:
+    """The rows written to the shared folder and read back: made once, whatever reads them, and columns are read singly."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores of a local master on an input that is stored as fewer splits than there are cores.
 
