@@ -36,7 +36,7 @@ def drop_words(tokens: Column | str, words: list[str]) -> Column:
     if not words:
         return tokens
     lowered = sorted({w.lower() for w in words})
-    return F.filter(tokens, lambda t: ~F.lower(t).isin(lowered))
+    return F.filter(tokens, lambda t: t.isNull() | ~F.lower(t).isin(lowered))
 
 
 def ngrams_sql(column: str, n: int = 2, separator: str = " ") -> str:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from larkspur.functions.hashing import bucket
-from larkspur.functions.text import any_of, letters_only
+from larkspur.functions.text import any_of, drop_words, letters_only
 
 
 def _array(words: list[str]) -> Column:
@@ -62,6 +62,29 @@ def filter_terms(df: DataFrame, tokens: str, stop_words: list[str], min_length:
     return df.withColumn(tokens, kept).filter(F.size(tokens) >= min_terms)
 
 
+#: Words up to which a list is put into the expression; a longer one is joined.
+LITERAL_WORDS = 10_000
+
+
+def remove_words(df: DataFrame, key: str, tokens: str, words: DataFrame, most: int = LITERAL_WORDS) -> DataFrame:
+    """``df`` with the tokens left whose lower-case form is not in a list of words, of any length: column ``word``.
+
+    The list is measured first.  A short one becomes a literal, and nothing is shuffled.  A longer one never reaches the driver: tokens
+    are laid out with their places, those in the list drop out by an anti-join, and the others are put together again in
+    order.  Both ways give the same rows.  ``key`` must be unique; null tokens stay.
+    """
+    lowered = words.select(F.lower("word").alias("_word")).distinct()
+    few = lowered.limit(most + 1).collect()  # at most one more than the limit
+    if len(few) <= most:
+        return df.withColumn(tokens, drop_words(tokens, [r["_word"] for r in few]))
+    laid = df.select(key, F.posexplode(tokens).alias("_at", "_token"))
+    left = laid.withColumn("_word", F.lower("_token")).join(lowered, "_word", "left_anti")
+    kept = left.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_at", "_token"))).alias("_kept"))
+    none = F.when(F.col(tokens).isNotNull(), F.array().cast(df.schema[tokens].dataType))
+    joined = df.join(kept, key, "left").withColumn(tokens, F.coalesce(F.col("_kept._token"), none))
+    return joined.select(*df.columns)
+
+
 def bucket_sample(df: DataFrame, key: str, percent: int) -> DataFrame:
     """Sample without replacement: the rows whose key falls in the first ``percent`` of 100 buckets."""
     return df.filter(bucket(F.col(key), 100) < percent)

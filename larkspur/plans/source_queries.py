@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from larkspur.operators import features
-from larkspur.functions.text import word_tokens
+from larkspur.functions.text import digest, word_tokens
 from larkspur.functions.vectors import sparse_entries
+from larkspur.operators import corpus, features
 from larkspur.plans import tables as t
 from larkspur.plans.registry import query, r6, sql_list, sql_r6
-from larkspur.plans.text_queries import features_sql
+from larkspur.plans.text_queries import TERMS_SQL, entries_sql, features_sql
 from larkspur.session import scratch_path, spread
 from larkspur.sources import documents, lines, stores
 
@@ -170,17 +170,88 @@ select doc_id::int as id, md5(replace(replace(content, chr(10), ''), chr(3), '')
 from docs where category <> 'es' and list_has_any(topics, {sql_list(t.TOP)})""",
 )
 def clean_json_corpus(spark, sf):
-    # arrays of 16 documents each, the form in which such corpora are shipped
-    packed = _news(spark, sf).withColumn("_pack", F.floor(F.col("id") / 16))
-    arrays = packed.groupBy("_pack").agg(
-        F.to_json(F.collect_list(F.struct(*[c for c in packed.columns if c != "_pack"]))).alias("value")
-    )
-    path = scratch_path(spark, "clean-news")
-    documents.write_json_lines(documents.clean_news(documents.parse_news_arrays(arrays), t.TOP), path)
+    arrays, path = scratch_path(spark, "news-arrays"), scratch_path(spark, "clean-news")
+    documents.write_news_arrays(_news(spark, sf), arrays)
+    documents.write_json_lines(documents.clean_news(documents.read_news_arrays(spark, arrays), t.TOP), path)
     kept = documents.read_news(spark, path)
     return kept.select("id", F.md5("body").alias("body"), F.array_join("topics", "|").alias("topics"))
 
 
+@query(
+    "stop_words_from_file",
+    f"""with {TERMS_SQL} select f.form, doc_id, len(w) as n, md5(array_to_string(w, '|')) as digest
+from words cross join (values ('literal'), ('joined')) f(form)""",
+)
+def stop_words_from_file(spark, sf):
+    """A stored list of stop words, once short enough for a literal, once taken as too long for one."""
+    path = scratch_path(spark, "stop-words")
+    spark.createDataFrame([(w,) for w in t.STOP_WORDS], "value string").write.text(path)
+    words = documents.stop_word_table(spark, path)
+    rows = t.docs(spark, sf).select("doc_id", word_tokens("content", 3).alias("w"))
+    parts = []
+    for form, most in (("literal", corpus.LITERAL_WORDS), ("joined", 10)):
+        kept = corpus.remove_words(rows, "doc_id", "w", words, most)
+        parts.append(kept.select(F.lit(form).alias("form"), "doc_id", F.size("w").cast("bigint").alias("n"), digest("w").alias("digest")))
+    return corpus.union_parts(*parts)
+
+
+@query(
+    "upsert_stored",
+    """with old as (select c_custkey as k, c_name as name, c_acctbal as amount, 1 as version from customer
+  union all select c_custkey, c_name, c_acctbal + 1, 2 from customer where c_nationkey < 5),
+new as (select c_custkey as k, c_name as name, 0.0 as amount, 3 as version from customer where c_custkey % 97 = 0
+  union all select c_custkey, c_name, -1.0, 4 from customer where c_custkey % 194 = 0
+  union all select s_suppkey + 1000000000, s_name, s_acctbal, 3 from supplier where s_suppkey <= 10),
+ranked as (select *, row_number() over (partition by k order by version desc) as r from (select * from old union all select * from new))
+select k, name, amount, version from ranked where r = 1""",
+)
+def upsert_stored(spark, sf):
+    """Keys repeat on both sides; the update rewrites the folders it touches, and no others."""
+    customer, supplier, path = t.table(spark, sf, "customer"), t.table(spark, sf, "supplier"), scratch_path(spark, "keyed")
+
+    def rows(df, key, name, amount, version):
+        return df.select(F.col(key).alias("k"), F.col(name).alias("name"), amount.alias("amount"), F.lit(version).alias("version"))
+
+    balance = F.col("c_acctbal")
+    old = corpus.union_parts(
+        rows(customer, "c_custkey", "c_name", balance, 1), rows(customer.where("c_nationkey < 5"), "c_custkey", "c_name", balance + 1, 2)
+    )
+    arrived = supplier.where("s_suppkey <= 10").withColumn("s_suppkey", F.col("s_suppkey") + 1_000_000_000)
+    new = corpus.union_parts(
+        rows(customer.where("c_custkey % 97 = 0"), "c_custkey", "c_name", F.lit(0.0), 3),
+        rows(customer.where("c_custkey % 194 = 0"), "c_custkey", "c_name", F.lit(-1.0), 4),
+        rows(arrived, "s_suppkey", "s_name", F.col("s_acctbal"), 3),
+    )
+    stores.write_keyed(old, path, "k", "version")
+    stores.update_keyed(spark, path, new, "k", "version")
+    return stores.read_keyed(spark, path)
+
+
+@query(
+    "export_by_category",
+    f"""with {t.DOCS_SQL}, {entries_sql(features.tag_recipe())},
+sums as (select doc_id, sum(value) as s from {features.tag_recipe().out} group by 1),
+kinds as (select distinct category as kind from docs)
+select kind as category, count(*) as n, count(*) filter (category = kind) as positive, {sql_r6('sum(coalesce(s, 0))')} as total,
+       {sql_r6('sum(case when category = kind then coalesce(s, 0) else 0 end)')} as positive_total
+from docs left join sums using (doc_id) cross join kinds group by 1""",
+)
+def export_by_category(spark, sf):
+    """One folder for each language, its documents against all others, read back by folder."""
+    path, recipe, rows = scratch_path(spark, "by-category"), features.tag_recipe(), t.docs(spark, sf)
+    model = features.fit_text(rows, recipe)
+    kinds = features.index_labels(rows).labels
+    made = model.transform(rows).select("doc_id", "category", recipe.out)
+    stores.export_by_category(made, path, len(model.stages[-2].vocabulary), kinds, features=recipe.out)
+    read = stores.read_by_category(spark, path)
+    total = F.aggregate("entries", F.lit(0.0), lambda s, e: s + e["value"])
+    summed = read.select("category", "label", total.alias("s"))
+    return summed.groupBy("category").agg(
+        F.count("*").alias("n"), F.count_if(F.col("label") == 1).alias("positive"), r6(F.sum("s")).alias("total"),
+        r6(F.sum(F.col("s") * F.col("label"))).alias("positive_total"),
+    )
+
+
 @query(
     "docs_with_defaults",
     f"""with {t.DOCS_SQL}

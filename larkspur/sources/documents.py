@@ -44,7 +44,10 @@ def parse_news(df: DataFrame, line: str = "value") -> DataFrame:
 
 
 def read_news_arrays(spark: SparkSession, path: str) -> DataFrame:
-    """A folder of files that each hold one JSON array of documents."""
+    """A folder of files that each hold one JSON array of documents: one row for each element.
+
+    A file is read by one task, which takes the array apart element by element; no row ever holds the array.
+    """
     return spark.read.schema(NEWS_SCHEMA).option("multiLine", True).json(path)
 
 
@@ -54,6 +57,13 @@ def parse_news_arrays(df: DataFrame, line: str = "value") -> DataFrame:
     return df.select(F.explode(items).alias("_d")).select("_d.*")
 
 
+def write_news_arrays(docs: DataFrame, path: str, key: str = "id", size: int = 64) -> None:
+    """A folder of files that each hold one JSON array of up to ``size`` documents with neighbouring keys."""
+    columns = F.struct(*docs.columns)
+    packed = docs.groupBy(F.floor(F.col(key) / size).alias("_pack")).agg(F.to_json(F.sort_array(F.collect_list(columns))).alias("value"))
+    packed.select("value").write.option("maxRecordsPerFile", 1).text(path)
+
+
 def clean_news(docs: DataFrame, top_topics: list[str]) -> DataFrame:
     """Keep documents with a body and a top topic; take newlines and U+0003 out of the body."""
     kept = docs.filter(F.col("body").isNotNull() & F.arrays_overlap("topics", _words(top_topics)))
@@ -94,6 +104,11 @@ def write_xml_pages(df: DataFrame, path: str, row_tag: str = "page", root_tag: s
     df.write.format("xml").option("rowTag", row_tag).option("rootTag", root_tag).save(path)
 
 
+def stop_word_table(spark: SparkSession, path: str) -> DataFrame:
+    """A word list of any length, one word per line, as a table: (word)."""
+    return spark.read.text(path).select(F.col("value").alias("word")).where("word <> ''")
+
+
 def read_stop_words(spark: SparkSession, path: str, limit: int = 100_000) -> list[str]:
     """A word list, one word per line.  It ends up in task closures, so its size is checked."""
     words = [r[0] for r in spark.read.text(path).limit(limit + 1).collect()]
