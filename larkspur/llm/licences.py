@@ -2,13 +2,14 @@
 
 Only DataFrame functions.  One pass over the texts finds the words, the phrase places, and for each block the
 template words it holds.  A block is a line, or a *run* over lines for notices that are wrapped: the end of a line and the words that follow it up to
-the next line without words.  A template of n words is looked for in a run in ceil(n / THRESHOLD) words in a row; a run reaches so many
+the next blank line.  Lines of punctuation alone (" *" or "#", as comments have them) are passed over.  A template of n words is looked for in a run in ceil(n / THRESHOLD) words in a row; a run reaches so many
 words, of the longest template, to both sides that each such window over a line break lies in the run of the line it starts in.
 
-Then the join: template words are ordered by the number of blocks of the whole corpus
-that hold them, rarest first; the containment of a template of t different words in a block must reach c = ceil(THRESHOLD t), so the
-block must hold one of the template's first t - c + 1 words (prefix filter), must have c words (length filter),
-and a match at place p of the template leaves t - p words at most (positional filter).  Blocks that pass are compared exactly.
+Then the join: template words are ordered by the number of blocks of the whole corpus that hold them, rarest first (only blocks with as many template
+words as the shortest template needs can match, and only they are counted).  The containment of a template of t different words in a block must
+reach c = ceil(THRESHOLD t), so a block of h template words must have h >= c (length filter), and of the common words the first in this order lies among the
+first t - c + 1 of the template and the first h - c + 1 of the block (prefix filter on both sides): at place p of the one and q of the other
+it leaves min(t - p, h - q) words at most (positional filter).  Blocks that pass are compared exactly.
 The template table is fixed and small, so it is broadcast.
 
 Edge cases: null and empty texts have no words and no labels; rows that repeat an id give a row each, with the phrase places of
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from larkspur.llm.tables import cut
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+NO_WORD = r"^[\x00-\x2F\x3A-\x60\x7B-\x7F]*$"
 THRESHOLD = 0.8
 # Phrases that are found wherever their words stand in a row, and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -91,6 +93,8 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     endings = sorted({p.split()[-1] for p in PHRASES})
     low = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
     lines = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.split(low, "\n").alias("lines"))
+    decoration = lambda x: x.rlike(NO_WORD) & x.rlike(r"[^ \t\r\f\x0B]")
+    lines = lines.withColumn("lines", F.filter("lines", lambda x: ~decoration(x)))
     lines = lines.select("doc_id", F.transform("lines", lambda x: F.regexp_extract_all(x, F.lit(WORD), F.lit(0))).alias("lines"))
     words = lines.select("doc_id", "lines", F.flatten("lines").alias("words"))
     words = words.withColumn("hits", F.when(F.arrays_overlap("words", F.array(*map(F.lit, endings))), _phrase_places(F.col("words"))).otherwise(F.array().cast("array<struct<start:long,label:string>>")))
@@ -99,7 +103,7 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     widths = [math.ceil(len(text.split()) / threshold) for _, text in TEMPLATES]
 
     def block(x: Column, run: Column) -> Column:
-        return F.struct(F.size(x).alias("size"), F.array_distinct(F.array_compact(x)).alias("held"), run.cast("array<string>").alias("run"))
+        return F.struct(F.array_distinct(F.array_compact(x)).alias("held"), run.cast("array<string>").alias("run"))
 
     lines = F.transform("marked", lambda x: block(x, F.lit(None)))
     runs = F.transform(F.filter(F.transform("marked", _run(max(widths) - 1)), lambda x: x.isNotNull()), lambda x: block(x, x))
@@ -114,8 +118,12 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         need = math.ceil(threshold * len(t))
         rows += [(k, label, need, widths[k], order, word, place) for place, word in enumerate(order[: len(t) - need + 1])]
     table = F.broadcast(docs.sparkSession.createDataFrame(rows, "template int, label string, need int, width int, template_words array<string>, word string, place int"))
-    blocks = docs_scanned.where(F.size("blocks") > 0).select("doc_id", F.explode("blocks").alias("b")).select("doc_id", "b.size", "b.held", "b.run")
-    candidates = blocks.withColumn("word", F.explode("held")).join(table, "word").where("size >= need and size(template_words) - place >= need")
+    blocks = docs_scanned.where(F.size("blocks") > 0).select("doc_id", F.explode("blocks").alias("b")).select("doc_id", "b.held", "b.run")
+    # the held words in the same order, which makes the block's own prefix
+    ranked = F.array(*[F.lit(w) for w in sorted(vocabulary, key=lambda w: (frequency.get(w, 0), w))])
+    ordered = F.transform(F.array_sort(F.transform("held", lambda w: F.array_position(ranked, w))), lambda at: F.get(ranked, (at - 1).cast("int")))
+    laid = blocks.withColumn("held", ordered).select("*", F.posexplode("held").alias("at", "word"))
+    candidates = laid.join(table, "word").where("size(held) >= need and least(size(template_words) - place, size(held) - at) >= need")
     # the first common word of a block and a template stands for the pair
     first = F.array_position(F.transform("template_words", lambda w: F.array_contains("held", w)), True)
     overlap = F.size(F.array_intersect("held", "template_words"))

@@ -238,7 +238,8 @@ def test_licence_notices_over_lines(spark):
     """All texts in all wrappings against a search of the lines and of each window over line breaks."""
     bsd = "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions are met:"
     mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal"
-    given = [bsd, mit, bsd.replace("\n", "\n#\n"), bsd.replace("\n", "\r\n"), "before\n\n" + mit + "\nafter\n", "Released under\nthe MIT", "released\n" + "x " * 40 + "under the mit"]
+    starred = "/*\n * " + mit.replace("\n", "\n *\n * ") + "\n */"
+    given = [bsd, mit, bsd.replace("\n", "\n#\n"), bsd.replace("\n", "\r\n"), "before\n\n" + mit + "\nafter\n", "Released under\nthe MIT", "released\n" + "x " * 40 + "under the mit", starred, mit.replace("\n", "\n \t\n")]
     draw = random.Random(3)
     for _, text in licences.TEMPLATES:
         for most in (1, 3, 8):
@@ -248,9 +249,10 @@ def test_licence_notices_over_lines(spark):
             given.append("".join(w + draw.choice(["\n"] + [" "] * most) for w in words))
     given = list(enumerate(given))
     found = rows(licences.scan(spark.createDataFrame(given, "doc_id long, text string")))
-    assert [found[k].labels for k in range(7)] == ["bsd", "mit", "", "bsd", "mit", "mit", ""]
+    assert [found[k].labels for k in range(7)] == ["bsd", "mit", "bsd", "bsd", "mit", "mit", ""]
+    assert [found[k].labels for k in (7, 8)] == ["mit", ""]
     for i, text in given:
-        lines = [re.findall(licences.WORD, x.translate(ASCII_LOWER)) for x in text.split("\n")]
+        lines = [re.findall(licences.WORD, x.translate(ASCII_LOWER)) for x in text.split("\n") if re.findall(licences.WORD, x.translate(ASCII_LOWER)) or not x.strip()]
         paragraphs = [[]]
         for line in lines:
             paragraphs = [*paragraphs[:-1], paragraphs[-1] + line] if line else [*paragraphs, []]
