@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from larkspur.functions.vectors import as_vector, euclidean
+from larkspur.functions.vectors import as_vector, euclidean, nearest_centre
 from larkspur.operators import bayes as nb, classify as cl, clustering as km, corpus, evaluate as ev, features as ft
 from larkspur.plans import tables as t
 from larkspur.plans.registry import query, r6, sql_bucket, sql_r6
 from larkspur.plans.text_queries import INDEX_SQL, cover_rows, entries_sql
-from larkspur.session import scratch_path, spread
+from larkspur.session import scratch_path, spread, stored_copy
 from larkspur.sources import stores
 
 # --- clustering -----------------------------------------------------------------------
@@ -114,6 +115,19 @@ def kmeans_fit(spark, sf):
     return km.cluster_label_counts(model.transform(rows))
 
 
+@query("kmeans_nearest_check", "select count(*) as n, 0::bigint as not_nearest, count(distinct label) as labels from embeddings")
+def kmeans_nearest_check(spark, sf):
+    """Rows that the fitted model puts in a cluster whose stored centre is not the closest one, and how many rows there are."""
+    rows = t.ml_vectors(spark, sf)
+    model = km.kmeans_fit(rows, k=10)
+    centres = [[float(x) for x in c] for c in model.clusterCenters()]
+    placed = model.transform(rows).withColumn("v", vector_to_array("features"))
+    nearest = placed.withColumn("near", nearest_centre("v", centres))
+    own = F.get(F.array(*[F.array(*[F.lit(x) for x in c]) for c in centres]), F.col("cluster"))
+    worse = euclidean(F.col("v"), own) > F.col("near.distance") + 1e-6
+    return nearest.agg(F.count("*").alias("n"), F.count_if(worse).alias("not_nearest"), F.count_distinct("label").alias("labels"))
+
+
 @query("kmeans_sweep_raw")
 def kmeans_sweep_raw(spark, sf):
     rows = _raw(spark, sf)
@@ -336,6 +350,24 @@ def decision_tree(spark, sf):
     return _multi_class(spark, sf, cl.decision_tree())
 
 
+@query(
+    "metrics_check",
+    f"""select 'tree' as model, count(*) as n, 0::bigint as differ from documents where {sql_bucket('doc_id', 100)} >= 90
+union all select 'bayes', count(*), 0 from documents where {sql_bucket('doc_id', 100)} >= 90""",
+)
+def metrics_check(spark, sf):
+    """Metrics of stored predictions, from the library's evaluator and from counts: how many of them differ."""
+    out = []
+    for name, classifier in (("tree", cl.decision_tree()), ("bayes", cl.naive_bayes())):
+        made = stored_copy(_multi_class(spark, sf, classifier).select(F.col(ft.LABEL).alias("label"), F.col(ft.PREDICTION).alias("prediction")), "predictions")
+        counted = ev.weighted_scores(made).first()
+        pairs = [("f1", "weighted_f"), ("weightedPrecision", "weighted_precision"), ("weightedRecall", "weighted_recall"), ("accuracy", "accuracy")]
+        library = [cl.evaluator(m, "label").evaluate(made) for m, _ in pairs]
+        differ = sum(abs(100 * x - counted[c]) > 1e-6 for x, (_, c) in zip(library, pairs))
+        out.append((name, made.count(), differ))
+    return spark.createDataFrame(out, "model string, n bigint, differ bigint")
+
+
 @query("tree_grid")
 def tree_grid(spark, sf):
     train, valid, _ = cl.hash_split(_labelled(spark, sf), "doc_id", DOC_SHARES)

@@ -258,6 +258,24 @@ def als_predict(spark, sf):
     return rec.als_predict(model, test).select("user", "item", "rating", F.col("prediction").cast("double").alias("prediction"))
 
 
+def _known_sql(buckets: int) -> str:
+    return f"""{t.RATED_SQL}, parts as (select "user", item, {sql_bucket("(\"user\" || ':' || item)", 100)} < {buckets} as train from rated),
+known as (select "user", item from parts p where not train and exists (select 1 from parts q where q.train and q."user" = p."user")
+  and exists (select 1 from parts q where q.train and q.item = p.item))"""
+
+
+@query("als_factors_check", f"with {_known_sql(70)} select count(*) as n, 0::bigint as differ from known")
+def als_factors_check(spark, sf):
+    """Predictions for held-out pairs that are not the product of the model's stored factors; pairs with an unknown side have none."""
+    train, test = _split(t.rated(spark, sf), 70, 30)
+    model = rec.als_fit(train)
+    users = model.userFactors.select(F.col("id").alias("user"), F.col("features").alias("u"))
+    items = model.itemFactors.select(F.col("id").alias("item"), F.col("features").alias("v"))
+    made = rec.als_predict(model, test).join(users, "user").join(items, "item")
+    product = F.aggregate(F.zip_with("u", "v", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda s, x: s + x)
+    return made.agg(F.count("*").alias("n"), F.count_if(F.abs(product - F.col("prediction")) > 1e-4).alias("differ"))
+
+
 def _implicit_final(spark, sf):
     return rec.als_fit(t.plays(spark, sf), implicit=True, **rec.IMPLICIT_FINAL)
 
