@@ -18,14 +18,15 @@ HEADLINE = [
     "build_vocabulary", "filter_terms", "word_ngrams", "tf_idf", "std_scale", "train_only_tfidf", "fused_features",
     # numeric features and corpus shaping
     "parse_labeled_csv", "one_hot", "un_one_hot", "zscore", "upsert", "subtract_rows", "clean_json_corpus",
+    "upsert_stored", "export_by_category", "stop_words_from_file",
     # recommendation
     "canonical_ratings", "popularity_scores", "negative_samples", "mean_user_auc", "genre_ranked_list", "ndcg_at_k",
     "als_explicit", "recommend_all_users",
     # clustering, evaluation, similarity
     "nearest_centroid", "weighted_cluster_entropy", "distance_anomalies", "weighted_metrics", "roc_points",
-    "cosine_pairs", "cosine_topk", "transpose", "kmeans_fit", "kmeans_sweep_scaled",
+    "cosine_pairs", "cosine_topk", "cosine_text_pairs", "transpose", "kmeans_fit", "kmeans_sweep_scaled",
     # classification
-    "decision_tree", "naive_bayes", "ovr_logistic_grid", "kfold_scores",
+    "decision_tree", "naive_bayes", "ovr_logistic_grid", "kfold_scores", "ovr_bayes_grid", "cv_pipeline",
 ]
 
 

@@ -103,7 +103,8 @@ def _scaled(spark, sf):
 
 
 def _scaled_one_hot(spark, sf, *keep):
-    rows = t.measurement_rows(spark, sf).withColumnRenamed("l_returnflag", "label")
+    # joined once; indexing, counting and scaling read it
+    rows = stored_copy(t.measurement_rows(spark, sf).withColumnRenamed("l_returnflag", "label"))
     hot = ft.one_hot(rows, NUMERIC, CATEGORIES)
     return ft.zscore_vectors(hot).drop("features").withColumnRenamed("scaled", "features").select("label", "features", *keep)
 

@@ -8,7 +8,8 @@ from larkspur.operators import classify as cl, corpus, evaluate as ev, recommend
 from larkspur.plans import tables as t
 from larkspur.plans.registry import query, r6, sql_bucket, sql_r6
 from larkspur.plans.source_queries import ALIAS_SQL, alias_lines
-from larkspur.plans.text_queries import TERMS_SQL, content_counts
+from larkspur.plans.text_queries import TERMS_SQL, content_words
+from larkspur.session import stored_copy
 from larkspur.sources import lines
 
 # --- ratings and baselines ----------------------------------------------------------
@@ -413,15 +414,17 @@ def similarity_error(spark, sf):
 SIMILAR = 0.8
 
 TEXT_COSINE_SQL = f"""{TERMS_SQL},
-units as (select doc_id, term, tf / sqrt(sum(tf * tf) over (partition by doc_id)) as w from weights),
+all_counts as (select doc_id, term, count(*) as tf from (select doc_id, unnest(w) as term from words) group by 1, 2),
+units as (select doc_id, term, tf / sqrt(sum(tf * tf) over (partition by doc_id)) as w from all_counts),
 pairs as (select a.doc_id as i, b.doc_id as j, sum(a.w * b.w) as value from units a join units b using (term) where a.doc_id < b.doc_id group by 1, 2),
 alike as (select * from pairs where value >= {SIMILAR})"""
 
 
 @query("cosine_text_pairs", f"with {TEXT_COSINE_SQL} select i, j, {sql_r6('value')} as value from alike")
 def cosine_text_pairs(spark, sf):
-    """Documents with similar terms, from an inverted index."""
-    return sim.cosine_at_least(content_counts(spark, sf), "doc_id", "tf", SIMILAR).withColumn("value", r6("value"))
+    """Documents with similar words, all words of the corpus being dimensions, from an inverted index."""
+    entries = sim.term_entries(content_words(spark, sf), "doc_id", "w")
+    return sim.entries_at_least(entries, SIMILAR).withColumn("value", r6("value"))
 
 
 @query(
@@ -431,9 +434,8 @@ select {sql_r6('coalesce(total, 0) / (n * (n - 1) / 2)')} as mean_error, (n * (n
 )
 def text_similarity_error(spark, sf):
     """What the similar pairs alone lack of all pairs, without forming the others."""
-    rows = content_counts(spark, sf)
-    kept = sim.cosine_at_least(rows, "doc_id", "tf", SIMILAR)
-    return sim.mean_error_below(rows, "doc_id", "tf", kept).withColumn("mean_error", r6("mean_error"))
+    entries = stored_copy(sim.term_entries(content_words(spark, sf), "doc_id", "w"))
+    return sim.mean_error_below(entries, sim.entries_at_least(entries, SIMILAR)).withColumn("mean_error", r6("mean_error"))
 
 
 @query("count_sum", "select count(l_quantity) as n, sum(l_quantity) as total from lineitem")

@@ -295,10 +295,10 @@ def term_counts(spark, sf):
     return features.term_counts(rows, "doc_id", "grams", _terms(rows).terms)
 
 
-def content_counts(spark, sf):
-    """(doc_id, tf): the term counts of the content vocabulary as vectors."""
-    rows = _stored_grams(spark, sf)
-    return features.count_vectorizer(_terms(rows).terms, "grams", "tf").transform(rows).select("doc_id", "tf")
+def content_words(spark, sf):
+    """(doc_id, w): the words of the content without stop words, of the documents."""
+    words = t.docs(spark, sf).select("doc_id", tx.drop_words(tx.word_tokens("content", 3), t.STOP_WORDS).alias("w"))
+    return stored_copy(words)
 
 
 IDF_SQL = f"""{TERMS_SQL},

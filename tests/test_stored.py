@@ -210,12 +210,14 @@ def test_error_of_a_thresholded_list(spark):
     df, rows, ids = sparse_table(spark)
     every = brute_cosine(rows, ids)
     kept = sim.cosine_at_least(df, "id", "v", 0.6)
-    found = sim.mean_error_below(df, "id", "v", kept).first()
+    found = sim.mean_error_below(sim.vector_entries(df, "id", "v"), kept).first()
     missing = sum(v for v in every.values() if v < 0.6)
     assert found.pairs == len(every) and found.mean_error == pytest.approx(missing / len(every))
     negative = spark.createDataFrame([(1, Vectors.dense([1.0, -1.0])), (2, Vectors.dense([1.0, 1.0]))], ["id", "v"])
     with pytest.raises(Exception, match="must not be negative"):
-        sim.mean_error_below(negative, "id", "v", kept).collect()
+        sim.mean_error_below(sim.vector_entries(negative, "id", "v"), kept).collect()
+    with pytest.raises(ValueError):
+        sim.entries_at_least(sim.vector_entries(df, "id", "v"), 0.0)
 
 
 # --- evaluation ------------------------------------------------------------------------------------
