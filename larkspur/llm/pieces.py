@@ -1,13 +1,22 @@
-"""SentencePiece encoding and decoding of whole texts by the merges of a BPE model.
+"""SentencePiece encoding and decoding of whole texts: a max-plus scan over the pieces of a BPE model.
 
-The scores of the model file are merge ranks.  A text starts as single characters; of all neighbours that make up a piece, those with
-the best score (ties: the leftmost) are merged, until none are left.  Characters that no piece holds fall back to bytes.  The ids
-are those of the library.
+The scores of the model file are merge ranks, so the ids are not those of the best sum of scores but those of the merges: of all neighbours that
+make up a piece, those with the best score (ties: the leftmost) are merged, until none are left.  As a max-plus problem: **a sequence of pieces is
+what the merges give if and only if every two neighbours, taken alone, merge to just these two.**  (Inside two neighbours the merges of the whole
+text are those of the two alone, as each is the best one there; and the first merge over a border of the sequence would be the best one of the two
+pieces it touches as well.)  So a step from piece to piece counts the score of the new piece where the two hold, and minus infinity elsewhere; exactly
+one path runs through a whole text.
 
-Merges never reach over a place that no piece of the vocabulary, laid on the text, reaches over, so the parts between such *safe* places are
-independent.  The start of a space after another character is always safe: each distinct stretch between such starts is merged once per
-worker.  Texts longer than ``CHUNK`` characters are cut at safe places into chunks, which are dealt out.  A part without a safe place
-stays whole, however long.
+Texts longer than ``CHUNK`` characters are cut every ``CHUNK`` characters, wherever that is, and the chunks are dealt out:
+
+1. The state at a border is the piece over it, or the one that ends there: (its start, its end).  Both sides of a border see enough text to list the same
+   states.  Each chunk yields the matrix of scores from the states at its first border to those at its last.
+2. Matrices are combined associatively, ``FAN`` neighbours in a group, level by level; going back down, each group learns its own states.
+3. Each chunk, told its two states, is traced back by itself and gives the pieces that start in it.
+
+No merge reaches over the start of a space after another character.  So a chunk's matrix comes from the scan up to the first such place and from the
+last one on; stretches between are merged once for each distinct one per worker, as are those of texts that fit in a chunk.  A chunk without such
+a place is scanned as a whole.  Characters that no piece holds fall back to bytes.  The ids are those of the library.
 
 Edge cases: null and empty texts have no tokens; repeated ids are kept apart by their text; rows with a null id are left out.
 """
@@ -16,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -23,15 +33,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from larkspur.llm import arrays as A
-from larkspur.llm.tables import text_of
+from larkspur.llm.tables import cut, text_of
 from larkspur.llm.tokens import Encoder, worker_store
 
 CHUNK = 1 << 16
-LOOK = 1 << 12  # places looked at together for a safe one
-NEVER = -1e18
+FAN = 64  # matrices combined in one group
+NEVER = -1e300
 SPACE = "▁"
 SHORT = 48  # longer stretches are merged one by one
 TOGETHER = 1 << 16  # characters of short stretches merged at once
+PAIRS = 1_000_000  # neighbours remembered by a worker
+
+#: The start of a space after another character.
+FREE = re.compile(f"(?<=[^{SPACE}]){SPACE}")
+Span = tuple[int, int]
 
 
 class Pieces(Encoder):
@@ -65,6 +80,8 @@ class Pieces(Encoder):
         self.table, self.shift = np.full(1 << bits, -1, np.int32), A.U(64 - bits)
         self.table[self.keys_of >> self.shift] = np.arange(len(order))
         self.crowded = np.setdiff1d(np.arange(len(order)), self.table)  # entries that lost their slot
+        self.begins = {p[:k] for p in self.scores for k in range(1, len(p) + 1)}
+        self.known: dict[tuple[str, str], bool] = {}
         self.clear()
 
     @staticmethod
@@ -219,36 +236,126 @@ class Pieces(Encoder):
         raw = np.frombuffer(text.replace(SPACE, " ").encode(), np.uint8) if SPACE in text else np.frombuffer(text.encode(), np.uint8)
         return self.encode(raw, np.array([0, len(raw)]))[0]
 
-    def safe(self, text: str, a: int, b: int) -> np.ndarray:
-        """Places from a to b (without b) that no piece reaches over."""
-        low = max(0, a - self.longest + 1)
-        part = text[low : b + self.longest - 1]
-        spans, edge = A.Spans(self._values(part)), np.zeros(len(part) + 2, np.int64)
-        for k in range(2, min(self.longest, len(part)) + 1):
-            at = np.arange(len(part) - k + 1)
-            at = at[self.lookup(spans.hash(at, at + k)) >= 0]
-            edge[at + 1] += 1
-            edge[at + k] -= 1
-        return np.flatnonzero(np.cumsum(edge)[a - low : b - low] == 0) + a
-
-    def cuts(self, text: str, size: int) -> list[int]:
-        """Chunk borders at safe places: the last one at most ``size`` characters on, or else the next one after that."""
-        out, n = [0], len(text)
-        while n - out[-1] > size:
-            a = out[-1]
-            high, place = a + size + 1, -1
-            while high > a + 1 and place < 0:
-                low = max(a + 1, high - LOOK)
-                found = self.safe(text, low, high)
-                place, high = (int(found[-1]) if len(found) else -1), low
-            low = a + size + 1
-            while low < n and place < 0:
-                found = self.safe(text, low, min(low + LOOK, n))
-                place, low = (int(found[0]) if len(found) else -1), low + LOOK
-            if place < 0:
-                break
-            out.append(place)
-        return [*out, n]
+    def stays(self, first: str, second: str) -> bool:
+        """Whether two pieces merge to just these two; an empty first one asks for the second alone."""
+        found = self.known.get((first, second))
+        if found is None:
+            if len(self.known) >= PAIRS:
+                self.known.clear()
+            both = first + second
+            _, back = self.forward(both, [0.0], len(both))
+            found = back[len(both)] == len(first) and (not first or back[len(first)] == 0)
+            self.known[first, second] = found
+        return found
+
+    def states(self, text: str, border: int) -> list[Span]:
+        """Pieces that may lie over a border or end there; at the start of the text there is one state, no piece."""
+        if border == 0:
+            return [(0, 0)]
+        spans = []
+        for a in range(max(0, border - self.longest), border):
+            for b in range(a + 1, min(len(text), a + self.longest) + 1):
+                if text[a:b] not in self.begins and b > a + 1:
+                    break
+                if b >= border and self.holds(text, a, b):
+                    spans.append((a, b))
+        return spans
+
+    def holds(self, text: str, a: int, b: int) -> bool:
+        return (b == a + 1 or text[a:b] in self.scores) and self.stays("", text[a:b])
+
+    def scan(self, text: str, entries: list[Span], stop: int) -> tuple[dict[Span, np.ndarray], dict[Span, int]]:
+        """From the states at a border to the pieces that reach ``stop``: scores by entry, and for each piece the start of the one before.
+
+        With one entry the piece before is unique.
+        """
+        live: dict[int, dict[int, np.ndarray]] = {}
+        reached: dict[Span, np.ndarray] = {}
+        back: dict[Span, int] = {}
+        for k, (a, b) in enumerate(entries):
+            start = np.full(len(entries), NEVER)
+            start[k] = 0.0
+            if b >= stop:
+                reached[a, b] = start
+            else:
+                live.setdefault(b, {})[a] = start
+        low = min(live, default=stop)
+        for p in range(low, stop):
+            nodes = live.pop(p, None)
+            if not nodes:
+                continue
+            before = [(a, text[a:p], values) for a, values in nodes.items()]
+            for q in range(p + 1, min(len(text), p + self.longest) + 1):
+                part = text[p:q]
+                if part not in self.begins and q > p + 1:
+                    break
+                score = self.scores.get(part)
+                if score is None:
+                    if q > p + 1:
+                        continue
+                    score = self.unknown
+                best = None
+                for a, last, values in before:
+                    if self.stays(last, part):
+                        best = values if best is None else np.maximum(best, values)
+                        back[p, q] = a
+                if best is not None:
+                    best = np.where(best > NEVER / 2, best + score, NEVER)
+                    if q >= stop:
+                        reached[p, q] = best
+                    else:
+                        live.setdefault(q, {})[p] = best
+        return reached, back
+
+    @staticmethod
+    def free(text: str, low: int, high: int) -> Span | None:
+        """The first and the last start of a space after another character, from low to high (without high)."""
+        found = FREE.search(text, low, high)
+        if found is None:
+            return None
+        return found.start(), next(p for p in range(high - 1, -1, -1) if FREE.match(text, p))
+
+    def transfer(self, text: str, low: int, high: int) -> np.ndarray:
+        """Scores from the states at ``low`` to those at ``high``."""
+        entries, exits = self.states(text, low), self.states(text, high)
+        place = {span: k for k, span in enumerate(exits)}
+        out = np.full((len(entries), len(exits)), NEVER)
+        free = self.free(text, low, high)
+        if free is None:
+            for span, values in self.scan(text, entries, high)[0].items():
+                out[:, place[span]] = values
+            return out
+        head = np.full(len(entries), NEVER)
+        for values in self.scan(text, entries, free[0])[0].values():
+            head = np.maximum(head, values)
+        head += self.score(self.encode_text(text[free[0] : free[1]]))
+        for span, values in self.scan(text, [(free[1], free[1])], high)[0].items():
+            out[:, place[span]] = np.where(head > NEVER / 2, head + values[0], NEVER)
+        return out
+
+    def between(self, text: str, entry: Span, exit: Span, back: dict[Span, int]) -> list[int]:
+        """Ids of the pieces after one state up to another."""
+        out = []
+        span = exit
+        while span != entry:
+            part = text[span[0] : span[1]]
+            k = self.piece.get(part)
+            out += [k] if k is not None else [self.byte[b] for b in reversed(part.encode())]
+            span = back[span], span[0]
+        return out[::-1]
+
+    def trace(self, text: str, low: int, high: int, enter: int, leave: int) -> np.ndarray:
+        """Ids of the pieces that start from ``low`` to ``high``, between two states."""
+        entry, exit = self.states(text, low)[enter], self.states(text, high)[leave]
+        free = self.free(text, low, high)
+        if free is None:
+            return np.array(self.between(text, entry, exit, self.scan(text, [entry], high)[1]), np.uint32)
+        reached, back = self.scan(text, [entry], free[0])
+        (middle,) = reached
+        head = self.between(text, entry, middle, back)
+        begin = free[1], free[1]
+        tail = self.between(text, begin, exit, self.scan(text, [begin], high)[1])
+        return np.concatenate([np.array(head, np.uint32), self.encode_text(text[free[0] : free[1]]), np.array(tail, np.uint32)])
 
 
 def pieces(path: str) -> Pieces:
@@ -258,26 +365,99 @@ def pieces(path: str) -> Pieces:
     return store[path]
 
 
-CHUNKS = "doc_id long, copy binary, chunk int, text string"
-CHUNK_SCHEMA = pa.schema([("doc_id", pa.int64()), ("copy", pa.binary()), ("chunk", pa.int32()), ("text", pa.string())])
+KEY = ["doc_id", "copy", "chunk"]
+KEY_FIELDS = [("doc_id", pa.int64()), ("copy", pa.binary()), ("chunk", pa.int32())]
+CHUNKS = "doc_id long, copy binary, chunk int, text string, low int, high int"
+CHUNK_SCHEMA = pa.schema([*KEY_FIELDS, ("text", pa.string()), ("low", pa.int32()), ("high", pa.int32())])
+MATRICES = "doc_id long, copy binary, chunk int, width int, matrix binary"
+MATRIX_SCHEMA = pa.schema([*KEY_FIELDS, ("width", pa.int32()), ("matrix", pa.binary())])
+ENDS = "doc_id long, copy binary, chunk int, enter int, leave int"
+END_SCHEMA = pa.schema([*KEY_FIELDS, ("enter", pa.int32()), ("leave", pa.int32())])
 
 
 def chunks(docs: DataFrame, model: str, size: int = CHUNK) -> DataFrame:
-    """Texts in chunks, spaces written as pieces have them.  ``copy`` tells texts of one id apart."""
+    """Texts cut every ``size`` characters, spaces written as pieces have them.
+
+    The chunk is ``text[low:high]``; beside it stand as many characters as a piece may reach over.  ``copy`` tells texts of one id apart.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = pieces(model)
+        reach = pieces(model).longest
         for batch in batches:
             for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
                 copy = hashlib.md5(text.encode()).digest()
                 text = SPACE + text.replace(" ", SPACE) if text else ""
-                places = vocabulary.cuts(text, size)
-                for k, (a, b) in enumerate(zip(places[:-1], places[1:])):
-                    yield pa.RecordBatch.from_pylist([{"doc_id": doc, "copy": copy, "chunk": k, "text": text[a:b]}], CHUNK_SCHEMA)
+                for k, a in enumerate(range(0, len(text), size)):
+                    b, low = min(a + size, len(text)), max(0, a - reach)
+                    row = {"doc_id": doc, "copy": copy, "chunk": k, "text": text[low : b + reach], "low": a - low, "high": b - low}
+                    yield pa.RecordBatch.from_pylist([row], CHUNK_SCHEMA)
 
     return text_of(docs).mapInArrow(run, CHUNKS)
 
 
+def transfers(cut_texts: DataFrame, model: str) -> DataFrame:
+    """The matrix of each different chunk: scores as doubles, row by row, ``width`` of them in a row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = pieces(model)
+        for batch in batches:
+            for row in batch.to_pylist():
+                matrix = vocabulary.transfer(row["text"], row["low"], row["high"])
+                yield pa.RecordBatch.from_pylist([{**{k: row[k] for k in KEY}, "width": matrix.shape[1], "matrix": matrix.tobytes()}], MATRIX_SCHEMA)
+
+    return cut_texts.mapInArrow(run, MATRICES).dropDuplicates(KEY)
+
+
+def _matrices(group: pa.Table) -> tuple[list[dict], list[np.ndarray]]:
+    rows = group.sort_by("chunk").to_pylist()
+    return rows, [np.frombuffer(r["matrix"]).reshape(-1, r["width"]) for r in rows]
+
+
+def times(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The max-plus product; it is associative."""
+    return np.maximum(np.max(left[:, :, None] + right[None], axis=1, initial=NEVER), NEVER)
+
+
+def _product(key: tuple, group: pa.Table) -> pa.Table:
+    rows, matrices = _matrices(group)
+    out = matrices[0]
+    for m in matrices[1:]:
+        out = times(out, m)
+    return pa.Table.from_pylist([{"doc_id": rows[0]["doc_id"], "copy": rows[0]["copy"], "chunk": rows[0]["chunk"] // FAN, "width": out.shape[1], "matrix": out.tobytes()}], MATRIX_SCHEMA)
+
+
+def _inner_states(key: tuple, group: pa.Table) -> pa.Table:
+    """States at the borders inside a group from those at its ends."""
+    rows, matrices = _matrices(group)
+    best = [matrices[0][rows[0]["enter"]]]
+    for m in matrices[1:]:
+        best.append(times(best[-1][None], m)[0])
+    leave, out = rows[0]["leave"], []
+    for k in range(len(rows) - 1, -1, -1):
+        enter = int(np.argmax(best[k - 1] + matrices[k][:, leave])) if k else rows[0]["enter"]
+        out.append({**{c: rows[k][c] for c in KEY}, "enter": enter, "leave": leave})
+        leave = enter
+    return pa.Table.from_pylist(out, END_SCHEMA)
+
+
+def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The states of whole texts: no piece at the start, the only one reached at the end."""
+    for batch in batches:
+        out = [{**{k: r[k] for k in KEY}, "enter": 0, "leave": int(np.argmax(np.frombuffer(r["matrix"])[: r["width"]]))} for r in batch.to_pylist()]
+        yield pa.RecordBatch.from_pylist(out, END_SCHEMA)
+
+
+def border_states(matrices: DataFrame, last: int) -> DataFrame:
+    """The state at both borders of each chunk: (doc_id, copy, chunk, enter, leave); ``last`` is the highest chunk number."""
+    if last == 0:
+        return matrices.mapInArrow(_ends, ENDS)
+    group = ["doc_id", "copy", "_group"]
+    grouped = matrices.withColumn("_group", F.expr(f"chunk div {FAN}").cast("int"))
+    above = cut(grouped.groupBy(*group).applyInArrow(_product, MATRICES))
+    ends = border_states(above, last // FAN).withColumnRenamed("chunk", "_group")
+    return grouped.join(ends, group).groupBy(*group).applyInArrow(_inner_states, ENDS)
+
+
 ENCODED = "doc_id long, copy binary, chunk int, ids binary, score double"
 DECODED = "doc_id long, copy binary, chunk int, n_tokens long, n_byte_tokens long, score double, text binary"
 Batches = Iterator[pa.RecordBatch]
@@ -286,13 +466,13 @@ Batches = Iterator[pa.RecordBatch]
 def encode(docs: DataFrame, model: str, size: int = CHUNK, after: Callable[[Batches], Batches] | None = None, schema: str = ENCODED) -> DataFrame:
     """Token ids of all texts by chunk: (doc_id, copy, chunk, ids as little-endian unsigned 32-bit integers, score).
 
-    Texts that fit in one chunk, most of them, are encoded straight from the table; only longer ones are cut.
+    Texts that fit in one chunk, most of them, are encoded straight from the table; only longer ones are cut.  A chunk holds the pieces that start in it.
     ``after`` takes the encoded batches on in the same worker; ``schema`` is then that of its rows.
     """
     after = after or iter
     texts = text_of(docs)
     fits = F.length("text") < size  # one more place goes to the space in front
-    long_chunks = chunks(texts.where(~fits), model, size).repartition("doc_id", "copy", "chunk")
+    giants = texts.where(~fits)
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, mark = pieces(model), SPACE.encode()
@@ -308,17 +488,23 @@ def encode(docs: DataFrame, model: str, size: int = CHUNK, after: Callable[[Batc
                 copies = pa.array([hashlib.md5(t).digest() for t in each], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(i, j - i), copies, pa.array(np.zeros(j - i, np.int32)), pa.array(blobs, pa.binary()), pa.array(scores)], ["doc_id", "copy", "chunk", "ids", "score"])
 
-    def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = pieces(model)
         for batch in batches:
             for row in batch.to_pylist():
-                ids = np.array(vocabulary.encode_text(row["text"]), "<u4")
-                yield pa.RecordBatch.from_pylist([{"doc_id": row["doc_id"], "copy": row["copy"], "chunk": row["chunk"], "ids": ids.tobytes(), "score": vocabulary.score(ids)}], IDS_SCHEMA)
+                ids = vocabulary.trace(row["text"], row["low"], row["high"], row["enter"], row["leave"]).astype("<u4")
+                yield pa.RecordBatch.from_pylist([{**{k: row[k] for k in KEY}, "ids": ids.tobytes(), "score": vocabulary.score(ids)}], IDS_SCHEMA)
 
-    return texts.where(fits).mapInArrow(lambda b: after(whole(b)), schema).union(long_chunks.mapInArrow(lambda b: after(between(b)), schema))
+    encoded = texts.where(fits).mapInArrow(lambda b: after(whole(b)), schema)
+    parts = cut(chunks(giants, model, size).repartition(*KEY))
+    last = parts.agg(F.max("chunk")).first()[0]
+    if last is None:
+        return encoded
+    states = border_states(cut(transfers(parts, model)), last)
+    return encoded.union(parts.join(states, KEY).mapInArrow(lambda b: after(traced(b)), schema))
 
 
-IDS_SCHEMA = pa.schema([("doc_id", pa.int64()), ("copy", pa.binary()), ("chunk", pa.int32()), ("ids", pa.binary()), ("score", pa.float64())])
+IDS_SCHEMA = pa.schema([*KEY_FIELDS, ("ids", pa.binary()), ("score", pa.float64())])
 
 
 def decoder(model: str) -> Callable[[Batches], Batches]:

@@ -423,3 +423,50 @@ def test_pieces_are_those_of_the_library(spark, size):
         ids.setdefault(r.doc_id, []).extend(np.frombuffer(r.ids, "<u4").tolist())
     for i, text in given:
         assert ids[i] == library.encode(text or ""), text
+
+
+def test_pieces_of_texts_without_a_safe_place(spark):
+    """One stretch over many chunks, cut anywhere, and more chunks than one group of matrices holds."""
+    import sentencepiece
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=model)
+    draw = random.Random(11)
+    given = [(k, "".join(draw.choice(letters) for _ in range(40_000))) for k, letters in enumerate(["abcdeilnorst", "a", "=-", "日本語の漢", "é▁🙂x"])]
+    encoded = pieces.encode(spark.createDataFrame([*given, given[0]], "doc_id long, text string"), model, 400).collect()
+    assert {sum(r.doc_id == k for r in encoded) for k, _ in given} == {101, 202}
+    for k, text in given:
+        parts = {r.chunk: np.frombuffer(r.ids, "<u4").tolist() for r in encoded if r.doc_id == k}
+        assert [i for c in sorted(parts) for i in parts[c]] == library.encode(text), k
+
+
+def test_neighbours_that_stay_make_up_the_merged_text():
+    """The rule behind the scan, both ways: all neighbours of the library's pieces stay; any other sequence of pieces has two that do not."""
+    import sentencepiece
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    library, vocabulary = sentencepiece.SentencePieceProcessor(model_file=model), pieces.Pieces(model)
+    draw = random.Random(12)
+    for _ in range(60):
+        text = pieces.SPACE + "".join(draw.choice(draw.choice(["abest", "ion▁", "=x-"])) for _ in range(11))
+        ways = [[]]
+        for _ in range(len(text)):
+            ways = [w + [text[len("".join(w)) : q]] for w in ways for q in range(len("".join(w)) + 1, len(text) + 1) if text[len("".join(w)) : q] in vocabulary.scores] + [w for w in ways if "".join(w) == text]
+        stay = [w for w in ways if all(vocabulary.stays(a, b) for a, b in zip(["", *w], w))]
+        assert [[vocabulary.piece[p] for p in w] for w in stay] == [library.encode(text[1:])]
+
+
+def test_matrices_combine_in_any_order():
+    vocabulary = pieces.Pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    draw = random.Random(13)
+    text = pieces.SPACE + "".join(draw.choice("abestion▁") for _ in range(400))
+    borders = [0, 1, 60, 61, 200, 330, len(text)]
+    each = [vocabulary.transfer(text, a, b) for a, b in zip(borders[:-1], borders[1:])]
+    left, right = each[0], each[-1]
+    for m in each[1:]:
+        left = pieces.times(left, m)
+    for m in each[-2::-1]:
+        right = pieces.times(m, right)
+    whole = vocabulary.transfer(text, 0, len(text))
+    assert np.allclose(left, right) and np.allclose(left, whole) and (whole > pieces.NEVER / 2).sum() == 1
+    assert whole.max() == pytest.approx(vocabulary.forward(text, [0.0], len(text))[0][-1])
