@@ -1,19 +1,18 @@
 """Language-model scoring with a hidden Markov model over words.
 
-A word falls into one of ``CLASSES`` emission classes by its first two bytes and its last one; a state emits
-a class, and a class emits its words by their smoothed share in the training
-texts, with one share left for unseen words.  Baum-Welch passes run over all training words, cut into windows of
-``WINDOW`` emissions; expected counts are summed in each task and then over all tasks.
-Scoring takes whole texts: each window becomes a matrix of
-scaled forward weights, and the matrices of a text are multiplied in order, which is the
-exact forward recursion.
-
-Word counts are exact and cover all training texts.  Texts are dealt into buckets by id;
-each bucket asks for the counts of its distinct words, the words are counted by hash range, and the
-answers go back in the order asked.  No vocabulary meets in one place.
-
-Edge cases: null and empty texts consist of the end token alone; rows with a null id take no part;
-with no training text every word is unknown and the model scores by its start values.
+A state emits words: with share 1 - ``KEPT`` by the expected counts (word, state) of the training texts, with share ``KEPT`` by
+the smoothed share of the word in all training texts; unseen words have the probability that the plain word shares give one, in every
+state.  The first counts of a word are dealt over the states by its hash.  Baum-Welch passes run over all training texts, whole: a text is cut into
+windows of ``WINDOW`` words, each becomes a matrix of scaled forward weights, and the products of these matrices carry
+the forward and backward vectors over the cuts, so no text starts anew inside.  Scoring is the scaled forward recursion, exact in the same way.
+
+The table of words and states grows with the corpus and never meets in one place.  Texts are dealt into chunks by id and
+tokenised once; words are kept as places in the list of the chunk's distinct words.  Each chunk asks for its distinct words, which are dealt by hash
+range.  A training pass is one exchange there and back: the expected counts of a chunk's words go to the ranges, are summed by word, and the
+sums go back to the chunks in the order asked.  The driver sees totals by state and moves between states alone.
+
+Edge cases: null and empty texts consist of the end token alone; rows with a null id take no part; repeated ids: every row has
+its result; with no training text every word is unknown and has probability 1, as in the base score.
 """
 
 from __future__ import annotations
@@ -26,31 +25,51 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from larkspur.llm import arrays as A
-from larkspur.llm.tables import bucket_count, bucket_of, cut, text_of
+from larkspur.llm.tables import bucket_of, buckets_for, cut, text_of
 
-STATES, CLASSES, WINDOW, ROUNDS = 6, 255, 256, 3
+STATES, WINDOW, ROUNDS = 6, 256, 3
+KEPT = 0.1
+STAY = 0.98  # share of the first moves that stay in a state
 END = A.mix(np.array([0xE0D], A.U))[0]  # the hash that stands for the end token
 HELD_OUT = 2
+AT_ONCE = 1 << 12  # windows taken at once
+TOKENS = 1 << 21  # tokens of texts taken at once
 
 
 @dataclass
 class Model:
     start: np.ndarray  # state
     move: np.ndarray  # state, next state
-    emit: np.ndarray  # class (the end is the last one), state
+    totals: np.ndarray  # expected words of a state
+    words: int  # training tokens
+    kinds: int  # distinct ones
 
+    @property
+    def unknown(self) -> float:
+        return 1 / (self.words + self.kinds + 1)
 
-def first_model(states: int = STATES, classes: int = CLASSES) -> Model:
-    """States that mostly stay as they are, and emissions drawn around even ones."""
-    draw = np.random.default_rng(7)
-    move = 0.02 * draw.dirichlet(np.full(states, 5.0), states) + 0.98 * np.eye(states)
-    emit = 0.9 * draw.dirichlet(np.ones(classes + 1), states).T + 0.1 / (classes + 1)
-    return Model(np.full(states, 1 / states), move, np.ascontiguousarray(emit))
 
+def first_model(totals: np.ndarray, words: int, kinds: int) -> Model:
+    """States that mostly stay as they are."""
+    move = STAY * np.eye(STATES) + (1 - STAY) / STATES
+    return Model(np.full(STATES, 1 / STATES), move, totals, words, kinds)
 
-def classes_of(raw: np.ndarray, w: A.Words) -> np.ndarray:
-    shape = raw[w.start].astype(A.U) | raw[np.minimum(w.start + 1, w.stop - 1)].astype(A.U) << A.U(8) | raw[w.stop - 1].astype(A.U) << A.U(16)
-    return (A.mix(shape + A.U(1)) % A.U(CLASSES)).astype(np.uint8)
+
+def first_counts(hashes: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Training counts of words, dealt over the states by a draw from the word's hash: word, state."""
+    draws = np.column_stack([(A.mix(hashes + A.U(s + 1)) >> A.U(40)).astype(np.float64) / 2**24 for s in range(STATES)])
+    draws += 0.5
+    return times[:, None] * draws / draws.sum(axis=1, keepdims=True)
+
+
+def emissions(model: Model, counts: np.ndarray) -> np.ndarray:
+    """Probability of each word in each state, from its expected counts; they add up to its training count."""
+    times = np.rint(counts.sum(axis=1))
+    shares = ((times + 1) * model.unknown)[:, None]
+    own = counts * ((1 - model.unknown) / np.maximum(model.totals, 1e-300))
+    out = np.where(model.totals > 0, (1 - KEPT) * own + KEPT * shares, shares)
+    out[times == 0] = model.unknown
+    return out
 
 
 def held_out(ids: np.ndarray) -> np.ndarray:
@@ -59,212 +78,291 @@ def held_out(ids: np.ndarray) -> np.ndarray:
     return np.array([zlib.crc32(b"%d" % i) % 7 == HELD_OUT for i in ids.tolist()], bool)
 
 
-def windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows of the texts one after the other: text, start, length."""
-    n = -(-lengths // WINDOW)
-    text = np.repeat(np.arange(len(lengths)), n)
-    at = A.runs(n) * WINDOW
-    return text, (np.cumsum(lengths) - lengths)[text] + at, np.minimum(WINDOW, lengths[text] - at)
+@dataclass
+class Windows:
+    """Windows of texts that follow each other, text by text."""
+
+    text: np.ndarray
+    start: np.ndarray
+    length: np.ndarray
+    opens: np.ndarray  # the first one of its text
+    count: np.ndarray  # by text
+
+    @classmethod
+    def of(cls, lengths: np.ndarray) -> Windows:
+        n = -(-lengths // WINDOW)
+        text, number = np.repeat(np.arange(len(lengths)), n), A.runs(n)
+        start = (np.cumsum(lengths) - lengths)[text] + number * WINDOW
+        return cls(text, start, np.minimum(WINDOW, lengths[text] - number * WINDOW), number == 0, n)
 
 
-def expected_counts(model: Model, symbols: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Scaled forward-backward over windows: first states, moves, emissions, in one vector."""
-    states, kinds = model.emit.shape[1], len(model.emit)
+def alive(lengths: np.ndarray, t: int) -> int:
+    """How many of windows in falling order of length are longer than t."""
+    return int(np.searchsorted(-lengths, -t, "left"))
+
+
+def matrices(model: Model, emit: np.ndarray, symbols: np.ndarray, start: np.ndarray, length: np.ndarray, opens: np.ndarray) -> np.ndarray:
+    """The forward weights of windows, each up to a factor: state before, state at its end."""
+    states = len(model.start)
+    out = np.empty((len(start), states, states))
     order = np.argsort(-length, kind="stable")
-    start, length = start[order], length[order]
-    first, moves, emits = np.zeros(states), np.zeros((states, states)), np.zeros((kinds, states))
-    steps = int(length[0]) if len(length) else 0
-    alive = np.searchsorted(-length, -np.arange(steps), "left")  # windows longer than t
-    ahead, seen, scale = [], [], []
-    for t in range(steps):
-        n = alive[t]
-        x = symbols[start[:n] + t]
-        a = (model.start if t == 0 else ahead[-1][:n] @ model.move) * model.emit[x]
-        c = a.sum(axis=1, keepdims=True)
-        ahead.append(a / c)
-        seen.append(x)
-        scale.append(c)
-    back = None
-    for t in range(steps - 1, -1, -1):
-        n = alive[t]
-        b = np.ones((n, states))
-        if back is not None:
-            m = len(back)
-            weighted = model.emit[seen[t + 1]] * back / scale[t + 1]
-            moves += ahead[t][:m].T @ weighted
-            b[:m] = weighted @ model.move.T
-        state = ahead[t] * b
+    for a in range(0, len(order), AT_ONCE):
+        part = order[a : a + AT_ONCE]
+        s, n_of = start[part], length[part]
+        m = np.broadcast_to(np.eye(states), (len(s), states, states)).copy()
+        for t in range(int(n_of[0])):
+            n = alive(n_of, t)
+            step = (m[:n].reshape(-1, states) @ model.move).reshape(n, states, states)
+            if t == 0:
+                step[opens[part]] = np.eye(states)  # the first word of a text needs no move before it
+            step *= emit[symbols[s[:n] + t]][:, None, :]
+            if t % 8 == 7:
+                step /= step.max(axis=(1, 2))[:, None, None]
+            m[:n] = step
+        out[part] = m / m.max(axis=(1, 2))[:, None, None]
+    return out
+
+
+def carried(model: Model, emit: np.ndarray, symbols: np.ndarray, w: Windows, both: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The state vector before each window, and the weights of the states after it (ones unless ``both``)."""
+    states = len(model.start)
+    ahead, behind = np.tile(model.start, (len(w.text), 1)), np.ones((len(w.text), states))
+    many = w.count > 1
+    inside = np.flatnonzero(many[w.text])
+    m = matrices(model, emit, symbols, w.start[inside], w.length[inside], w.opens[inside])
+    count = np.sort(w.count[many])[::-1]
+    first = np.searchsorted(w.text[inside], np.flatnonzero(many)[np.argsort(-w.count[many], kind="stable")])
+    vector, weight = np.tile(model.start, (len(count), 1)), np.ones((len(count), states))
+    steps = int(count[0]) if len(count) else 0
+    for k in range(steps):
+        n = alive(count, k)
+        at = first[:n] + k
+        ahead[inside[at]] = vector[:n]
+        v = np.einsum("ns,nst->nt", vector[:n], m[at])
+        vector[:n] = v / v.sum(axis=1, keepdims=True)
+    for k in range(steps - 1 if both else -1, -1, -1):
+        n = alive(count, k)
+        at = first[:n] + k
+        behind[inside[at]] = weight[:n]
+        r = np.einsum("nst,nt->ns", m[at], weight[:n])
+        weight[:n] = r / r.max(axis=1, keepdims=True)
+    return ahead, behind
+
+
+def sweep(model: Model, emit: np.ndarray, symbols: np.ndarray, lengths: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """log10 probability of each text; expected first states and moves in one vector, and those of words added to ``counts``."""
+    states = len(model.start)
+    w = Windows.of(lengths)
+    before, after = carried(model, emit, symbols, w, counts is not None)
+    log, first, moves = np.zeros(len(w.text)), np.zeros(states), np.zeros((states, states))
+    order = np.argsort(-w.length, kind="stable")
+    for i in range(0, len(order), AT_ONCE):
+        part = order[i : i + AT_ONCE]
+        start, length, opens = w.start[part], w.length[part], w.opens[part]
+        total, a = np.zeros(len(part)), before[part]
+        ahead, seen, given = [], [], []
+        for t in range(int(length[0])):
+            n = alive(length, t)
+            x = symbols[start[:n] + t]
+            a = a[:n] @ model.move
+            if t == 0:
+                a[opens] = before[part][opens]
+            e = emit[x]
+            a = a * e
+            c = a.sum(axis=1, keepdims=True)
+            a = a / c
+            total[:n] += np.log(c[:, 0])
+            if counts is not None:
+                ahead.append(a)
+                seen.append(x)
+                given.append(e / c)
+        log[part] = total
+        if counts is None:
+            continue
+        b, state = np.zeros((0, states)), []
+        for t in range(len(ahead) - 1, -1, -1):
+            n, m = len(ahead[t]), len(b)
+            if m:
+                weighted = given[t + 1] * b
+                moves += ahead[t][:m].T @ weighted
+                b = weighted @ model.move.T
+            if n > m:  # windows that end here
+                end = after[part[m:n]]
+                b = np.concatenate([b, end / (ahead[t][m:] * end).sum(axis=1, keepdims=True)])
+            state.append(ahead[t] * b)
+        first += state[-1][opens].sum(axis=0)
+        goes_on = ~opens
+        moves += before[part[goes_on]].T @ (given[0] * b)[goes_on]
+        x, state = np.concatenate(seen[::-1]), np.concatenate(state)
         for s in range(states):
-            emits[:, s] += np.bincount(seen[t], state[:, s], kinds)
-        if t == 0:
-            first = state.sum(axis=0)
-        back = b
-    return np.concatenate([first, (moves * model.move).ravel(), emits.ravel()])
+            counts[:, s] += np.bincount(x, state[:, s], len(counts))
+    return np.bincount(w.text, log, len(lengths)) / np.log(10), np.concatenate([first, (moves * model.move).ravel()])
 
 
-def normalised(counts: np.ndarray, states: int = STATES, classes: int = CLASSES) -> Model:
-    """The model of summed counts, each smoothed by a small constant."""
-    first = counts[:states] + 1e-3
-    moves = counts[states : states + states**2].reshape(states, states) + 1e-3
-    emits = counts[states + states**2 :].reshape(classes + 1, states) + 1e-3
-    return Model(first / first.sum(), moves / moves.sum(axis=1, keepdims=True), np.ascontiguousarray(emits / emits.sum(axis=0)))
+def trained(model: Model, cells: np.ndarray, totals: np.ndarray) -> Model:
+    """The model of summed first states and moves, each smoothed by a small constant."""
+    states = len(model.start)
+    first, moves = cells[:states] + 1e-3, cells[states:].reshape(states, states) + 1e-3
+    return Model(first / first.sum(), moves / moves.sum(axis=1, keepdims=True), totals, model.words, model.kinds)
 
 
-def log10_forward(model: Model, symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """log10 probability of each text's class sequence."""
-    states = model.emit.shape[1]
-    text, start, length = windows(lengths)
-    order = np.argsort(-length, kind="stable")
-    s, n_of = start[order], length[order]
-    m = np.broadcast_to(np.eye(states), (len(s), states, states)).copy()
-    log = np.zeros(len(s))
-    for t in range(int(n_of[0]) if len(s) else 0):
-        n = int(np.searchsorted(-n_of, -t, "left"))
-        # the first emission of a text needs no move before it; later windows begin with one
-        step = (m[:n].reshape(-1, states) @ model.move).reshape(n, states, states)
-        if t == 0:
-            opening = start[order] == (np.cumsum(lengths) - lengths)[text[order]]
-            step[opening[:n]] = np.eye(states)
-        step *= model.emit[symbols[s[:n] + t]][:, None, :]
-        if t % 8 == 7 or t == 0:
-            c = step.max(axis=(1, 2))
-            step /= c[:, None, None]
-            log[:n] += np.log(c)
-        m[:n] = step
-    matrices, logs = np.empty_like(m), np.empty_like(log)
-    matrices[order], logs[order] = m, log
-    vector, total = np.broadcast_to(model.start, (len(lengths), states)).copy(), np.zeros(len(lengths))
-    count = -(-lengths // WINDOW)
-    base = np.cumsum(count) - count
-    for k in range(int(count.max()) if len(count) else 0):
-        at = np.flatnonzero(count > k)
-        v = np.einsum("ns,nst->nt", vector[at], matrices[base[at] + k])
-        c = v.sum(axis=1)
-        vector[at] = v / c[:, None]
-        total[at] += np.log(c) + logs[base[at] + k]
-    return total / np.log(10)
-
-
-def _tokens(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash and class of every token, and the number of tokens of each text; a text ends with an end token."""
+def _tokens(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every token, and the number of tokens of each text; a text ends with an end token."""
     raw, offsets = A.flat(table["text"])
-    parts, kinds, counts = [np.zeros(0, A.U)], [np.zeros(0, np.uint8)], [np.zeros(0, np.int64)]
+    parts, counts = [np.zeros(0, A.U)], [np.zeros(0, np.int64)]
     for i, j in A.slices(offsets):
         low = A.LOWER[raw[offsets[i] : offsets[j]]]
         w = A.words(low, offsets[i : j + 1] - offsets[i])
         parts.append(np.insert(w.hash, w.first[1:], END))
-        kinds.append(np.insert(classes_of(low, w), w.first[1:], CLASSES))
         counts.append(w.counts + 1)
-    return np.concatenate(parts), np.concatenate(kinds), np.concatenate(counts).astype(np.int64)
+    return np.concatenate(parts), np.concatenate(counts).astype(np.int64)
 
 
-def _sorted(table: pa.Table) -> pa.Table:
-    return table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+ASKED = pa.schema([
+    ("chunk", pa.int32()), ("bucket", pa.int32()), ("hash", pa.binary()), ("times", pa.binary()),
+    ("ids", pa.binary()), ("lengths", pa.binary()), ("order", pa.binary()), ("planes", pa.list_(pa.binary())),
+])
+ASKED_SQL = "chunk int, bucket int, hash binary, times binary, ids binary, lengths binary, order binary, planes array<binary>"
+COUNTS = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), ("counts", pa.binary())])
+SUMS = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), ("sums", pa.binary()), ("totals", pa.binary())])
+SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
-def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Base score and model score of every document."""
-    spark = docs.sparkSession
-    buckets = bucket_count(spark, 2)
-    dealt = text_of(docs).withColumn("chunk", bucket_of("doc_id", buckets))
-
-    def ask(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        """Distinct words of a chunk with their training counts by word range, and its emissions."""
-        table = _sorted(table)
-        chunk = table["chunk"][0].as_py()
-        hashes, kinds, counts = _tokens(table)
-        train = np.repeat(~held_out(table["doc_id"].to_numpy()), counts)
-        order = np.argsort(hashes)
-        value = hashes[order]
-        new = np.flatnonzero(np.r_[True, value[1:] != value[:-1]])
-        unique, times = value[new], np.add.reduceat(train[order].astype(np.int64), new).astype(np.uint32)
-        columns = {"hash": unique, "times": times, "kind": kinds[order][new]}
-        batch = A.scatter((unique >> A.U(32)).astype(np.int64) * buckets >> 32, columns, {"chunk": chunk})
-        lengths = counts[~held_out(table["doc_id"].to_numpy())]
-        blob = {"hash": kinds[train].tobytes(), "times": lengths.tobytes(), "kind": b"", "bucket": -1, "chunk": chunk}
-        yield from pa.Table.from_batches([batch]).select(ASKED.names).cast(ASKED).to_batches()
-        yield pa.RecordBatch.from_pylist([blob], ASKED)
-
-    asked = cut(dealt.groupBy("chunk").applyInArrow(lambda t: pa.Table.from_batches(ask(t)), "bucket int, chunk int, hash binary, times binary, kind binary"))
-
-    def count(table: pa.Table) -> pa.Table:
-        """Totals of the words of one range, and the answer to each chunk in the order asked."""
-        table = table.sort_by("chunk")
-        hashes, times = A.gather(table, "hash", np.uint64), A.gather(table, "times", np.uint32)
-        unique, where, at = np.unique(hashes, return_index=True, return_inverse=True)
-        totals = np.bincount(at, times, len(unique)).astype(np.int64)
-        sizes = np.array([len(x) // 8 for x in table["hash"].to_pylist()])
-        stops = np.cumsum(sizes)
-        answers = [totals[at[b - s : b]].tobytes() for s, b in zip(sizes.tolist(), stops.tolist())]
-        kinds = A.gather(table, "kind", np.uint8)[where][totals > 0]
-        per_class = np.column_stack([np.bincount(kinds, totals[totals > 0], CLASSES + 1), np.bincount(kinds, minlength=CLASSES + 1)]).astype(np.int64)
-        out = {"chunk": pa.concat_arrays([pa.array([-1], pa.int32()), table["chunk"].cast(pa.int32()).combine_chunks()]), "bucket": pa.array([table["bucket"][0].as_py()] * (len(sizes) + 1), pa.int32()), "totals": pa.array([per_class.tobytes(), *answers], pa.binary())}
-        return pa.table(out)
-
-    counted = cut(asked.where("bucket >= 0").groupBy("bucket").applyInArrow(count, "chunk int, bucket int, totals binary"))
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for blob in batch["totals"].to_pylist():
-                table = np.frombuffer(blob, np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(table), dtype=np.int32)), pa.array(table[:, 0]), pa.array(table[:, 1])], ["kind", "n", "v"])
-
-    # one row for each emission class: CLASSES + 1 rows at most
-    sums = counted.where("chunk < 0").mapInArrow(pairs, "kind int, n long, v long").groupBy("kind").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()
-    class_n, class_v = np.zeros(CLASSES + 1), np.zeros(CLASSES + 1)
-    for r in sums:
-        class_n[r.kind], class_v[r.kind] = r.n, r.v
-    train_tokens, vocabulary = int(class_n.sum()), int(class_v.sum())
-
-    model = first_model()
-    emissions = asked.where("bucket < 0").select("hash", "times")
-    for _ in range(rounds if train_tokens else 0):
-        model = _improved(emissions, model)
-
-    def answer(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return SCORED.empty_table()
-        left = _sorted(left)
-        ids = left["doc_id"].to_numpy()
-        hashes, symbols, counts = _tokens(left)
-        unique, where, at = np.unique(hashes, return_index=True, return_inverse=True)
-        totals = A.gather(right.sort_by("bucket"), "totals", np.int64)  # word ranges ascend, so this is the order of unique
-        times = totals[at]
-        kinds = symbols[where]
-        text = np.repeat(np.arange(len(ids)), counts)
-        base = np.bincount(text, np.log10((totals + 1) / (train_tokens + vocabulary + 1))[at], len(ids))
-        share = np.log10((totals + 1) / (class_n + class_v + 1)[kinds])
-        share[kinds == CLASSES] = 0
-        score = log10_forward(model, symbols, counts) + np.bincount(text, share[at], len(ids))
-        known = np.bincount(text[times > 0], minlength=len(ids))
-        return pa.table([pa.array(ids), pa.array(held_out(ids)), pa.array(counts.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array([train_tokens] * len(ids), pa.int64()), pa.array(base), pa.array(score)], SCORED)
-
-    answers = counted.where("chunk >= 0")
-    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(answer, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-
-
-ASKED = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("hash", pa.binary()), ("times", pa.binary()), ("kind", pa.binary())])
-SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+def ask(table: pa.Table, buckets: int) -> pa.Table:
+    """A chunk's distinct words with their training counts, by hash range; and one row of its texts as places in the list of these words.
 
+    Places are by falling frequency and stored byte by byte, so that the upper bytes are mostly zero and compress away.
+    """
+    table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    chunk, ids = table["chunk"][0].as_py(), table["doc_id"].to_numpy()
+    hashes, lengths = _tokens(table)
+    unique, at = np.unique(hashes, return_inverse=True)
+    times = np.bincount(at[np.repeat(~held_out(ids), lengths)], minlength=len(unique)).astype(np.uint32)
+    order = np.argsort(-np.bincount(at), kind="stable")
+    place = np.empty(len(order), "<u4")
+    place[order] = np.arange(len(order))
+    planes = [p.tobytes() for p in place[at].view(np.uint8).reshape(-1, 4).T]
+    asked = A.scatter((unique >> A.U(32)).astype(np.int64) * buckets >> 32, {"hash": unique, "times": times}, {"chunk": chunk}).to_pylist()
+    texts = {"chunk": chunk, "bucket": -1, "ids": ids.tobytes(), "lengths": lengths.tobytes(), "order": order.tobytes(), "planes": planes}
+    return pa.Table.from_pylist([*asked, texts], ASKED)
 
-def _improved(emissions: DataFrame, model: Model) -> Model:
-    """One Baum-Welch pass; the counts of a task are added up before they are shuffled."""
+
+@dataclass
+class Chunk:
+    ids: np.ndarray
+    lengths: np.ndarray
+    order: np.ndarray  # words by falling frequency, as places in the list asked for
+    symbols: np.ndarray
+
+    @classmethod
+    def of(cls, table: pa.Table) -> Chunk:
+        row = table.to_pylist()[0]
+        ids, lengths, order = (np.frombuffer(row[c], np.int64) for c in ("ids", "lengths", "order"))
+        planes = np.stack([np.frombuffer(p, np.uint8) for p in row["planes"]], axis=1)
+        return cls(ids, lengths, order, planes.view("<u4").ravel())
+
+    def slices(self, texts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Some texts at a time: which, their symbols, their lengths."""
+        begin = np.cumsum(self.lengths) - self.lengths
+        which = np.flatnonzero(texts)
+        for i, j in A.slices(np.r_[0, np.cumsum(self.lengths[which])], TOKENS):
+            part = which[i:j]
+            yield part, self.symbols[A.ranges(begin[part], self.lengths[part])], self.lengths[part]
+
+
+def add_up(left: pa.Table, right: pa.Table, last: bool) -> pa.Table:
+    """Sums of a range by word, given to each chunk in the order asked, and totals by state (chunk -1); the first counts where none were sent."""
+    left, right = left.sort_by("chunk"), right.sort_by("chunk")
+    bucket, chunks = left["bucket"][0].as_py(), left["chunk"].to_pylist()
+    unique, at = np.unique(A.gather(left, "hash", np.uint64), return_inverse=True)
+    times = np.bincount(at, A.gather(left, "times", np.uint32), len(unique)).astype(np.int64)
+    if right.num_rows:
+        sent = A.gather(right, "counts", np.float32).reshape(-1, STATES)
+        sums = np.column_stack([np.bincount(at, sent[:, s], len(unique)) for s in range(STATES)])
+    else:
+        sums = first_counts(unique, times)
+    stops = np.cumsum([len(h) // 8 for h in left["hash"].to_pylist()]).tolist()
+    totals = np.r_[sums.sum(axis=0), times.sum(), (times > 0).sum()]
+    rows = [{"chunk": -1, "bucket": bucket, "sums": totals.tobytes(), "totals": b""}]
+    for chunk, a, b in zip(chunks, [0, *stops[:-1]], stops):
+        rows.append({"chunk": chunk, "bucket": bucket, "sums": sums[at[a:b]].astype(np.float32).tobytes(), "totals": times[at[a:b]].tobytes() if last else b""})
+    return pa.Table.from_pylist(rows, SUMS)
+
+
+def expect(left: pa.Table, right: pa.Table, model: Model) -> pa.Table:
+    """Expected counts of a chunk's words for each range, and its first states and moves (bucket -1)."""
+    chunk, right = Chunk.of(left), right.sort_by("bucket")
+    emit = emissions(model, A.gather(right, "sums", np.float32).astype(np.float64).reshape(-1, STATES)[chunk.order])
+    counts, cells = np.zeros(emit.shape), np.zeros(STATES + STATES**2)
+    for _, symbols, lengths in chunk.slices(~held_out(chunk.ids)):
+        cells += sweep(model, emit, symbols, lengths, counts)[1]
+    back = np.empty(counts.shape, np.float32)
+    back[chunk.order] = counts
+    number = left["chunk"][0].as_py()
+    rows, a = [{"chunk": number, "bucket": -1, "counts": cells.tobytes()}], 0
+    for bucket, sums in zip(right["bucket"].to_pylist(), right["sums"].to_pylist()):
+        b = a + len(sums) // (4 * STATES)
+        rows.append({"chunk": number, "bucket": bucket, "counts": back[a:b].tobytes()})
+        a = b
+    return pa.Table.from_pylist(rows, COUNTS)
+
+
+def judge(left: pa.Table, right: pa.Table, model: Model) -> pa.Table:
+    """Base score and model score of a chunk's texts."""
+    chunk, right = Chunk.of(left), right.sort_by("bucket")
+    emit = emissions(model, A.gather(right, "sums", np.float32).astype(np.float64).reshape(-1, STATES)[chunk.order])
+    times = A.gather(right, "totals", np.int64)[chunk.order]
+    base_of = np.log10((times + 1) / (model.words + model.kinds + 1))
+    n = len(chunk.ids)
+    known, base, score = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
+    for which, symbols, lengths in chunk.slices(np.ones(n, bool)):
+        text = np.repeat(np.arange(len(which)), lengths)
+        known[which] = np.bincount(text[times[symbols] > 0], minlength=len(which))
+        base[which] = np.bincount(text, base_of[symbols], len(which))
+        score[which] = sweep(model, emit, symbols, lengths)[0]
+    return pa.table([chunk.ids, held_out(chunk.ids), chunk.lengths, known, np.full(n, model.words, np.int64), base, score], schema=SCORED)
+
+
+def _totals(blobs: DataFrame, name: str, cells: int) -> np.ndarray:
+    """Sum of vectors of a fixed number of cells; that many rows reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
+        total = np.zeros(cells)
         for batch in batches:
-            for symbols, lengths in zip(batch["hash"], batch["times"], strict=True):
-                symbols, lengths = np.frombuffer(symbols.as_buffer(), np.uint8), np.frombuffer(lengths.as_buffer(), np.int64)
-                _, start, length = windows(lengths)
-                for a in range(0, len(start), 4096):
-                    counts = expected_counts(model, symbols, start[a : a + 4096], length[a : a + 4096])
-                    total = counts if total is None else total + counts
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], ["cell", "value"])
-
-    # states + states^2 + states * (CLASSES + 1) rows
-    cells = emissions.mapInArrow(run, "cell int, value double").groupBy("cell").agg(F.sum("value").alias("value")).collect()
-    counts = np.zeros(len(model.start) + model.move.size + model.emit.size)
-    for r in cells:
-        counts[r.cell] = r.value
-    return normalised(counts)
+            for blob in batch[name].to_pylist():
+                total = total + np.frombuffer(blob)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(cells, dtype=np.int32)), pa.array(total)], ["cell", "value"])
+
+    out = np.zeros(cells)
+    for r in blobs.select(name).mapInArrow(run, "cell int, value double").groupBy("cell").agg(F.sum("value").alias("value")).collect():
+        out[r.cell] = r.value
+    return out
+
+
+def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """Base score and model score of every document."""
+    docs = text_of(docs)
+    buckets = buckets_for(docs, 2)
+    dealt = docs.withColumn("chunk", bucket_of("doc_id", buckets))
+    asked = cut(dealt.groupBy("chunk").applyInArrow(lambda t: ask(t, buckets), ASKED_SQL))
+    texts = asked.where("bucket < 0").select("chunk", "ids", "lengths", "order", "planes")
+    wanted = asked.where("bucket >= 0").select("chunk", "bucket", "hash", "times")
+
+    def summed(counts: DataFrame, last: bool) -> tuple[DataFrame, np.ndarray]:
+        both = wanted.groupBy("bucket").cogroup(counts.where("bucket >= 0").groupBy("bucket"))
+        sums = cut(both.applyInArrow(lambda a, b: add_up(a, b, last), "chunk int, bucket int, sums binary, totals binary"))
+        return sums.where("chunk >= 0"), _totals(sums.where("chunk < 0"), "sums", STATES + 2)
+
+    def by_chunk(sums: DataFrame, work, schema: str) -> DataFrame:
+        return texts.groupBy("chunk").cogroup(sums.groupBy("chunk")).applyInArrow(work, schema)
+
+    nothing = docs.sparkSession.createDataFrame([], "chunk int, bucket int, counts binary")
+    sums, totals = summed(nothing, rounds == 0)
+    model = first_model(totals[:STATES], int(totals[-2]), int(totals[-1]))
+    for k in range(rounds):
+        counts = cut(by_chunk(sums, lambda a, b: expect(a, b, model), "chunk int, bucket int, counts binary"))
+        sums, totals = summed(counts, k == rounds - 1)
+        cells = _totals(counts.where("bucket < 0"), "counts", STATES + STATES**2)
+        model = trained(model, cells, totals[:STATES])
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return by_chunk(sums, lambda a, b: judge(a, b, model), schema)

@@ -24,6 +24,12 @@ def bucket_count(spark: SparkSession, per_partition: int = 4) -> int:
     return per_partition * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def buckets_for(texts: DataFrame, per_partition: int = 4, size: int = 64 << 20) -> int:
+    """As many buckets, or more where the texts would fill them with over ``size`` bytes each."""
+    held = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(bucket_count(texts.sparkSession, per_partition), -(-held // size))
+
+
 def bucket_of(key: Column | str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 

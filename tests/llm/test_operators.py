@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from larkspur.llm import dac, debruijn, hmm, jaccard, licences, packing, pieces, quality, repeats, suffix, topk
+from larkspur.llm import arrays as A, dac, debruijn, hmm, jaccard, licences, packing, pieces, quality, repeats, suffix, topk
 from larkspur.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -295,40 +295,91 @@ def test_trees_are_monotonic_and_learn():
     assert (np.diff(trees.score(grid).reshape(20, 200), axis=0) <= 1e-12).all()
 
 
-def test_hmm_scores(docs, nothing):
-    found = rows(hmm.score_documents(docs, rounds=2))
-    tokens = {i: [*WORD.findall((t or "").translate(ASCII_LOWER)), "\n"] for i, t in TEXTS}
-    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in tokens}
+def plain_hmm(tokens, held, rounds):
+    """Baum-Welch and scores text by text, one word after the other, without windows or chunks."""
     count = Counter(w for i, t in tokens.items() if not held[i] for w in t)
     total, kinds = sum(count.values()), len(count)
+    hashes = {w: hmm.END if w == "\n" else A.words(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w.encode())])).hash[0] for w in count}
+    dealt = {w: hmm.first_counts(np.array([hashes[w]]), np.array([n]))[0] for w, n in count.items()}
+    start, move = np.full(hmm.STATES, 1 / hmm.STATES), hmm.first_model(np.ones(hmm.STATES), 1, 1).move
+    unknown = 1 / (total + kinds + 1)
+    for k in range(rounds + 1):
+        sums = sum(dealt.values())
+        emit = {w: (1 - hmm.KEPT) * (1 - unknown) * c / sums + hmm.KEPT * (count[w] + 1) * unknown for w, c in dealt.items()}
+        scores, found = {}, {w: np.zeros(hmm.STATES) for w in count}
+        first, moves = np.zeros(hmm.STATES), np.zeros((hmm.STATES, hmm.STATES))
+        for i, t in tokens.items():
+            e = [emit.get(w, np.full(hmm.STATES, unknown)) for w in t]
+            ahead, scale = [], []
+            for n, x in enumerate(e):
+                v = (ahead[-1] @ move if n else start) * x
+                scale.append(v.sum())
+                ahead.append(v / v.sum())
+            scores[i] = sum(map(math.log10, scale))
+            if held[i]:
+                continue
+            b = np.ones(hmm.STATES)
+            for n in range(len(t) - 1, -1, -1):
+                found[t[n]] += ahead[n] * b
+                if n:
+                    moves += np.outer(ahead[n - 1], e[n] * b / scale[n]) * move
+                    b = move @ (e[n] * b / scale[n])
+            first += ahead[0] * b
+        dealt = found
+        start, move = (first + 1e-3) / (first + 1e-3).sum(), (moves + 1e-3) / (moves + 1e-3).sum(axis=1, keepdims=True)
+    return scores, count, total, kinds
+
+
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_hmm_scores(docs, nothing, rounds):
+    found = rows(hmm.score_documents(docs, rounds=rounds))
+    tokens = {i: [*WORD.findall((t or "").translate(ASCII_LOWER)), "\n"] for i, t in TEXTS}
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in tokens}
+    scores, count, total, kinds = plain_hmm(tokens, held, rounds)
     for i, t in tokens.items():
         assert found[i][1:5] == (held[i], len(t), sum(count[w] > 0 for w in t), total)
         assert found[i].base_score == pytest.approx(sum(math.log10((count[w] + 1) / (total + kinds + 1)) for w in t))
-        assert found[i].score < 0
+        assert found[i].score == pytest.approx(scores[i], rel=1e-4)
     assert hmm.score_documents(nothing).count() == 0
 
 
-def test_forward_recursion_and_training():
+def test_hmm_without_training_texts(spark):
+    held = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2]
+    found = hmm.score_documents(spark.createDataFrame([(i, "a b") for i in held], "doc_id long, text string")).collect()
+    assert {(r.n_tokens, r.n_known, r.train_tokens, r.base_score, round(r.score, 9)) for r in found} == {(3, 0, 0, 0.0, 0.0)}
+
+
+def test_hmm_is_better_than_word_shares_on_texts_it_has_not_seen(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    each = []
+    for n in (1, 3):
+        r = hmm.score_documents(docs, rounds=n).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+        each.append(r[0])
+    assert each[1] > each[0] > r[1]
+
+
+def test_forward_vectors_are_carried_over_windows():
     draw = np.random.default_rng(4)
-    model = hmm.first_model()
-    lengths = np.array([1, 3, 255, 256, 257, 900])
-    symbols = draw.integers(0, hmm.CLASSES + 1, lengths.sum()).astype(np.uint8)
-    found, at = hmm.log10_forward(model, symbols, lengths), 0
-    for k, n in enumerate(lengths):
+    counts = draw.integers(1, 50, (40, hmm.STATES)) / 1.0
+    counts += (np.rint(counts.sum(axis=1)) - counts.sum(axis=1))[:, None] / hmm.STATES
+    move = draw.dirichlet(np.ones(hmm.STATES), hmm.STATES)
+    model = hmm.Model(draw.dirichlet(np.ones(hmm.STATES)), move, counts.sum(axis=0), int(counts.sum()), 40)
+    emit = hmm.emissions(model, counts)
+    assert emit.sum(axis=0) + model.unknown == pytest.approx(np.ones(hmm.STATES))
+    lengths = np.array([1, 3, 255, 256, 257, 900, 2000])
+    symbols = draw.integers(0, 40, lengths.sum())
+    summed = np.zeros(emit.shape)
+    found, cells = hmm.sweep(model, emit, symbols, lengths, summed)
+    assert found == pytest.approx(hmm.sweep(model, emit, symbols, lengths)[0])
+    for k, at in enumerate(np.cumsum(lengths) - lengths):
         state, total = model.start, 0.0
-        for t, x in enumerate(symbols[at : at + n]):
-            state = (state if t == 0 else state @ model.move) * model.emit[x]
+        for t, x in enumerate(symbols[at : at + lengths[k]]):
+            state = (state if t == 0 else state @ move) * emit[x]
             total += math.log10(state.sum())
             state = state / state.sum()
         assert found[k] == pytest.approx(total)
-        at += n
-    skewed = (draw.integers(0, 30, 5000) + 100 * (np.arange(5000) // 500 % 2)).astype(np.uint8)
-    _, start, length = hmm.windows(np.array([5000]))
-    scores = []
-    for _ in range(4):
-        scores.append(hmm.log10_forward(model, skewed, np.array([5000]))[0])
-        model = hmm.normalised(hmm.expected_counts(model, skewed, start, length))
-    assert scores == sorted(scores) and scores[-1] > scores[0] + 1000
+    assert summed.sum(axis=1) == pytest.approx(np.bincount(symbols, minlength=40))
+    assert cells[: hmm.STATES].sum() == pytest.approx(len(lengths)) and cells[hmm.STATES :].sum() == pytest.approx((lengths - 1).sum())
 
 
 def library_ids(name):
