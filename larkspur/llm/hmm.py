@@ -6,10 +6,11 @@ state.  The first counts of a word are dealt over the states by its hash.  Baum-
 windows of ``WINDOW`` words, each becomes a matrix of scaled forward weights, and the products of these matrices carry
 the forward and backward vectors over the cuts, so no text starts anew inside.  Scoring is the scaled forward recursion, exact in the same way.
 
-The table of words and states grows with the corpus and never meets in one place.  Texts are dealt into chunks by id and
-tokenised once; words are kept as places in the list of the chunk's distinct words.  Each chunk asks for its distinct words, which are dealt by hash
-range.  A training pass is one exchange there and back: the expected counts of a chunk's words go to the ranges, are summed by word, and the
-sums go back to the chunks in the order asked.  The driver sees totals by state and moves between states alone.
+The table of words and states grows with the corpus and never meets in one place.  Texts are tokenised once, where they are read, in chunks of
+``CHUNK`` bytes; words are kept as places in the list of the chunk's distinct words.  Each chunk asks for its distinct words, which are
+dealt by hash range.  A training pass is one exchange there and back: the expected counts of a chunk's words go to the ranges, are summed by word, and
+the sums go back to the chunks in the order asked.  Both are sent as shares of the word's exact count, in steps of 1/255; the
+emissions are those of the shares that were sent, so they add up to 1.  The driver sees totals by state and moves between states alone.
 
 Edge cases: null and empty texts consist of the end token alone; rows with a null id take no part; repeated ids: every row has
 its result; with no training text every word is unknown and has probability 1, as in the base score.
@@ -17,23 +18,29 @@ its result; with no training text every word is unknown and has probability 1, a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from larkspur.llm import arrays as A
-from larkspur.llm.tables import bucket_of, buckets_for, cut, text_of
+from larkspur.llm.tables import buckets_for, cut, release_shuffles, text_of
 
 STATES, WINDOW, ROUNDS = 6, 256, 3
 KEPT = 0.1
 STAY = 0.98  # share of the first moves that stay in a state
 END = A.mix(np.array([0xE0D], A.U))[0]  # the hash that stands for the end token
 HELD_OUT = 2
-AT_ONCE = 1 << 12  # windows taken at once
-TOKENS = 1 << 21  # tokens of texts taken at once
+AT_ONCE = 1 << 10  # windows taken at once
+CHUNK = 1 << 26  # bytes of texts in a chunk; a longer text stands alone
+STEPS = 255  # a word's count is dealt over the states in so many parts
+TOKENS = 1 << 20  # tokens of texts taken at once
+
+
+CELLS = STATES + STATES**2  # first states and moves
 
 
 @dataclass
@@ -193,6 +200,7 @@ def sweep(model: Model, emit: np.ndarray, symbols: np.ndarray, lengths: np.ndarr
         first += state[-1][opens].sum(axis=0)
         goes_on = ~opens
         moves += before[part[goes_on]].T @ (given[0] * b)[goes_on]
+        del ahead, given
         x, state = np.concatenate(seen[::-1]), np.concatenate(state)
         for s in range(states):
             counts[:, s] += np.bincount(x, state[:, s], len(counts))
@@ -219,47 +227,85 @@ def _tokens(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 
 ASKED = pa.schema([
-    ("chunk", pa.int32()), ("bucket", pa.int32()), ("hash", pa.binary()), ("times", pa.binary()),
-    ("ids", pa.binary()), ("lengths", pa.binary()), ("order", pa.binary()), ("planes", pa.list_(pa.binary())),
+    ("chunk", pa.int64()), ("bucket", pa.int32()), ("hash", pa.binary()), ("times", pa.binary()),
+    ("ids", pa.binary()), ("lengths", pa.binary()), ("planes", pa.list_(pa.binary())),
 ])
-ASKED_SQL = "chunk int, bucket int, hash binary, times binary, ids binary, lengths binary, order binary, planes array<binary>"
-COUNTS = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), ("counts", pa.binary())])
-SUMS = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), ("sums", pa.binary()), ("totals", pa.binary())])
+ASKED_SQL = "chunk long, bucket int, hash binary, times binary, ids binary, lengths binary, planes array<binary>"
+COUNTS = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("counts", pa.binary()), ("cells", pa.binary())])
+COUNTS_SQL = "chunk long, bucket int, counts binary, cells binary"
+SUMS = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("sums", pa.binary()), ("totals", pa.binary()), ("places", pa.binary()), ("times", pa.binary())])
+SUMS_SQL = "chunk long, bucket int, sums binary, totals binary, places binary, times binary"
 SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
-def ask(table: pa.Table, buckets: int) -> pa.Table:
-    """A chunk's distinct words with their training counts, by hash range; and one row of its texts as places in the list of these words.
+def planes(values: np.ndarray) -> list[bytes]:
+    """Numbers byte by byte, the lowest bytes first: the upper ones are mostly zero and compress away."""
+    return [p.tobytes() for p in values.view(np.uint8).reshape(len(values), values.itemsize).T]
+
+
+def packed(values: np.ndarray) -> bytes:
+    return b"".join(planes(values))
+
+
+def unpacked(blobs: list[bytes], dtype: object) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    return np.concatenate([np.zeros(0, dtype), *(np.frombuffer(b, np.uint8).reshape(size, -1).T.copy().view(dtype).ravel() for b in blobs)])
 
-    Places are by falling frequency and stored byte by byte, so that the upper bytes are mostly zero and compress away.
-    """
-    table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-    chunk, ids = table["chunk"][0].as_py(), table["doc_id"].to_numpy()
-    hashes, lengths = _tokens(table)
+
+def shares(counts: np.ndarray) -> np.ndarray:
+    """Counts of words by state as parts of ``STEPS``."""
+    return np.rint(STEPS * counts / np.maximum(counts.sum(axis=1, keepdims=True), 1e-300)).astype(np.uint8)
+
+
+def dealt(times: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    """Counts of words dealt over the states by such parts."""
+    return times[:, None] * (parts / np.maximum(parts.sum(axis=1, keepdims=True, dtype=np.int64), 1))
+
+
+def ask(ids: np.ndarray, texts: pa.Array, chunk: int, buckets: int) -> pa.Table:
+    """A chunk's distinct words with their training counts, by hash range; and one row of its texts as places in the list of these words."""
+    hashes, lengths = _tokens(pa.table({"text": texts}))
     unique, at = np.unique(hashes, return_inverse=True)
     times = np.bincount(at[np.repeat(~held_out(ids), lengths)], minlength=len(unique)).astype(np.uint32)
-    order = np.argsort(-np.bincount(at), kind="stable")
-    place = np.empty(len(order), "<u4")
-    place[order] = np.arange(len(order))
-    planes = [p.tobytes() for p in place[at].view(np.uint8).reshape(-1, 4).T]
     asked = A.scatter((unique >> A.U(32)).astype(np.int64) * buckets >> 32, {"hash": unique, "times": times}, {"chunk": chunk}).to_pylist()
-    texts = {"chunk": chunk, "bucket": -1, "ids": ids.tobytes(), "lengths": lengths.tobytes(), "order": order.tobytes(), "planes": planes}
-    return pa.Table.from_pylist([*asked, texts], ASKED)
+    row = {"chunk": chunk, "bucket": -1, "ids": ids.tobytes(), "lengths": lengths.tobytes(), "planes": planes(at.astype(np.uint32))}
+    return pa.Table.from_pylist([*asked, row], ASKED)
+
+
+def asking(docs: DataFrame, buckets: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, size = TaskContext.get().partitionId() << 32, [], 0
+
+        def chunk() -> list[pa.RecordBatch]:
+            table = pa.Table.from_batches(held)
+            return ask(table["doc_id"].to_numpy(), table["text"].cast(pa.large_string()), number, buckets).to_batches()
+
+        for batch in batches:
+            _, offsets = A.flat(batch["text"])
+            for i, j in A.slices(offsets, CHUNK):
+                more = int(offsets[j] - offsets[i])
+                if held and size + more > CHUNK:
+                    yield from chunk()
+                    number, held, size = number + 1, [], 0
+                held.append(batch.slice(i, j - i))
+                size += more
+        if held:
+            yield from chunk()
+
+    return docs.select("doc_id", "text").mapInArrow(run, ASKED_SQL)
 
 
 @dataclass
 class Chunk:
     ids: np.ndarray
     lengths: np.ndarray
-    order: np.ndarray  # words by falling frequency, as places in the list asked for
     symbols: np.ndarray
 
     @classmethod
     def of(cls, table: pa.Table) -> Chunk:
         row = table.to_pylist()[0]
-        ids, lengths, order = (np.frombuffer(row[c], np.int64) for c in ("ids", "lengths", "order"))
-        planes = np.stack([np.frombuffer(p, np.uint8) for p in row["planes"]], axis=1)
-        return cls(ids, lengths, order, planes.view("<u4").ravel())
+        columns = np.stack([np.frombuffer(p, np.uint8) for p in row["planes"]], axis=1)
+        return cls(np.frombuffer(row["ids"], np.int64), np.frombuffer(row["lengths"], np.int64), columns.view(np.uint32).ravel())
 
     def slices(self, texts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Some texts at a time: which, their symbols, their lengths."""
@@ -270,48 +316,67 @@ class Chunk:
             yield part, self.symbols[A.ranges(begin[part], self.lengths[part])], self.lengths[part]
 
 
-def add_up(left: pa.Table, right: pa.Table, last: bool) -> pa.Table:
-    """Sums of a range by word, given to each chunk in the order asked, and totals by state (chunk -1); the first counts where none were sent."""
-    left, right = left.sort_by("chunk"), right.sort_by("chunk")
-    bucket, chunks = left["bucket"][0].as_py(), left["chunk"].to_pylist()
-    unique, at = np.unique(A.gather(left, "hash", np.uint64), return_inverse=True)
-    times = np.bincount(at, A.gather(left, "times", np.uint32), len(unique)).astype(np.int64)
-    if right.num_rows:
-        sent = A.gather(right, "counts", np.float32).reshape(-1, STATES)
-        sums = np.column_stack([np.bincount(at, sent[:, s], len(unique)) for s in range(STATES)])
-    else:
-        sums = first_counts(unique, times)
-    stops = np.cumsum([len(h) // 8 for h in left["hash"].to_pylist()]).tolist()
-    totals = np.r_[sums.sum(axis=0), times.sum(), (times > 0).sum()]
-    rows = [{"chunk": -1, "bucket": bucket, "sums": totals.tobytes(), "totals": b""}]
+def answers(bucket: int, chunks: list[int], sizes: list[int], at: np.ndarray, times: np.ndarray, sums: np.ndarray, cells: np.ndarray) -> list[dict]:
+    """Rows for the chunks, in the order asked, and one of totals (chunk -1): by state, training words, distinct ones, then cells."""
+    parts = shares(sums)
+    totals = np.r_[dealt(times, parts).sum(axis=0), times.sum(), (times > 0).sum(), cells]
+    rows, stops = [{"chunk": -1, "bucket": bucket, "sums": totals.tobytes()}], np.cumsum(sizes).tolist()
     for chunk, a, b in zip(chunks, [0, *stops[:-1]], stops):
-        rows.append({"chunk": chunk, "bucket": bucket, "sums": sums[at[a:b]].astype(np.float32).tobytes(), "totals": times[at[a:b]].tobytes() if last else b""})
+        rows.append({"chunk": chunk, "bucket": bucket, "sums": parts[at[a:b]].tobytes(), "totals": packed(times[at[a:b]])})
+    return rows
+
+
+def index(table: pa.Table) -> pa.Table:
+    """First answers of a range; what it has to know in later passes stands beside them: places of the words asked for, as steps, and their counts."""
+    table = table.sort_by("chunk")
+    bucket, sizes = table["bucket"][0].as_py(), [len(h) // 8 for h in table["hash"].to_pylist()]
+    unique, at = np.unique(A.gather(table, "hash", np.uint64), return_inverse=True)
+    sent = A.gather(table, "times", np.uint32)
+    times = np.bincount(at, sent, len(unique)).astype(np.int64)
+    rows = answers(bucket, table["chunk"].to_pylist(), sizes, at, times, first_counts(unique, times), np.zeros(CELLS))
+    stops = np.cumsum(sizes).tolist()
+    for row, a, b in zip(rows[1:], [0, *stops[:-1]], stops):
+        row["places"], row["times"] = packed(np.diff(at[a:b], prepend=0).astype(np.uint32)), packed(sent[a:b])
     return pa.Table.from_pylist(rows, SUMS)
 
 
+def add_up(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Sums of a range by word from the counts that the chunks sent."""
+    left, right = left.sort_by("chunk"), right.sort_by("chunk")
+    steps = [unpacked([p], np.uint32) for p in left["places"].to_pylist()]
+    at = np.concatenate([np.cumsum(x, dtype=np.int64) for x in steps])
+    sent = unpacked(left["times"].to_pylist(), np.uint32)
+    counts = dealt(sent, A.gather(right, "counts", np.uint8).reshape(-1, STATES))
+    n = int(at.max()) + 1
+    sums = np.column_stack([np.bincount(at, counts[:, s], n) for s in range(STATES)])
+    cells = sum((np.frombuffer(c) for c in right["cells"].to_pylist() if c is not None), np.zeros(CELLS))
+    return pa.Table.from_pylist(answers(left["bucket"][0].as_py(), left["chunk"].to_pylist(), list(map(len, steps)), at, np.bincount(at, sent, n).astype(np.int64), sums, cells), SUMS)
+
+
+def told(chunk: pa.Table, sums: pa.Table, model: Model) -> tuple[Chunk, np.ndarray, np.ndarray]:
+    """A chunk, the training counts of its words, their emissions."""
+    times = unpacked(sums["totals"].to_pylist(), np.int64)
+    return Chunk.of(chunk), times, emissions(model, dealt(times, A.gather(sums, "sums", np.uint8).reshape(-1, STATES)))
+
+
 def expect(left: pa.Table, right: pa.Table, model: Model) -> pa.Table:
-    """Expected counts of a chunk's words for each range, and its first states and moves (bucket -1)."""
-    chunk, right = Chunk.of(left), right.sort_by("bucket")
-    emit = emissions(model, A.gather(right, "sums", np.float32).astype(np.float64).reshape(-1, STATES)[chunk.order])
-    counts, cells = np.zeros(emit.shape), np.zeros(STATES + STATES**2)
+    """Expected counts of a chunk's words for each range; its first states and moves go with the first one."""
+    right = right.sort_by("bucket")
+    chunk, _, emit = told(left, right, model)
+    counts, cells = np.zeros(emit.shape), np.zeros(CELLS)
     for _, symbols, lengths in chunk.slices(~held_out(chunk.ids)):
         cells += sweep(model, emit, symbols, lengths, counts)[1]
-    back = np.empty(counts.shape, np.float32)
-    back[chunk.order] = counts
-    number = left["chunk"][0].as_py()
-    rows, a = [{"chunk": number, "bucket": -1, "counts": cells.tobytes()}], 0
+    parts, rows, a = shares(counts), [], 0
     for bucket, sums in zip(right["bucket"].to_pylist(), right["sums"].to_pylist()):
-        b = a + len(sums) // (4 * STATES)
-        rows.append({"chunk": number, "bucket": bucket, "counts": back[a:b].tobytes()})
+        b = a + len(sums) // STATES
+        rows.append({"chunk": left["chunk"][0].as_py(), "bucket": bucket, "counts": parts[a:b].tobytes(), "cells": None if a else cells.tobytes()})
         a = b
     return pa.Table.from_pylist(rows, COUNTS)
 
 
 def judge(left: pa.Table, right: pa.Table, model: Model) -> pa.Table:
     """Base score and model score of a chunk's texts."""
-    chunk, right = Chunk.of(left), right.sort_by("bucket")
-    emit = emissions(model, A.gather(right, "sums", np.float32).astype(np.float64).reshape(-1, STATES)[chunk.order])
-    times = A.gather(right, "totals", np.int64)[chunk.order]
+    chunk, times, emit = told(left, right.sort_by("bucket"), model)
     base_of = np.log10((times + 1) / (model.words + model.kinds + 1))
     n = len(chunk.ids)
     known, base, score = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
@@ -323,46 +388,45 @@ def judge(left: pa.Table, right: pa.Table, model: Model) -> pa.Table:
     return pa.table([chunk.ids, held_out(chunk.ids), chunk.lengths, known, np.full(n, model.words, np.int64), base, score], schema=SCORED)
 
 
-def _totals(blobs: DataFrame, name: str, cells: int) -> np.ndarray:
-    """Sum of vectors of a fixed number of cells; that many rows reach the driver."""
+def _totals(sums: DataFrame) -> np.ndarray:
+    """Sum of the totals of all ranges; one row for each cell reaches the driver."""
+    cells = STATES + 2 + CELLS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(cells)
         for batch in batches:
-            for blob in batch[name].to_pylist():
+            for blob in batch["sums"].to_pylist():
                 total = total + np.frombuffer(blob)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(cells, dtype=np.int32)), pa.array(total)], ["cell", "value"])
 
     out = np.zeros(cells)
-    for r in blobs.select(name).mapInArrow(run, "cell int, value double").groupBy("cell").agg(F.sum("value").alias("value")).collect():
+    for r in sums.where("chunk < 0").select("sums").mapInArrow(run, "cell int, value double").groupBy("cell").agg(F.sum("value").alias("value")).collect():
         out[r.cell] = r.value
     return out
 
 
 def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """Base score and model score of every document."""
-    docs = text_of(docs)
+    spark, docs = docs.sparkSession, text_of(docs)
     buckets = buckets_for(docs, 2)
-    dealt = docs.withColumn("chunk", bucket_of("doc_id", buckets))
-    asked = cut(dealt.groupBy("chunk").applyInArrow(lambda t: ask(t, buckets), ASKED_SQL))
-    texts = asked.where("bucket < 0").select("chunk", "ids", "lengths", "order", "planes")
-    wanted = asked.where("bucket >= 0").select("chunk", "bucket", "hash", "times")
-
-    def summed(counts: DataFrame, last: bool) -> tuple[DataFrame, np.ndarray]:
-        both = wanted.groupBy("bucket").cogroup(counts.where("bucket >= 0").groupBy("bucket"))
-        sums = cut(both.applyInArrow(lambda a, b: add_up(a, b, last), "chunk int, bucket int, sums binary, totals binary"))
-        return sums.where("chunk >= 0"), _totals(sums.where("chunk < 0"), "sums", STATES + 2)
-
-    def by_chunk(sums: DataFrame, work, schema: str) -> DataFrame:
-        return texts.groupBy("chunk").cogroup(sums.groupBy("chunk")).applyInArrow(work, schema)
-
-    nothing = docs.sparkSession.createDataFrame([], "chunk int, bucket int, counts binary")
-    sums, totals = summed(nothing, rounds == 0)
-    model = first_model(totals[:STATES], int(totals[-2]), int(totals[-1]))
-    for k in range(rounds):
-        counts = cut(by_chunk(sums, lambda a, b: expect(a, b, model), "chunk int, bucket int, counts binary"))
-        sums, totals = summed(counts, k == rounds - 1)
-        cells = _totals(counts.where("bucket < 0"), "counts", STATES + STATES**2)
-        model = trained(model, cells, totals[:STATES])
+    asked = cut(asking(docs, buckets))
+    texts = asked.where("bucket < 0").select("chunk", "ids", "lengths", "planes")
+    sums = cut(asked.where("bucket >= 0").select("chunk", "bucket", "hash", "times").groupBy("bucket").applyInArrow(index, SUMS_SQL))
+    release_shuffles(spark)
+    known = sums.where("chunk >= 0").select("chunk", "bucket", "places", "times")
+
+    def by_chunk(work: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+        told_back = sums.where("chunk >= 0").select("chunk", "bucket", "sums", "totals")
+        return texts.groupBy("chunk").cogroup(told_back.groupBy("chunk")).applyInArrow(work, schema)
+
+    totals = _totals(sums)
+    model = first_model(totals[:STATES], int(totals[STATES]), int(totals[STATES + 1]))
+    for _ in range(rounds):
+        counts = by_chunk(lambda a, b: expect(a, b, model), COUNTS_SQL)
+        sums = cut(known.groupBy("bucket").cogroup(counts.groupBy("bucket")).applyInArrow(add_up, SUMS_SQL))
+        del counts
+        release_shuffles(spark)
+        totals = _totals(sums)
+        model = trained(model, totals[STATES + 2 :], totals[:STATES])
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return by_chunk(sums, lambda a, b: judge(a, b, model), schema)
+    return by_chunk(lambda a, b: judge(a, b, model), schema)

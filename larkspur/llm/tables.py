@@ -49,6 +49,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let executors delete the shuffle files of steps that are written: Spark drops them once the driver has collected their plans as garbage."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def reliable(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 

@@ -339,7 +339,7 @@ def test_hmm_scores(docs, nothing, rounds):
     for i, t in tokens.items():
         assert found[i][1:5] == (held[i], len(t), sum(count[w] > 0 for w in t), total)
         assert found[i].base_score == pytest.approx(sum(math.log10((count[w] + 1) / (total + kinds + 1)) for w in t))
-        assert found[i].score == pytest.approx(scores[i], rel=1e-4)
+        assert found[i].score == pytest.approx(scores[i], rel=5e-3)  # counts are sent in steps of 1/255
     assert hmm.score_documents(nothing).count() == 0
 
 
