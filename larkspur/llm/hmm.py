@@ -34,10 +34,10 @@ KEPT = 0.1
 STAY = 0.98  # share of the first moves that stay in a state
 END = A.mix(np.array([0xE0D], A.U))[0]  # the hash that stands for the end token
 HELD_OUT = 2
-AT_ONCE = 1 << 10  # windows taken at once
+AT_ONCE = 1 << 8  # windows taken at once, more where they are short
 CHUNK = 1 << 26  # bytes of texts in a chunk; a longer text stands alone
 STEPS = 255  # a word's count is dealt over the states in so many parts
-TOKENS = 1 << 20  # tokens of texts taken at once
+TOKENS = 1 << 19  # tokens of texts taken at once
 
 
 CELLS = STATES + STATES**2  # first states and moves
@@ -163,8 +163,10 @@ def sweep(model: Model, emit: np.ndarray, symbols: np.ndarray, lengths: np.ndarr
     before, after = carried(model, emit, symbols, w, counts is not None)
     log, first, moves = np.zeros(len(w.text)), np.zeros(states), np.zeros((states, states))
     order = np.argsort(-w.length, kind="stable")
-    for i in range(0, len(order), AT_ONCE):
-        part = order[i : i + AT_ONCE]
+    i = 0
+    while i < len(order):
+        part = order[i : i + max(AT_ONCE, AT_ONCE * WINDOW // int(w.length[order[i]]))]  # as many words at most
+        i += len(part)
         start, length, opens = w.start[part], w.length[part], w.opens[part]
         total, a = np.zeros(len(part)), before[part]
         ahead, seen, given = [], [], []
@@ -265,10 +267,12 @@ def dealt(times: np.ndarray, parts: np.ndarray) -> np.ndarray:
 def ask(ids: np.ndarray, texts: pa.Array, chunk: int, buckets: int) -> pa.Table:
     """A chunk's distinct words with their training counts, by hash range; and one row of its texts as places in the list of these words."""
     hashes, lengths = _tokens(pa.table({"text": texts}))
-    unique, at = np.unique(hashes, return_inverse=True)
+    unique = np.unique(hashes)
+    at = np.searchsorted(unique, hashes).astype(np.uint32)
+    del hashes
     times = np.bincount(at[np.repeat(~held_out(ids), lengths)], minlength=len(unique)).astype(np.uint32)
     asked = A.scatter((unique >> A.U(32)).astype(np.int64) * buckets >> 32, {"hash": unique, "times": times}, {"chunk": chunk}).to_pylist()
-    row = {"chunk": chunk, "bucket": -1, "ids": ids.tobytes(), "lengths": lengths.tobytes(), "planes": planes(at.astype(np.uint32))}
+    row = {"chunk": chunk, "bucket": -1, "ids": ids.tobytes(), "lengths": lengths.tobytes(), "planes": planes(at)}
     return pa.Table.from_pylist([*asked, row], ASKED)
 
 
