@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RankingEvaluator, RegressionEvaluator
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Window, functions as F
 
 from larkspur.operators import classify as cl, clustering as km, evaluate as ev, recommend as rec, similarity as sim
@@ -176,6 +177,29 @@ def test_model_assignment_equals_prediction(spark):
     assert [(r["k"], r["clusters"]) for r in scored.orderBy("k").collect()] == [(2, 2), (4, 4), (500, 200)]
 
 
+def test_sweeps_of_narrow_rows_multiply_blocks(spark, monkeypatch):
+    draw = np.random.default_rng(3)
+    plain = km.KMeans._fit
+    used = {}
+    monkeypatch.setattr(km.KMeans, "_fit", lambda self, df: used.setdefault(self.getK(), []).append(self.getSolver()) or plain(self, df))
+
+    def sweep(values):
+        used.clear()
+        rows = spark.createDataFrame([(Vectors.dense(v),) for v in values], ["features"]).coalesce(1).cache()
+        swept = {r["k"]: r["mean_distance"] for r in km.sweep(rows, [3, 40]).collect()}
+        solvers = {k: s[0] for k, s in used.items()}
+        for k, score in swept.items():
+            model = km.KMeans(k=k, maxIter=km.SWEEP_ITERATIONS, tol=km.SWEEP_TOLERANCE, seed=11, predictionCol="cluster", solver="row").fit(rows)
+            assert score == pytest.approx(km.mean_distance(km.assign_by_model(rows, model)).first()[0], rel=1e-9)
+        return solvers
+
+    near = draw.normal(size=(500, 4))
+    assert sweep(near) == {3: "block", 40: "block"}
+    # products would lose the places that tell these rows apart, and do not pay for wide ones
+    assert set(sweep(near + 1.0e9).values()) == {"auto"}
+    assert set(sweep(draw.normal(size=(200, 20))).values()) == {"auto"}
+
+
 # --- similarity ---------------------------------------------------------------------------
 
 
