@@ -34,6 +34,8 @@ from larkspur.session import stored_copy
 # Sizes and document-frequency floors of the three text vocabularies.
 CONTENT_TERMS, TITLE_TERMS, TAG_TERMS = 2000, 800, 400
 CONTENT_MIN_DOCS, TITLE_MIN_DOCS, TAG_MIN_DOCS = 3, 2, 1
+#: Words that the n-grams of a vocabulary may be made of; where more are as frequent, all n-grams are counted.
+MAX_FREQUENT = 100_000
 LABEL, FEATURES, PREDICTION = "categoryIndex", "normIdfFeatures", "prediction"
 
 
@@ -117,6 +119,64 @@ def term_table(df: DataFrame, tokens: str, size: int, min_docs: int) -> TermTabl
     return TermTable([r["term"] for r in rows], [r["tf"] for r in rows], [r["df"] for r in rows], [r["squares"] for r in rows], df.count())
 
 
+def _in_order(terms: list[tuple]) -> list[tuple]:
+    """Rows of (term, tf, ...) as a vocabulary has them: by falling tf, then by the bytes of the term."""
+    return sorted(terms, key=lambda r: (-r[1], r[0].encode()))
+
+
+def frequent_ngrams(df: DataFrame, words: str, n: int, size: int, min_docs: int) -> tuple[list[str], int, bool] | None:
+    """The ``size`` most frequent 1- to ``n``-grams of a word column, without counting all n-grams.
+
+    Each occurrence of an n-gram is one of all its words, so an n-gram that is found ``floor`` times is made of words found
+    as often.  With the tf of the word in place ``size`` as the floor, few words are left, and the n-grams counted are at most
+    the combinations of these, however large the input is.  Returns the terms, the floor, and whether these are all terms with
+    that tf; None where more than MAX_FREQUENT words reach the floor.  Words must not hold spaces.
+    """
+    spark = df.sparkSession
+    counts = df.select(F.explode(words).alias("term")).where("term is not null").groupBy("term").agg(F.count("*").alias("tf"))
+    counts = stored_copy(counts.where(F.col("tf") >= min_docs), "words")
+    first = [(r["term"], r["tf"]) for r in counts.orderBy(F.desc("tf"), "term").limit(size).collect()]
+    floor = max(min_docs, first[-1][1]) if len(first) == size else min_docs
+    common = [(r["term"], r["tf"]) for r in counts.where(F.col("tf") >= floor).limit(MAX_FREQUENT + 1).collect()]
+    if len(common) > MAX_FREQUENT:
+        return None
+    found = list(common)
+    names = F.broadcast(spark.createDataFrame([(at, w) for at, (w, _) in enumerate(common)], "at int, word string"))
+    for level in range(2, n + 1):
+        length = F.greatest(F.size(words) - (level - 1), F.lit(0))
+        columns = [F.slice(words, k + 1, length).alias(f"w{k}") for k in range(level)]
+        grams = df.select(F.explode(F.arrays_zip(*columns)).alias("_g")).select("_g.*")
+        for k in range(level):
+            grams = grams.join(names.select(F.col("at").alias(f"a{k}"), F.col("word").alias(f"w{k}")), f"w{k}").drop(f"w{k}")
+        places = [f"a{k}" for k in range(level)]
+        often = grams.groupBy(*places).agg(F.count("*").alias("tf")).where(F.col("tf") >= floor)
+        for k in range(level):
+            often = often.join(names.select(F.col("at").alias(f"a{k}"), F.col("word").alias(f"w{k}")), f"a{k}")
+        often = often.select(F.concat_ws(" ", *[f"w{k}" for k in range(level)]).alias("term"), "tf")
+        found += [(r["term"], r["tf"]) for r in often.orderBy(F.desc("tf"), "term").limit(size + 1).collect()]
+    return [term for term, _ in _in_order(found)[:size]], floor, len(found) <= size
+
+
+def ngram_table(df: DataFrame, words: str, terms: str, n: int, size: int, min_docs: int) -> TermTable:
+    """As :func:`term_table`, for n-grams of a word column: the same rows, but only n-grams that may be among them are counted.
+
+    Twice as many terms as asked for are looked at, as some are found in too few documents; where that does not settle it, all are counted.
+    """
+    chosen = frequent_ngrams(df, words, n, 2 * size, min_docs)
+    if chosen is None:
+        return term_table(df, terms, size, min_docs)
+    candidates, floor, complete = chosen
+    vectors = count_vectorizer(candidates, terms, "_v").transform(df.select(terms))
+    value = F.col("value").cast("bigint")
+    sums = sparse_entries(vectors, "_v").groupBy("index").agg(F.sum(value).alias("tf"), F.count("*").alias("df"), F.sum(value * value).alias("squares"))
+    # as many rows as there are candidates
+    rows = [(candidates[r["index"]], r["tf"], r["df"], r["squares"]) for r in sums.collect() if candidates and r["df"] >= min_docs]
+    rows = _in_order(rows)[:size]
+    if len(rows) < size and not (complete and floor <= min_docs):
+        return term_table(df, terms, size, min_docs)
+    return TermTable([r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows], [r[3] for r in rows], df.count())
+
+
 def build_vocabulary(df: DataFrame, tokens: str, size: int, min_docs: int) -> DataFrame:
     """The ``size`` most frequent terms found in at least ``min_docs`` documents.
 
@@ -263,6 +323,8 @@ def vector_stages(recipe: TextRecipe, table: TermTable) -> list:
 
 
 def _table_of(tokens: DataFrame, recipe: TextRecipe) -> TermTable:
+    if recipe.n > 1:
+        return ngram_table(tokens, recipe.kept, recipe.terms, recipe.n, recipe.size, recipe.min_docs)
     return term_table(tokens, recipe.terms, recipe.size, recipe.min_docs)
 
 
