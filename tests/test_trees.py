@@ -66,3 +66,24 @@ def test_folds_of_shared_fits(mixed):
     for (params, fold), score in got.items():
         model = _tree(maxDepth=int(params[-1])).fit(mixed.where(f"fold <> {fold}"))
         assert score == cl.scores(model, mixed.where(f"fold = {fold}"), ["f1"], "label")[0]
+
+
+@pytest.mark.parametrize("name, fits_of", [("tree_grid", 2), ("refit_best", 3), ("tree_categorical", 3), ("ovr_tree_grid", 6), ("cv_tree", 20)])
+def test_queries_fit_every_point(spark, monkeypatch, name, fits_of):
+    """Each point of a grid is a fit of its own, for each class and fold, and so is the refit."""
+    from larkspur.plans import model_queries as q
+
+    draw = random.Random(2)
+    made = [(k, "abc"[k % 3], float(k % 3), Vectors.dense([draw.random() for _ in range(10)] + [float(k % 4), float(k % 40)])) for k in range(200)]
+    rows = spark.createDataFrame(made, ["doc_id", "category", cl.LABEL, cl.FEATURES]).cache()
+    cover = rows.toDF("l_orderkey", "category", "label", "features").drop("category")
+    monkeypatch.setattr(q, "_labelled", lambda *_: rows)
+    monkeypatch.setattr(q, "_cover", lambda *_: cl.declare_categories(cover, "features", cl.COVER_WIDTH, cl.COVER_CATEGORIES))
+    for grid in ("TREE_GRID", "OVR_TREE_GRID"):
+        monkeypatch.setattr(cl, grid, {"impurity": ["gini"], "maxDepth": [2, 5], "maxBins": [40]})
+    fits = []
+    plain = DecisionTreeClassifier._fit
+    monkeypatch.setattr(DecisionTreeClassifier, "_fit", lambda self, df: fits.append(self.getMaxDepth()) or plain(self, df))
+    found = getattr(q, name)(spark, "").collect()
+    assert len(found) == (1 if name == "refit_best" else 2) and len(fits) == fits_of
+    assert {2, 5} <= set(fits)
