@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
+import numpy as np
 from py4j.protocol import Py4JJavaError
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import vector_to_array
@@ -11,6 +13,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 from larkspur.functions.vectors import as_vector, euclidean, nearest_centre
+from larkspur.operators import lloyd
 from larkspur.operators.parallel import run_all
 from larkspur.session import fitting
 
@@ -29,6 +32,8 @@ PRODUCT_WIDTH = 8
 #: Squared means over variances beyond which products of rows and centres lose the places that tell centres apart.
 MOST_OFFSET = 1.0e6
 ANOMALY_CLUSTERS, ANOMALY_RANK = 150, 100
+#: Rows from which all fits of a sweep are made in shared passes; a pass over fewer takes less time than its start.
+SHARED_ROWS = 200_000
 
 
 def steps(sweep: tuple[int, int, int]) -> list[int]:
@@ -53,6 +58,17 @@ def block_solver(df: DataFrame, features: str = "features") -> int:
     return len(s["mean"]) if near and len(s["mean"]) <= PRODUCT_WIDTH else 0
 
 
+@contextmanager
+def shared_passes(df: DataFrame, features: str, label: str | None = None) -> Iterator[tuple[DataFrame, np.ndarray] | None]:
+    """The rows for fits in shared passes (lloyd.py) and a point near their mean; nothing for few rows, or numbers that are not finite."""
+    if df.count() < SHARED_ROWS:
+        yield None
+        return
+    with lloyd.packed(df, features, label) as data:
+        near = lloyd.origin(data)
+        yield None if near is None else (data, near)
+
+
 def fit_in_blocks(df: DataFrame, k: int, max_iter: int, tol: float, seed: int, features: str, width: int) -> KMeansModel:
     """The same fit by products of blocks; row by row where the start finds fewer than k centres, which blocks are not made for."""
     size = PRODUCT_BYTES / k * width / (1 << 20)
@@ -124,6 +140,14 @@ def weighted_entropy(df: DataFrame, cluster: str = "cluster", label: str = "labe
     return per_cluster.agg(weighted.alias("weighted_entropy"))
 
 
+def _shared_entropy(data: DataFrame, centres: dict[int, np.ndarray], near: np.ndarray) -> dict[int, float]:
+    counts = lloyd.label_counts(data, centres, near)
+    per_cluster = entropy_of_counts(counts, "n", "k", "cluster")
+    weighted = F.sum(F.col("size") * F.col("entropy")) / F.sum("size")
+    # one row for each k
+    return {r["k"]: float(r["e"]) for r in per_cluster.groupBy("k").agg(weighted.alias("e")).collect()}
+
+
 def sweep(
     df: DataFrame,
     ks: Sequence[int],
@@ -142,6 +166,14 @@ def sweep(
     fewer than k where there are fewer distinct rows.
     """
     columns = [features] + ([label] if label else [])
+    name = "weighted_entropy" if label else "mean_distance"
+    schema = f"k int, clusters int, {name} double"
+    with shared_passes(df, features, label) as shared:
+        if shared:
+            data, near = shared
+            centres = lloyd.fit(data, ks, max_iter, tol, seed, near)
+            values = _shared_entropy(data, centres, near) if label else lloyd.mean_distances(data, centres, near)
+            return df.sparkSession.createDataFrame([(k, len(centres[k]), values[k]) for k in ks], schema)
     with fitting(df, *columns) as data:
         width = block_solver(data, features)
 
@@ -155,8 +187,7 @@ def sweep(
             return k, len(model.clusterCenters()), float(value)
 
         scores = run_all(score, list(ks), parallelism)
-    name = "weighted_entropy" if label else "mean_distance"
-    return df.sparkSession.createDataFrame(scores, f"k int, clusters int, {name} double")
+    return df.sparkSession.createDataFrame(scores, schema)
 
 
 def distance_threshold(df: DataFrame, rank: int = ANOMALY_RANK, distance: str = "distance") -> float | None:
@@ -167,7 +198,10 @@ def distance_threshold(df: DataFrame, rank: int = ANOMALY_RANK, distance: str =
 
 def distance_anomalies(df: DataFrame, rank: int = ANOMALY_RANK, distance: str = "distance") -> DataFrame:
     """Rows strictly farther from their centre than the threshold."""
-    threshold = distance_threshold(df, rank, distance)
+    return _beyond(df, distance_threshold(df, rank, distance), distance)
+
+
+def _beyond(df: DataFrame, threshold: float | None, distance: str = "distance") -> DataFrame:
     return df.filter(F.col(distance) > F.lit(threshold).cast("double"))
 
 
@@ -180,7 +214,12 @@ def anomaly_detector(
     df: DataFrame, k: int = ANOMALY_CLUSTERS, rank: int = ANOMALY_RANK, seed: int = 11, features: str = "features"
 ) -> DataFrame:
     """Fit k-means on (already scaled) vectors and return the anomalous rows with their distance."""
+    with shared_passes(df, features) as shared:
+        if shared:
+            centres = lloyd.fit(shared[0], [k], SWEEP_ITERATIONS, SWEEP_TOLERANCE, seed, shared[1])[k]
+            threshold = lloyd.distance_of_rank(shared[0], centres, shared[1], rank)
+            return _beyond(lloyd.assign(df, centres, features, shared[1]), threshold)
     with fitting(df, features) as data:
         model = kmeans_fit(data, k, SWEEP_ITERATIONS, SWEEP_TOLERANCE, seed, features)
         threshold = distance_threshold(assign_by_model(data, model, features), rank)
-    return assign_by_model(df, model, features).filter(F.col("distance") > F.lit(threshold).cast("double"))
+    return _beyond(assign_by_model(df, model, features), threshold)
