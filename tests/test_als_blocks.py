@@ -54,3 +54,18 @@ def test_grid_fits_share_the_cores(spark, ratings, made, monkeypatch):
     found = rec.als_grid(train, test, ratings, grid, max_iter=2, parallelism=4)
     assert found.count() == 3
     assert {s["numUserBlocks"] for s in made} == {2}
+
+
+def test_blocks_hold_some_million_ratings(spark):
+    """What a task holds does not grow with the ratings; the ids are so many that few blocks are asked for."""
+    ratings = spark.range(40_000_000).selectExpr("id % 5000000 as user", "id % 3999999 as item", "1.0D as rating")
+    assert rec.als_blocks(ratings, 10, 10) == 5
+
+
+def test_checkpoints_of_explicit_fits(ratings, made):
+    def factors(**more):
+        model = rec.als_fit(ratings, maxIter=5, **more)
+        return [sorted(map(tuple, f.collect())) for f in (model.userFactors, model.itemFactors)]
+
+    assert factors() == factors(checkpointInterval=10)
+    assert made[0]["checkpointInterval"] < 5
