@@ -76,3 +76,11 @@ def test_linear_fits_are_few_tasks_in_the_comparison(rows, monkeypatch):
         for kind, build in kinds.items():
             each = [cl.scores(build(features="features", label="label").fit(folded.where(f"fold <> {i}")), folded.where(f"fold = {i}"), ["f1"], "label")[0] for i in (0, 1)]
             assert abs(row[kind] - sum(each) / 2) < 1e-9
+
+
+def test_holdouts_that_fill_the_cores_run_one_by_one(rows, monkeypatch):
+    running = _Running(monkeypatch, DecisionTreeClassifier)
+    words = rows.union(rows).selectExpr("id as doc_id", "category", "array(category, concat('w', cast(id as int) % 5)) as words")
+    found = cl.category_holdout(words, ["a", "b", "c"], "words", ["a", "b", "w0", "w1"])
+    assert [r["category"] for r in found.collect()] == ["a", "b", "c"]
+    assert min(running.tasks) > 16 and running.most == 1
